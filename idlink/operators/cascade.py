@@ -26,10 +26,13 @@ _SEGMENT = [
     "permno", "gvkey", "primary_permno", "is_primary_permno", "is_common", "exchcd",
     "namedt", "nameendt", "ncusip6", "ticker", "linkprim_score", "linktype_rank",
 ]
-_BEST_FIRST = [
-    *desc("segment_score", "overlap_days", "is_primary_permno", "is_common"),
-    *asc("exchcd", "namedt", "permno", "nameendt", "ncusip6", "ticker"),
-]
+
+
+def _best_first() -> list[Column]:
+    return [
+        *desc("segment_score", "overlap_days", "is_primary_permno", "is_common"),
+        *asc("exchcd", "namedt", "permno", "nameendt", "ncusip6", "ticker"),
+    ]
 
 
 @dataclass(frozen=True)
@@ -169,7 +172,7 @@ def best_by_key_year(keyed: DataFrame, first: Column, last: Column) -> DataFrame
                                  F.col("linkprim_score"), F.col("linktype_rank")),
         )
     )
-    return keep_first(yearly, ["key_kind", "key", "year"], _BEST_FIRST)
+    return keep_first(yearly, ["key_kind", "key", "year"], _best_first())
 
 
 def match_provider(

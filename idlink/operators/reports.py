@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from idlink.operators.ranking import asc, desc
 
-_ONE = F.lit(1)
-
-
 def _present(name: str) -> Column:
     return F.count(F.col(name))
 
@@ -24,7 +21,7 @@ def match_summary(candidates: DataFrame, entity: str) -> DataFrame:
     """
     matched = F.col("match_src").isNotNull()
     pairs = candidates.groupBy(F.when(matched, F.col(entity)).alias("_entity"), F.when(matched, F.col("gvkey")).alias("_gvkey")).agg(
-        F.count(_ONE).alias("_rows"),
+        F.count("*").alias("_rows"),
         F.count_if(matched).alias("_matched"),
         F.min(F.when(matched, F.col("year"))).alias("_first"),
         F.max(F.when(matched, F.col("year"))).alias("_last"),
@@ -41,18 +38,18 @@ def match_summary(candidates: DataFrame, entity: str) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(F.col(column).alias("value")).agg(F.count(_ONE).alias("n"))
+    return df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
 
 
 def availability(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Present count and share of each column: one aggregate row, unpivoted."""
-    counts = df.agg(F.count(_ONE).alias("n_rows"), *[_present(c).alias(c) for c in columns])
+    counts = df.agg(F.count("*").alias("n_rows"), *[_present(c).alias(c) for c in columns])
     long = counts.unpivot(["n_rows"], list(columns), "column_name", "n_present")
     return long.withColumn("share", F.col("n_present") / F.col("n_rows"))
 
 
 def matches_by_year(matches: DataFrame) -> DataFrame:
-    return matches.groupBy("year").agg(F.count(_ONE).alias("n_matches"))
+    return matches.groupBy("year").agg(F.count("*").alias("n_matches"))
 
 
 def panel_coverage(panel: DataFrame, years: int = 10) -> DataFrame:
@@ -60,7 +57,7 @@ def panel_coverage(panel: DataFrame, years: int = 10) -> DataFrame:
     yearly = panel.groupBy("year").agg(
         F.count_distinct("gvkey").alias("n_gvkeys"),
         F.count_distinct("permno").alias("n_permnos"),
-        F.count(_ONE).alias("n_rows"),
+        F.count("*").alias("n_rows"),
     )
     return yearly.orderBy(F.desc("year")).limit(years)
 
@@ -68,7 +65,7 @@ def panel_coverage(panel: DataFrame, years: int = 10) -> DataFrame:
 def panel_match_rate(panel: DataFrame) -> DataFrame:
     """Rows, date range, and the shares of rows with a firm and with a security."""
     return panel.agg(
-        F.count(_ONE).alias("n_rows"),
+        F.count("*").alias("n_rows"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         F.avg(F.col("gvkey").isNotNull().cast("int")).alias("gvkey_rate"),
@@ -79,7 +76,7 @@ def panel_match_rate(panel: DataFrame) -> DataFrame:
 def id_coverage(constituents: DataFrame) -> DataFrame:
     """Shares of rows with an ISIN and with a CUSIP."""
     return constituents.agg(
-        F.count(_ONE).alias("n_rows"),
+        F.count("*").alias("n_rows"),
         F.avg(F.col("isin").isNotNull().cast("int")).alias("isin_rate"),
         F.avg(F.col("cusip").isNotNull().cast("int")).alias("cusip_rate"),
     )
@@ -101,7 +98,7 @@ def audit_sample(panel: DataFrame, rows: int = 100) -> DataFrame:
 
 def top_gvkeys(consolidated: DataFrame, rows: int = 10) -> DataFrame:
     """Firms with the most entity mappings."""
-    counts = consolidated.where("gvkey IS NOT NULL").groupBy("gvkey").agg(F.count(_ONE).alias("n_mappings"))
+    counts = consolidated.where("gvkey IS NOT NULL").groupBy("gvkey").agg(F.count("*").alias("n_mappings"))
     return counts.orderBy(*desc("n_mappings"), *asc("gvkey")).limit(rows)
 
 
@@ -151,7 +148,7 @@ def universe_coverage(panel: DataFrame, matches_by_provider: dict[str, DataFrame
     Both sides shrink to one row per (firm, year) before they meet.
     """
     names = list(matches_by_provider)
-    members = panel.groupBy("gvkey", "year").agg(F.count(_ONE).alias("_rows"))
+    members = panel.groupBy("gvkey", "year").agg(F.count("*").alias("_rows"))
     covered = None
     for name, matches in matches_by_provider.items():
         part = matches.where("gvkey IS NOT NULL").select("gvkey", "year", F.lit(name).alias("_provider"))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from idlink.operators.primary import primary_map, with_primary
 from idlink.operators.segments import NAME_ORDER, best_links, with_flags
 from idlink.schemas import SECURITY_MASTER
-from idlink.sources.sinks import stored, write_master
+from idlink.sources.sinks import write_master
 
 
 def linked_segments(names: DataFrame, links: DataFrame, order_by: Sequence[str] = NAME_ORDER) -> DataFrame:
@@ -35,13 +35,14 @@ def build_security_master(
     return with_primary(segments, primary_map(segments)).select(*SECURITY_MASTER.columns)
 
 
-def get_or_build_master(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The stored master if there is one at `path`, else build it, store it and read it back."""
+def get_or_build_table(spark: SparkSession, path: str, build: Callable[[], DataFrame], write=None) -> DataFrame:
+    """The table stored at `path`, else build it, store it and read it back."""
     try:
         return spark.read.parquet(path)
     except AnalysisException:
-        write_master(build(), path)
+        (write or (lambda df, p: df.write.mode("overwrite").parquet(p)))(build(), path)
         return spark.read.parquet(path)
 
 
-__all__ = ["build_security_master", "get_or_build_master", "linked_segments", "stored"]
+def get_or_build_master(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return get_or_build_table(spark, path, build, write_master)

@@ -33,7 +33,7 @@ UNION ALL
 SELECT CAST(permno AS STRING), CAST(permco AS STRING), CAST(namedt AS STRING),
   CASE WHEN nameendt IS NULL THEN 'E' ELSE CAST(nameendt AS STRING) END, comnam, ticker, ncusip,
   '14', CAST(exchcd AS STRING), src_id, 1
-FROM ({NAMES}) AS n2 WHERE src_id % 29 = 0
+FROM ({NAMES}) AS n2 WHERE shrcd = 13
 """
 
 LINKS = f"""
@@ -43,7 +43,8 @@ SELECT 10000 + o_custkey AS lpermno,
   {_OD} - 400 AS linkdt, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE {_OD} + 1100 END AS linkenddt,
   CASE o_orderstatus WHEN 'F' THEN 'P' WHEN 'O' THEN 'C' ELSE 'J' END AS linkprim,
   CASE o_orderkey % 4 WHEN 0 THEN 'LU' WHEN 1 THEN 'LC' ELSE 'NR' END AS linktype,
-  {_C6} || '101' AS cusip, o_orderkey AS src_id FROM {{orders}} WHERE o_orderkey % 3 = 0
+  {_C6} || '101' AS cusip, o_orderkey AS src_id FROM {{orders}}
+WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM')
 """
 
 PROVIDER_A = f"""
@@ -68,7 +69,7 @@ SELECT 't' || CAST(o_custkey % 400 AS STRING) || CASE WHEN o_custkey % 5 = 0 THE
   CAST(year(o_orderdate) AS INT) AS year, CASE WHEN o_custkey % 3 = 0 THEN 'US' || {_C6} || '1035' END AS isin,
   CAST(o_orderkey % 1000 AS DOUBLE) / 10 AS environmental,
   CASE WHEN o_orderkey % 6 <> 0 THEN CAST(o_custkey % 1000 AS DOUBLE) / 10 END AS social,
-  o_orderkey AS src_id FROM {{orders}} WHERE o_custkey % 7 <> 0
+  o_orderkey AS src_id FROM {{orders}}
 """
 
 CONSTITUENTS = f"""
@@ -79,6 +80,31 @@ SELECT {_OD} AS date, 'T' || CAST(o_custkey % 400 AS STRING) || '.N' AS ric,
   o_orderkey AS row_id FROM {{orders}}
 """
 
+# Texts that need coercion or clean-up, several spellings of each kind.
+ODD_VALUES = f"""
+SELECT o_orderkey AS row_id,
+  CASE o_orderpriority WHEN '1-URGENT' THEN ' True ' WHEN '2-HIGH' THEN 'Y' WHEN '3-MEDIUM' THEN '1.0'
+    WHEN '4-NOT SPECIFIED' THEN '1' END AS flag_text,
+  CASE o_orderpriority WHEN '1-URGENT' THEN CAST(o_custkey AS STRING) WHEN '2-HIGH' THEN CAST(o_custkey AS STRING) || '.0'
+    WHEN '3-MEDIUM' THEN 'x' || CAST(o_custkey AS STRING) WHEN '4-NOT SPECIFIED' THEN 'N/A' ELSE ' 7 ' END AS number_text,
+  CASE o_orderpriority WHEN '1-URGENT' THEN CAST({_OD} AS STRING)
+    WHEN '2-HIGH' THEN replace(CAST({_OD} AS STRING), '-', '')
+    WHEN '3-MEDIUM' THEN substr(CAST({_OD} AS STRING), 6, 2) || '/' || substr(CAST({_OD} AS STRING), 9, 2) || '/'
+      || substr(CAST({_OD} AS STRING), 1, 4)
+    WHEN '4-NOT SPECIFIED' THEN 'E' ELSE '9999-12-31' END AS date_text,
+  CASE o_orderpriority WHEN '1-URGENT' THEN ' ' || CAST(o_custkey AS STRING) || '.0' WHEN '2-HIGH' THEN 'G-' || CAST(o_custkey AS STRING)
+    WHEN '3-MEDIUM' THEN '' WHEN '4-NOT SPECIFIED' THEN '99' || lpad(CAST(o_custkey AS STRING), 6, '0')
+    ELSE CAST(o_custkey AS STRING) END AS gvkey_text,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'NA' WHEN '2-HIGH' THEN ' n' || CAST(o_custkey AS STRING) || chr(9)
+    WHEN '3-MEDIUM' THEN '   ' WHEN '4-NOT SPECIFIED' THEN NULL ELSE 'null' END AS ticker_text,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'BRK.B' WHEN '2-HIGH' THEN 'VOD' || CAST(o_custkey AS STRING) || '.L'
+    WHEN '3-MEDIUM' THEN 'A.1' WHEN '4-NOT SPECIFIED' THEN '.N' ELSE 'T' || CAST(o_custkey AS STRING) END AS symbol_text,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'US' || {_C6} || '1035' WHEN '2-HIGH' THEN 'CA' || {_C6} || '1035'
+    WHEN '3-MEDIUM' THEN 'GB' || {_C6} || '1035' WHEN '4-NOT SPECIFIED' THEN 'US' || {_C6} END AS isin_text,
+  CAST(year(o_orderdate) AS INT) AS year, {_OD} AS day, o_custkey AS custkey
+FROM {{orders}}
+"""
+
 TABLES = {
     "names": NAMES,
     "names_raw": NAMES_RAW,
@@ -87,6 +113,7 @@ TABLES = {
     "provider_b": PROVIDER_B,
     "provider_c": PROVIDER_C,
     "constituents": CONSTITUENTS,
+    "odd_values": ODD_VALUES,
 }
 
 

@@ -49,6 +49,7 @@ def accumulate(
     transform=None,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Process the constituent files that arrived since the last run, then return the table.
 
@@ -62,6 +63,8 @@ def accumulate(
     def run(batch: DataFrame, batch_id: int) -> None:
         merge_batch(batch if transform is None else transform(batch), batch_id, table, order_by)
 
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     query = (
         reader.load(source)
         .writeStream.foreachBatch(run)
