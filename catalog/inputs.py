@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idlink.operators.cascade import PROVIDER_A, PROVIDER_B, PROVIDER_C, match_provider
+from idlink.operators.cascade import PROVIDER_A, PROVIDER_B, PROVIDER_C, ProviderSpec, match_provider
 from idlink.operators.crosswalk import crosswalk
 from idlink.operators.panel import monthly_panel
 from idlink.operators.snapshots import month_snapshots
@@ -68,8 +68,23 @@ def provider(spark: SparkSession, sf_dir: str, letter: str) -> DataFrame:
     return conform.clean_provider_c(derive(spark, sf_dir, "provider_c"), ["src_id"])
 
 
+def provider_years(spark: SparkSession, sf_dir: str, letter: str) -> DataFrame:
+    """Years of the provider's rows before de-duplication: the same years from one narrow scan."""
+    if letter == "a":
+        return conform.provider_a_rows(derive(spark, sf_dir, "provider_a")).select("year")
+    if letter == "b":
+        return conform.provider_b_rows(provider_b_raw(spark, sf_dir)).select("year")
+    return conform.provider_c_rows(derive(spark, sf_dir, "provider_c")).select("year")
+
+
+def match(spark: SparkSession, sf_dir: str, letter: str, spec: ProviderSpec | None = None, passes=None) -> DataFrame:
+    """Year matches of a provider, with its own or a varied spec or passes."""
+    rows, master = provider(spark, sf_dir, letter), loaded_master(spark, sf_dir)
+    return match_provider(rows, master, spec or SPECS[letter], passes, provider_years(spark, sf_dir, letter))
+
+
 def new_matches(spark: SparkSession, sf_dir: str, letter: str) -> DataFrame:
-    return match_provider(provider(spark, sf_dir, letter), loaded_master(spark, sf_dir), SPECS[letter])
+    return match(spark, sf_dir, letter)
 
 
 def matches(spark: SparkSession, sf_dir: str, letter: str) -> DataFrame:

@@ -38,7 +38,9 @@ def _odd(spark: SparkSession, sf: str) -> DataFrame:
 
 def _export(spark: SparkSession, df: DataFrame, name: str, **options: str) -> str:
     path = scratch_path(spark, name)
-    df.write.option("header", True).options(**options).csv(path)
+    # The writer would trim texts by default; an export must not change them.
+    trim = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.option("header", True).options(**trim, **options).csv(path)
     return path
 
 
@@ -452,20 +454,19 @@ def check_primary(spark, sf):
 
 @query
 def match_cusip6(spark, sf):
-    only = PROVIDER_A.passes[:1]
-    return cascade.match_provider(inputs.provider(spark, sf, "a"), inputs.loaded_master(spark, sf), PROVIDER_A, only)
+    return inputs.match(spark, sf, "a", passes=PROVIDER_A.passes[:1])
 
 
 @query
 def match_ticker(spark, sf):
     spec = cascade.ProviderSpec("provider_c", "symbol", (Pass("TICKER", "clean_symbol", TICKER),), PROVIDER_C.columns, "ticker")
-    return cascade.match_provider(inputs.provider(spark, sf, "c"), inputs.loaded_master(spark, sf), spec)
+    return inputs.match(spark, sf, "c", spec)
 
 
 @query
 def anti_matched(spark, sf):
     rows = inputs.provider(spark, sf, "a")
-    found = cascade.match_provider(rows, inputs.loaded_master(spark, sf), PROVIDER_A, PROVIDER_A.passes[:1])
+    found = inputs.match(spark, sf, "a", passes=PROVIDER_A.passes[:1])
     left = cascade.unmatched_after(rows, found, "orgpermid")
     return left.where("cusip6_from_isin IS NOT NULL").select("orgpermid", "year", "cusip6_from_isin")
 
@@ -473,7 +474,7 @@ def anti_matched(spark, sf):
 @query
 def best_match(spark, sf):
     keyed = cascade.master_keys(inputs.loaded_master(spark, sf), [CUSIP6, TICKER])
-    best = cascade.best_by_key_year(keyed, *cascade.year_bounds(inputs.provider(spark, sf, "a")))
+    best = cascade.best_by_key_year(keyed, *cascade.year_bounds(inputs.provider_years(spark, sf, "a")))
     return best.select("key_kind", "key", "year", "permno", "namedt", "nameendt", "gvkey", "overlap_days", "segment_score")
 
 
@@ -495,7 +496,7 @@ def match_provider_c(spark, sf):
 @query
 def match_provider_c_unfiltered(spark, sf):
     spec = cascade.ProviderSpec("provider_c", "symbol", PROVIDER_C.passes, PROVIDER_C.columns, "ticker")
-    return cascade.match_provider(inputs.provider(spark, sf, "c"), inputs.loaded_master(spark, sf), spec)
+    return inputs.match(spark, sf, "c", spec)
 
 
 @query
@@ -614,7 +615,9 @@ def panel_match_rate(spark, sf):
 
 @query
 def match_summary(spark, sf):
-    rows = cascade.provider_candidates(inputs.provider(spark, sf, "a"), inputs.loaded_master(spark, sf), PROVIDER_A)
+    rows = cascade.provider_candidates(
+        inputs.provider(spark, sf, "a"), inputs.loaded_master(spark, sf), PROVIDER_A, years=inputs.provider_years(spark, sf, "a")
+    )
     return inputs.rounded(reports.match_summary(rows, "orgpermid"), "match_rate")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from idlink.functions import dates, scores
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import ROWS_PER_SLICE, lookup_join
+from idlink.operators.skew import keyed_join
 from idlink.schemas import PASS_POINTS
 
 CUSIP6, TICKER = "C", "T"
@@ -117,7 +117,7 @@ def provider_identifiers(provider: DataFrame) -> DataFrame:
     return exploded.where("key IS NOT NULL").distinct()
 
 
-def filter_by_identifiers(master: DataFrame, provider: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def filter_by_identifiers(master: DataFrame, provider: DataFrame) -> DataFrame:
     """Segments whose CUSIP6, or whose ticker, the provider names.
 
     Two lookups against distinct keys instead of an OR in a join condition.
@@ -129,15 +129,16 @@ def filter_by_identifiers(master: DataFrame, provider: DataFrame, rows_per_slice
             continue
         flag = f"_named_{kind}"
         keys = named.where(F.col("key_kind") == kind).select(F.col("key").alias(column), F.lit(True).alias(flag))
-        master = lookup_join(master, keys, [column], ["permno", "namedt"], rows_per_slice=rows_per_slice)
+        master = keyed_join(master, keys, [column], "left")
         flags.append(F.coalesce(F.col(flag), F.lit(False)))
     keep = flags[0] if len(flags) == 1 else flags[0] | flags[1]
     return master.where(keep).drop("_named_C", "_named_T")
 
 
 def year_bounds(provider: DataFrame) -> tuple[Column, Column]:
-    """First and last year of a provider, as scalar subqueries."""
-    return provider.select(F.min("year")).scalar(), provider.select(F.max("year")).scalar()
+    """First and last year of a provider, from one scalar subquery."""
+    bounds = provider.select(F.struct(F.min("year").alias("first"), F.max("year").alias("last"))).scalar()
+    return bounds["first"], bounds["last"]
 
 
 def filter_by_years(master: DataFrame, provider: DataFrame) -> DataFrame:
@@ -180,15 +181,15 @@ def match_provider(
     master: DataFrame,
     spec: ProviderSpec,
     passes: Sequence[Pass] | None = None,
-    counted: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    years: DataFrame | None = None,
 ) -> DataFrame:
     """Best segment per (entity, year); the first pass that finds any decides.
 
     `provider` has one row per (entity, year) with its key columns; `master` is a loaded
-    master (`conform.load_master`).
+    master (`conform.load_master`). `years` may be a cheaper frame with the same years,
+    such as the provider's rows before de-duplication.
     """
-    matched = provider_candidates(provider, master, spec, passes, counted, rows_per_slice)
+    matched = provider_candidates(provider, master, spec, passes, years)
     return matched.where("match_src IS NOT NULL").select(*spec.output)
 
 
@@ -197,15 +198,14 @@ def provider_candidates(
     master: DataFrame,
     spec: ProviderSpec,
     passes: Sequence[Pass] | None = None,
-    counted: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    years: DataFrame | None = None,
 ) -> DataFrame:
     """All provider rows, with the match columns null where nothing was found."""
     passes = tuple(passes or spec.passes)
     if spec.prefilter:
-        master = filter_by_identifiers(master, provider, rows_per_slice)
+        master = filter_by_identifiers(master, provider)
     kinds = list(dict.fromkeys(p.kind for p in passes))
-    best = best_by_key_year(master_keys(master, kinds), *year_bounds(provider if counted is None else counted))
+    best = best_by_key_year(master_keys(master, kinds), *year_bounds(provider if years is None else years))
     found_columns = [*_SEGMENT[:-2], "overlap_days", "segment_score"]
 
     result = provider.withColumn("_found", F.lit(None)).withColumn("match_src", F.lit(None).cast("string"))
@@ -217,14 +217,7 @@ def provider_candidates(
         )
         # Rows an earlier pass already matched no longer look anything up.
         wanted = F.col(step.key) if first else F.when(F.col("match_src").isNull(), F.col(step.key))
-        result = lookup_join(
-            result.withColumn("_key", wanted),
-            entry,
-            ["_key", "year"],
-            [spec.entity],
-            counted=None if counted is None else counted.select(F.col(step.key).alias("_key"), "year"),
-            rows_per_slice=rows_per_slice,
-        )
+        result = keyed_join(result.withColumn("_key", wanted), entry, ["_key", "year"], "left")
         new = F.col("match_src").isNull() & F.col("_hit").isNotNull()
         result = result.withColumns(
             {

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from idlink.functions import dates, scores
 from idlink.operators.cascade import CUSIP6, TICKER
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import ROWS_PER_SLICE, SLICE, lookup_join, sliced_join
+from idlink.operators.skew import keyed_join, spread_join
 
 PANEL_COLUMNS = [
     "date", "ticker_sp500", "cusip_sp500", "gvkey", "permno", "ticker_crsp", "company_name",
@@ -77,7 +77,7 @@ def key_needs(snapshots: DataFrame) -> DataFrame:
 
 
 def best_by_key_date(
-    master: DataFrame, snapshots: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, score_single: bool = False
+    master: DataFrame, snapshots: DataFrame, score_single: bool = False
 ) -> DataFrame:
     """Best segment valid on the snapshot date, per need, with its rank score.
 
@@ -86,10 +86,8 @@ def best_by_key_date(
     key shrinks before it is shuffled; a segment meets at most one row per calendar month.
     """
     valid = dates.covers(F.col("valid_from"), F.col("valid_to"), F.col("snapshot_date"))
-    candidates = sliced_join(
-        panel_keys(master), key_needs(snapshots), ["key_kind", "key"], ["permno", "namedt"], "inner", valid, None,
-        rows_per_slice,
-    ).drop(SLICE)
+    needs = key_needs(snapshots)
+    candidates = spread_join(panel_keys(master), needs, ["key_kind", "key"], ["permno", "namedt"], "inner", valid)
     place = ["permno", "namedt", "nameendt"]
     payload = F.struct(*_PAYLOAD, "permno_score", "gvkey_score")
     per_firm = candidates.groupBy(*_NEED, "gvkey").agg(
@@ -122,11 +120,10 @@ def panel_best(
     master: DataFrame,
     row_id: str = "row_id",
     kinds: tuple[str, ...] = (CUSIP6, TICKER),
-    rows_per_slice: int = ROWS_PER_SLICE,
     score_single: bool = False,
 ) -> DataFrame:
     """Every member row with its best segment: by CUSIP6, else by ticker, else none."""
-    best = best_by_key_date(master, snapshots, rows_per_slice, score_single)
+    best = best_by_key_date(master, snapshots, score_single)
     labels = {CUSIP6: "CUSIP6", TICKER: "TICKER"}
     columns = {CUSIP6: "cusip6", TICKER: "ticker_key"}
     found = [c for c in best.columns if c not in _NEED]
@@ -137,10 +134,7 @@ def panel_best(
             F.col("key").alias("_key"), "snapshot_date", F.struct(*found).alias("_hit")
         )
         wanted = F.when(F.col("match_type").isNull(), F.col(columns[kind])) if i else F.col(columns[kind])
-        members = lookup_join(
-            members.withColumn("_key", wanted), entry, ["_key", "snapshot_date"], [row_id], rows_per_slice=rows_per_slice,
-            counted=snapshots.select(F.col(columns[kind]).alias("_key"), "snapshot_date"),
-        )
+        members = keyed_join(members.withColumn("_key", wanted), entry, ["_key", "snapshot_date"], "left")
         hit = F.when(F.col("_hit").isNotNull(), F.lit(labels[kind]))
         members = members.withColumns(
             {
@@ -196,11 +190,10 @@ def monthly_panel(
     master: DataFrame,
     row_id: str = "row_id",
     collapse_unmatched: bool = False,
-    rows_per_slice: int = ROWS_PER_SLICE,
     score_single: bool = False,
 ) -> DataFrame:
     """The monthly membership panel, at most one row per (date, firm)."""
-    best = panel_best(snapshots, master, row_id, rows_per_slice=rows_per_slice, score_single=score_single)
+    best = panel_best(snapshots, master, row_id, score_single=score_single)
     return with_calendar(panel_dedup(best, row_id, collapse_unmatched)).select(*PANEL_COLUMNS)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from idlink.functions import dates
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import lookup_join
+from idlink.operators.skew import spread_join
 
 PAIR = ["gvkey", "permno"]
 
@@ -68,7 +68,7 @@ def primary_map(segments: DataFrame) -> DataFrame:
 
 def with_primary(segments: DataFrame, primary: DataFrame) -> DataFrame:
     """Add the firm's primary security and whether the row is it (null without a firm)."""
-    joined = lookup_join(segments, primary, ["gvkey"], ["permno", "namedt", "nameendt"])
+    joined = spread_join(segments, primary, ["gvkey"], ["permno", "namedt", "nameendt"], "left")
     return joined.withColumn("is_primary_permno", F.expr("permno = primary_permno"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from idlink.functions import dates, scores
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import ROWS_PER_SLICE, SLICE, sliced_join
+from idlink.operators.skew import keyed_join
 from idlink.schemas import SEGMENT_KEY
 
 NAME_ORDER = ("shrcd", "exchcd", "ncusip", "ticker", "comnam", "permco")
@@ -41,15 +41,10 @@ def undominated_links(links: DataFrame, keys: Sequence[str]) -> DataFrame:
     return kept.drop("_latest")
 
 
-def _touching(names_side: str = "") -> F.Column:
-    return dates.intervals_touch(F.col("namedt"), F.col("nameendt"), F.col("linkdt"), F.col("linkenddt"))
-
-
 def candidate_links(
     names: DataFrame,
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Segments with the links that can be their best one; unlinked segments keep null link columns.
 
@@ -57,7 +52,8 @@ def candidate_links(
     undominated links of a (permno, score class) compete. A link with the segment's own
     CUSIP6 beats the others of its class, so undominated links of a (permno, class,
     CUSIP6) that the first join lost are added through an equality on CUSIP6. Neither join
-    pairs every name row with every link of a permno.
+    pairs every name row with every link of a permno, and both follow the pattern whose
+    skewed partitions adaptive execution splits.
     """
     segments = keep_first(names, [*SEGMENT_KEY, "ncusip6"], asc(*order_by))
     narrow = links.select("permno", *LINK_COLUMNS, *LINK_SCORES)
@@ -66,21 +62,12 @@ def candidate_links(
     identity = [*_LINK_CLASS, "cusip6", "linkenddt"]
     only_by_cusip = own_cusip.join(any_cusip.select(*identity), identity, "left_anti")
 
-    touching = _touching()
-    by_permno = sliced_join(
-        segments, any_cusip, ["permno"], ["namedt", "nameendt"], "left", touching, names, rows_per_slice
-    )
-    by_cusip = sliced_join(
-        segments,
-        only_by_cusip.withColumn("ncusip6", F.col("cusip6")),
-        ["permno", "ncusip6"],
-        ["namedt", "nameendt"],
-        "inner",
-        touching,
-        names,
-        rows_per_slice,
+    touching = dates.intervals_touch(F.col("namedt"), F.col("nameendt"), F.col("linkdt"), F.col("linkenddt"))
+    by_permno = keyed_join(segments, any_cusip, ["permno"], "left", touching)
+    by_cusip = keyed_join(
+        segments, only_by_cusip.withColumn("ncusip6", F.col("cusip6")), ["permno", "ncusip6"], "inner", touching
     )
-    joined = by_permno.drop(SLICE).unionByName(by_cusip.drop(SLICE))
+    joined = by_permno.unionByName(by_cusip)
     return joined.withColumns(
         {
             "overlap_days": dates.touching_overlap_days(
@@ -102,10 +89,9 @@ def segment_links(
     names: DataFrame,
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """The best overlapping link of every score class, per segment: at most six rows each."""
-    candidates = candidate_links(names, links, order_by, rows_per_slice)
+    candidates = candidate_links(names, links, order_by)
     linked = candidates.where("linkdt IS NOT NULL")
     return keep_first(linked, [*SEGMENT_KEY, *LINK_SCORES], _best_first(order_by))
 
@@ -114,10 +100,9 @@ def best_links(
     names: DataFrame,
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """One row per segment with its best link, or with null link columns and zero scores."""
-    candidates = candidate_links(names, links, order_by, rows_per_slice)
+    candidates = candidate_links(names, links, order_by)
     best = keep_first(candidates, SEGMENT_KEY, _best_first(order_by))
     return best.na.fill(0, subset=[*LINK_SCORES, "overlap_days", "cusip6_match"])
 

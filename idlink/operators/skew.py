@@ -1,10 +1,18 @@
 """Equi-joins that stay balanced when one key holds a large share of the rows.
 
-The keys above `rows_per_slice` are counted exactly (with map-side partial counts).
-Only their rows are spread over several slices, and only their partners are repeated,
-once per slice. Rows with a null key cannot match, so they are spread as well instead
-of meeting in one task. Every other row keeps slice 0 and nothing is repeated for it.
-The result does not depend on which keys are found hot.
+Adaptive execution splits a skewed partition of a sort-merge join into pieces of bounded
+size and repeats its partner's partition for each. It does so only where both sides come
+straight from a shuffle made for that join and where nothing later relies on the join's
+partitioning. Most joins in this package have that shape: their inputs were grouped by
+other keys before, and a shuffle follows.
+
+Two do not: a join whose lookup side was grouped by exactly the join key, and a join that
+is followed by an aggregation whose keys contain the join key. `spread_join` gives them
+the shape. It adds a slice number, from a hash of other columns, to the join key, and
+repeats the small side once per slice. The lookup side then needs a shuffle of its own,
+the aggregation needs one too (after its partial step), and rows with a null key, which
+cannot match, no longer meet in one partition. Few slices are enough, because adaptive
+execution splits what is still too large.
 """
 
 from __future__ import annotations
@@ -14,76 +22,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE = "_slice"
-ROWS_PER_SLICE = 1_000_000
-MAX_HOT_KEYS = 10_000  # a key beyond this rank holds less than 1/10,000 of the rows
-NULL_KEY_SLICES = 1024
+SLICES = 8
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Keys with more than `rows_per_slice` rows and the number of slices each needs.
-
-    At most MAX_HOT_KEYS rows, which is what makes it safe to broadcast.
-    """
-    counts = df.select(*keys).na.drop().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counts.where(F.col("_n") > rows_per_slice)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_slice).cast("int").alias("_slices"))
-    )
-
-
-def sliced_join(
+def spread_join(
     big: DataFrame,
     small: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
     residual: Column | None = None,
-    counted: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int = SLICES,
 ) -> DataFrame:
-    """Join `big` to `small` on `keys` plus an optional `residual` condition.
+    """Join on `keys`, and `residual` if given, with the rows of each key spread over slices.
 
-    `spread_by` are columns of `big` whose hash picks the slice of a hot row.
-    `counted` is a cheaper frame with the same key distribution as `big` (such as its
-    source before de-duplication) to find the hot keys in. Apart from `keys`, the two
-    sides share no column name. The slice column stays in the result: it depends on
-    `keys` and `spread_by` only, so a later window can add it to its keys and reuse the
-    join's partitioning.
+    `spread_by` are columns of `big`. Apart from `keys` the sides share no column name.
+    `how` is inner or left.
     """
-    hot = F.broadcast(hot_keys(big if counted is None else counted, keys, rows_per_slice))
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
-    spread = F.xxhash64(*spread_by)
-    left = big.join(hot, list(keys), "left").withColumn(
-        SLICE,
-        F.when(missing, F.pmod(spread, F.lit(NULL_KEY_SLICES)))
-        .otherwise(F.pmod(spread, F.coalesce("_slices", F.lit(1))))
-        .cast("int"),
-    )
-    right = small.join(hot, list(keys), "left").withColumn(
-        SLICE, F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))
-    )
-    partner = {name: f"_r{name}" for name in [*keys, SLICE]}
-    right = right.drop("_slices").withColumnsRenamed(partner)
-    condition = F.lit(True) if residual is None else residual
-    for name in [*keys, SLICE]:
-        condition = condition & (F.col(name) == F.col(partner[name]))
-    return left.drop("_slices").join(right, condition, how).drop(*partner.values())
+    left = big.withColumn("_slice", F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int"))
+    right = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    joined = keyed_join(left, right, [*keys, "_slice"], how, residual)
+    return joined.drop("_slice")
 
 
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "left",
-    counted: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+def keyed_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", residual: Column | None = None
 ) -> DataFrame:
-    """`sliced_join` to a table with one row per key, without the slice column."""
-    joined = sliced_join(big, lookup, keys, spread_by, how, None, counted, rows_per_slice)
-    return joined.drop(SLICE)
+    """Equi-join on same-named keys with an optional residual condition; the keys come out once, from the left."""
+    partner = {k: f"_right_{k}" for k in keys}
+    condition = F.lit(True) if residual is None else residual
+    for k in keys:
+        condition = condition & (F.col(k) == F.col(partner[k]))
+    return left.join(right.withColumnsRenamed(partner), condition, how).drop(*partner.values())

@@ -30,8 +30,8 @@ class Mapping:
     crosswalk: DataFrame
 
 
-def map_provider(provider: DataFrame, master: DataFrame, spec: ProviderSpec, counted: DataFrame | None = None) -> Mapping:
-    matches = match_provider(provider, master, spec, counted=counted)
+def map_provider(provider: DataFrame, master: DataFrame, spec: ProviderSpec, years: DataFrame | None = None) -> Mapping:
+    matches = match_provider(provider, master, spec, years=years)
     return Mapping(spec, matches, crosswalk(matches, spec.entity))
 
 

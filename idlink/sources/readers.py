@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from idlink.functions import coerce, identifiers
-from idlink.operators.skew import ROWS_PER_SLICE, lookup_join
+from idlink.operators.skew import spread_join
 from idlink.schemas import ANNUAL_DATE_COLUMNS, ANNUAL_DATE_FORMATS, NULL_TOKENS
 from idlink.sources.conform import lower_headers
 
@@ -72,9 +72,7 @@ def file_year(path: str | F.Column) -> F.Column:
     return F.coalesce(F.nullif(name, F.lit("")), F.nullif(folder, F.lit(""))).cast("int")
 
 
-def extract_year(
-    df: DataFrame, file_column: str = FILE, name_year: F.Column | None = None, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def extract_year(df: DataFrame, file_column: str = FILE) -> DataFrame:
     """Add `year` to rows of annual files with lower-case text columns.
 
     A `year` column decides where there is one. Otherwise each file takes the first
@@ -84,7 +82,7 @@ def extract_year(
     """
     if "year" in df.columns:
         return df.withColumn("year", coerce.to_integer(coerce.null_tokens(F.col("year").cast("string")), IntegerType()))
-    fallback = file_year(file_column) if name_year is None else name_year
+    fallback = file_year(file_column)
     attempts = []
     for name in [c for c in ANNUAL_DATE_COLUMNS if c in df.columns]:
         text = identifiers.strip(coerce.null_tokens(F.col(f"`{name}`").cast("string")))
@@ -94,9 +92,7 @@ def extract_year(
         return df.withColumn("year", fallback)
     usable = [F.when(F.bool_or(a.isNotNull()), F.lit(i)) for i, a in enumerate(attempts)]
     choice = df.groupBy(file_column).agg(F.coalesce(*usable).alias("_attempt"))
-    rows = lookup_join(
-        df, choice, [file_column], [c for c in df.columns if c != file_column], rows_per_slice=rows_per_slice
-    )
+    rows = spread_join(df, choice, [file_column], [c for c in df.columns if c != file_column], "left")
     chain = F.when(F.col("_attempt").isNull(), fallback)
     for i, a in enumerate(attempts):
         chain = chain.when(F.col("_attempt") == i, a)

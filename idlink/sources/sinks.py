@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from idlink.session import scratch_path
 
 
+# Without the last two the writer trims texts.
+_TEXT_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def stored(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
     """A stage that writes a frame to the shared folder and reads it back.
 
@@ -27,8 +31,7 @@ def stored(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
 def write_sorted(df: DataFrame, path: str, sort: Sequence[str], fmt: str = "parquet") -> None:
     """Range-partitioned, sorted output: sorted as a whole, written in parallel."""
     ordered = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
-    writer = ordered.write.mode("overwrite").format(fmt)
-    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    ordered.write.mode("overwrite").format(fmt).options(**(_TEXT_OPTIONS if fmt == "csv" else {})).save(path)
 
 
 def write_by(df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str]) -> None:

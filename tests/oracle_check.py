@@ -55,8 +55,9 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> str | None:
     off = {c: (types[c], kinds[c]) for c in types if types[c] != kinds[c]}
     a, b = _rows(got_columns, got), _rows(want_columns, want)
     if a != b:
-        only_a = [r for r in a if r not in set(b)][:3]
-        only_b = [r for r in b if r not in set(a)][:3]
+        set_a, set_b = set(a), set(b)
+        only_a = [r for r in a if r not in set_b][:3]
+        only_b = [r for r in b if r not in set_a][:3]
         return f"rows {len(a)} vs {len(b)}; spark only {only_a}; sql only {only_b}"
     if off:
         return f"types {off}"
