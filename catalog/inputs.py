@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from idlink.functions import coerce
 from idlink.operators.cascade import PROVIDER_A, PROVIDER_B, PROVIDER_C, ProviderSpec, match_provider
 from idlink.operators.crosswalk import crosswalk
 from idlink.operators.panel import monthly_panel
@@ -20,9 +21,10 @@ from idlink.plans.master import build_security_master, get_or_build_table
 from idlink.session import shared_dir
 from idlink.sources import conform
 from idlink.sources.derived import derive
-from idlink.sources.readers import extract_year
+from idlink.sources.readers import extract_year, file_year
 from idlink.sources.sinks import stored
 
+MAX_ANNUAL_FILES = 586  # the derived file names hold one calendar year each, 1677 to 2262
 SPECS = {"a": PROVIDER_A, "b": PROVIDER_B, "c": PROVIDER_C}
 
 
@@ -57,7 +59,7 @@ def loaded_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def provider_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = derive(spark, sf_dir, "provider_b")
-    return extract_year(raw, "file_name")
+    return extract_year(raw, "file_name", MAX_ANNUAL_FILES)
 
 
 def provider(spark: SparkSession, sf_dir: str, letter: str) -> DataFrame:
@@ -69,11 +71,13 @@ def provider(spark: SparkSession, sf_dir: str, letter: str) -> DataFrame:
 
 
 def provider_years(spark: SparkSession, sf_dir: str, letter: str) -> DataFrame:
-    """Years of the provider's rows before de-duplication: the same years from one narrow scan."""
+    """Years that cover the provider's, from one narrow scan before de-duplication."""
     if letter == "a":
         return conform.provider_a_rows(derive(spark, sf_dir, "provider_a")).select("year")
     if letter == "b":
-        return conform.provider_b_rows(provider_b_raw(spark, sf_dir)).select("year")
+        raw = derive(spark, sf_dir, "provider_b")
+        years = F.array(F.year(coerce.to_date(F.col("as_of_date"))), file_year("file_name"))
+        return raw.select(F.explode(years).alias("year"))
     return conform.provider_c_rows(derive(spark, sf_dir, "provider_c")).select("year")
 
 

@@ -48,7 +48,8 @@ def _export(spark: SparkSession, df: DataFrame, name: str, **options: str) -> st
 def scan_csv_lower(spark, sf):
     raw = derive(spark, sf, "names_raw")
     path = _export(spark, raw.toDF(*[c.upper() for c in raw.columns]), "names_csv")
-    return conform.clean_names(readers.read_delimited(spark, path), keep=["src_id", "copy_no"])
+    rows = readers.read_delimited(spark, path).withColumns({"src_id": _c("src_id").cast("long"), "copy_no": _c("copy_no").cast("int")})
+    return conform.clean_names(rows, keep=["src_id", "copy_no"])
 
 
 @query

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from idlink.schemas import GVKEY_WIDTH, NORTH_AMERICAN_PREFIXES
 
-# Plain trim() strips only spaces; headers and exports also carry tabs and no-break spaces.
-_EDGE_SPACE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# Plain trim() strips only blanks; headers and exports also carry tabs and no-break spaces.
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def norm_string(c: Column) -> Column:
@@ -21,14 +21,13 @@ def norm_string(c: Column) -> Column:
 
 
 def pad_gvkey(c: Column) -> Column:
-    """Left-pad with zeros to six; longer keys stay whole (lpad alone would cut them)."""
-    return F.when(F.length(c) < GVKEY_WIDTH, F.lpad(c, GVKEY_WIDTH, "0")).otherwise(c)
+    """Left-pad with zeros to six; longer keys stay whole (a fixed length would cut them)."""
+    return F.lpad(c, F.greatest(F.lit(GVKEY_WIDTH), F.length(c)), F.lit("0"))
 
 
 def norm_gvkey(c: Column) -> Column:
     """Firm key as digits only, a trailing `.0` dropped, padded to six."""
-    digits = F.regexp_replace(F.regexp_replace(strip(c), r"\.0$", ""), r"[^0-9]", "")
-    return pad_gvkey(F.nullif(digits, F.lit("")))
+    return pad_gvkey(F.nullif(F.regexp_replace(strip(c), r"\.0$|[^0-9]", ""), F.lit("")))
 
 
 def cusip6(c: Column) -> Column:

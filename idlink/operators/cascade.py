@@ -186,8 +186,9 @@ def match_provider(
     """Best segment per (entity, year); the first pass that finds any decides.
 
     `provider` has one row per (entity, year) with its key columns; `master` is a loaded
-    master (`conform.load_master`). `years` may be a cheaper frame with the same years,
-    such as the provider's rows before de-duplication.
+    master (`conform.load_master`). `years` may be a cheaper frame whose
+    years cover the provider's, such as its rows before de-duplication: they only bound how
+    far segments are spread over years.
     """
     matched = provider_candidates(provider, master, spec, passes, years)
     return matched.where("match_src IS NOT NULL").select(*spec.output)

@@ -22,7 +22,11 @@ from pyspark.sql.types import (
 FAR_FUTURE = "2262-04-11"  # open end of a segment or link
 FIRST_LINK_DATE = "1900-01-01"  # missing start of a link
 EARLIEST_DATE = "1677-09-22"  # dates outside [EARLIEST_DATE, FAR_FUTURE] count as missing
-DATE_FORMATS = ("yyyyMMdd", "MM/dd/yyyy")  # tried in turn after ISO yyyy-MM-dd
+DATE_SHAPES = {  # accepted date formats and the texts each applies to
+    "yyyyMMdd": r"^\d{8}$",
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+}
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
@@ -37,7 +41,6 @@ LINK_TYPE_RANKS = {"LU": 2, "LC": 1}
 NORTH_AMERICAN_PREFIXES = ("US", "CA")
 PASS_POINTS = {"CUSIP6": 5, "ISIN_CUSIP6": 4, "ISIN": 6, "TICKER": 3}
 ANNUAL_DATE_COLUMNS = ("as_of_date", "as of date", "asof_date", "date", "period")
-ANNUAL_DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd", "MM/dd/yyyy")
 GVKEY_WIDTH = 6
 
 # ---- tables -------------------------------------------------------------------------

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from idlink.functions import coerce, identifiers
-from idlink.operators.skew import spread_join
-from idlink.schemas import ANNUAL_DATE_COLUMNS, ANNUAL_DATE_FORMATS, NULL_TOKENS
+from idlink.operators.skew import keyed_join, spread_join
+from idlink.schemas import ANNUAL_DATE_COLUMNS, DATE_SHAPES
 from idlink.sources.conform import lower_headers
 
 log = logging.getLogger(__name__)
 
 FILE, BLOCK, ROW = "_file", "_block", "_row"
 SOURCE_ORDER = [FILE, BLOCK, ROW]
+MAX_BROADCAST_FILES = 10_000
 
 
 def with_source_order(df: DataFrame) -> DataFrame:
@@ -72,13 +73,14 @@ def file_year(path: str | F.Column) -> F.Column:
     return F.coalesce(F.nullif(name, F.lit("")), F.nullif(folder, F.lit(""))).cast("int")
 
 
-def extract_year(df: DataFrame, file_column: str = FILE) -> DataFrame:
+def extract_year(df: DataFrame, file_column: str = FILE, max_files: int | None = None) -> DataFrame:
     """Add `year` to rows of annual files with lower-case text columns.
 
     A `year` column decides where there is one. Otherwise each file takes the first
     (date column, format) pair that gives any of its rows a date, and without one the year
     in its name. The pair is found by one partial aggregate per file, so a file of any size
-    is never gathered, and looked up by the rows.
+    is never gathered, and looked up by the rows: by broadcast if the caller knows a small
+    bound on the number of files, else by a spread join.
     """
     if "year" in df.columns:
         return df.withColumn("year", coerce.to_integer(coerce.null_tokens(F.col("year").cast("string")), IntegerType()))
@@ -86,13 +88,17 @@ def extract_year(df: DataFrame, file_column: str = FILE) -> DataFrame:
     attempts = []
     for name in [c for c in ANNUAL_DATE_COLUMNS if c in df.columns]:
         text = identifiers.strip(coerce.null_tokens(F.col(f"`{name}`").cast("string")))
-        attempts += [F.year(coerce.in_range(F.try_to_date(text, f))) for f in ANNUAL_DATE_FORMATS]
+        attempts += [F.year(coerce.parse_date(text, f)) for f in DATE_SHAPES]
         attempts.append(F.year(coerce.to_date(text)))
     if not attempts:
         return df.withColumn("year", fallback)
     usable = [F.when(F.bool_or(a.isNotNull()), F.lit(i)) for i, a in enumerate(attempts)]
     choice = df.groupBy(file_column).agg(F.coalesce(*usable).alias("_attempt"))
-    rows = spread_join(df, choice, [file_column], [c for c in df.columns if c != file_column], "left")
+    if max_files is not None and max_files <= MAX_BROADCAST_FILES:
+        rows = keyed_join(df, F.broadcast(choice), [file_column], "left")
+    else:
+        spread_by = [ROW] if ROW in df.columns else [c for c in df.columns if c != file_column]
+        rows = spread_join(df, choice, [file_column], spread_by, "left")
     chain = F.when(F.col("_attempt").isNull(), fallback)
     for i, a in enumerate(attempts):
         chain = chain.when(F.col("_attempt") == i, a)
@@ -105,7 +111,6 @@ def read_annual(
     wanted: Sequence[str],
     pattern: str = "*",
     encoding: str = "UTF-8",
-    tokens: tuple[str, ...] = NULL_TOKENS,
 ) -> DataFrame:
     """Yearly delimited files under `path` as one table with `year` and the source-order columns.
 
@@ -129,7 +134,7 @@ def read_annual(
     parts = []
     for files in by_header.values():
         df = read_delimited(spark, files, sorted(relevant), encoding, ordered=True, ignoreCorruptFiles="true")
-        df = extract_year(df)
+        df = extract_year(df, max_files=len(files))
         keep = [c for c in df.columns if c in {w.lower() for w in wanted} | {"year", *SOURCE_ORDER}]
         parts.append(df.select(*[F.col(f"`{c}`") for c in keep]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
