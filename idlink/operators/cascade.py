@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from idlink.functions import dates, scores
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import keyed_join
+from idlink.operators.skew import spread_join
 from idlink.schemas import PASS_POINTS
 
 CUSIP6, TICKER = "C", "T"
@@ -129,7 +129,7 @@ def filter_by_identifiers(master: DataFrame, provider: DataFrame) -> DataFrame:
             continue
         flag = f"_named_{kind}"
         keys = named.where(F.col("key_kind") == kind).select(F.col("key").alias(column), F.lit(True).alias(flag))
-        master = keyed_join(master, keys, [column], "left")
+        master = spread_join(master, keys, [column], ["permno", "namedt"], "left")
         flags.append(F.coalesce(F.col(flag), F.lit(False)))
     keep = flags[0] if len(flags) == 1 else flags[0] | flags[1]
     return master.where(keep).drop("_named_C", "_named_T")
@@ -218,7 +218,7 @@ def provider_candidates(
         )
         # Rows an earlier pass already matched no longer look anything up.
         wanted = F.col(step.key) if first else F.when(F.col("match_src").isNull(), F.col(step.key))
-        result = keyed_join(result.withColumn("_key", wanted), entry, ["_key", "year"], "left")
+        result = spread_join(result.withColumn("_key", wanted), entry, ["_key", "year"], [spec.entity], "left")
         new = F.col("match_src").isNull() & F.col("_hit").isNotNull()
         result = result.withColumns(
             {

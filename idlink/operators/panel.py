@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from idlink.functions import dates, scores
 from idlink.operators.cascade import CUSIP6, TICKER
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import keyed_join, spread_join
+from idlink.operators.skew import spread_join
 
 PANEL_COLUMNS = [
     "date", "ticker_sp500", "cusip_sp500", "gvkey", "permno", "ticker_crsp", "company_name",
@@ -134,7 +134,7 @@ def panel_best(
             F.col("key").alias("_key"), "snapshot_date", F.struct(*found).alias("_hit")
         )
         wanted = F.when(F.col("match_type").isNull(), F.col(columns[kind])) if i else F.col(columns[kind])
-        members = keyed_join(members.withColumn("_key", wanted), entry, ["_key", "snapshot_date"], "left")
+        members = spread_join(members.withColumn("_key", wanted), entry, ["_key", "snapshot_date"], [row_id], "left")
         hit = F.when(F.col("_hit").isNotNull(), F.lit(labels[kind]))
         members = members.withColumns(
             {

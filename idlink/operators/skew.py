@@ -1,18 +1,17 @@
 """Equi-joins that stay balanced when one key holds a large share of the rows.
 
 Adaptive execution splits a skewed partition of a sort-merge join into pieces of bounded
-size and repeats its partner's partition for each. It does so only where both sides come
-straight from a shuffle made for that join and where nothing later relies on the join's
-partitioning. Most joins in this package have that shape: their inputs were grouped by
-other keys before, and a shuffle follows.
-
-Two do not: a join whose lookup side was grouped by exactly the join key, and a join that
-is followed by an aggregation whose keys contain the join key. `spread_join` gives them
-the shape. It adds a slice number, from a hash of other columns, to the join key, and
-repeats the small side once per slice. The lookup side then needs a shuffle of its own,
-the aggregation needs one too (after its partial step), and rows with a null key, which
-cannot match, no longer meet in one partition. Few slices are enough, because adaptive
-execution splits what is still too large.
+size and repeats its partner's partition for each. `session.SETTINGS` lets it do so also
+where a later step would have reused the join's partitioning. It costs nothing while no
+partition is skewed, but needs both sides to come straight from a shuffle made for the
+join. Most joins in this package have that shape, as their inputs were grouped by other
+keys before.
+
+Where the lookup side was grouped by exactly the join key there is no such shuffle.
+`spread_join` gives these joins the shape: it adds a slice number, from a hash of other
+columns, to the join key, and repeats the small side once per slice. Two slices are enough:
+what matters is the shuffle, after which adaptive execution splits whatever is too large,
+rows with a null key included.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 8
+SLICES = 2
 
 
 def spread_join(

@@ -8,17 +8,26 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution picks the join strategy and merges small shuffle partitions
-# from run-time sizes, so no operator in this package hard-codes either.
+# Adaptive execution picks the join strategy, merges small shuffle partitions and splits
+# skewed ones from run-time sizes, so no operator in this package hard-codes any of these.
+# The forced form may add a shuffle after a join whose partitions it splits; without
+# it a skewed join stays whole whenever a later step would have reused its partitioning.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session made elsewhere; all of them can change at run time."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def get_spark(app: str = "idlink", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the package's settings. `extra` overrides them, dots written as `__`."""
     builder = SparkSession.builder.appName(app)

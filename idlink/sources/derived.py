@@ -14,12 +14,18 @@ _C6 = f"lpad(CAST(100000 + {_ISS} AS STRING), 6, '0')"
 _C6B = f"lpad(CAST(CASE WHEN o_orderkey % 11 = 0 THEN 200000 ELSE 100000 END + {_ISS} AS STRING), 6, '0')"
 _OD = "CAST(o_orderdate AS DATE)"
 
+# A segment ends the day before the security's next order. Only the last order of a day
+# looks ahead, from one row per (customer, day), so no customer's orders meet in one window.
 NAMES = f"""
 SELECT 10000 + o_custkey AS permno, 20000 + {_ISS} AS permco, {_OD} AS namedt,
-  lead({_OD}) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS nameendt,
+  CASE WHEN o_orderkey < last_key THEN {_OD} - 1 ELSE next_day - 1 END AS nameendt,
   'Company ' || CAST({_ISS} AS STRING) AS comnam, 't' || CAST(o_custkey % 400 AS STRING) AS ticker,
   {_C6B} || '10' AS ncusip, 9 + CAST(substr(o_orderpriority, 1, 1) AS INT) AS shrcd,
-  CAST(1 + o_orderkey % 4 AS INT) AS exchcd, o_orderkey AS src_id FROM {{orders}}
+  CAST(1 + o_orderkey % 4 AS INT) AS exchcd, o_orderkey AS src_id
+FROM {{orders}} JOIN (
+  SELECT cust, day, last_key, lead(day) OVER (PARTITION BY cust ORDER BY day) AS next_day FROM (
+    SELECT o_custkey AS cust, {_OD} AS day, max(o_orderkey) AS last_key FROM {{orders}} GROUP BY o_custkey, {_OD}) AS d
+  ) AS e ON o_custkey = e.cust AND {_OD} = e.day
 """
 
 NAMES_RAW = f"""
