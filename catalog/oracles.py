@@ -173,10 +173,10 @@ FROM (SELECT {_norm_token('issuerid')} AS issuer_id, year, {_norm_token('issuer_
 _PROVIDER_C = f"""
 SELECT p.*, NULLIF(regexp_replace(symbol, '\\.[A-Z]+$', ''), '') AS clean_symbol,
   {_isin6('p.isin')} AS cusip6_from_isin, {_WINDOW}
-FROM (SELECT {_norm_token('symbol')} AS symbol, year, {_norm_token('isin')} AS isin, environmental, social,
+FROM (SELECT {_norm('symbol')} AS symbol, year, {_norm('isin')} AS isin, environmental, social,
     CAST(NULL AS DOUBLE) AS governance, CAST(NULL AS DOUBLE) AS esg, CAST(NULL AS DATE) AS period_end
   FROM provider_c c
-  QUALIFY row_number() OVER (PARTITION BY {_norm_token('symbol')}, c.year ORDER BY src_id) = 1) p
+  QUALIFY row_number() OVER (PARTITION BY {_norm('symbol')}, c.year ORDER BY src_id) = 1) p
 """
 
 
@@ -551,8 +551,8 @@ ORDER BY date, gvkey NULLS LAST, cusip_sp500 NULLS LAST, ticker_sp500 NULLS LAST
 FROM (SELECT count(*) AS n FROM panel GROUP BY date, gvkey HAVING count(*) > 1)""",
     "panel_coverage": """SELECT p.year, count(DISTINCT gvkey) AS n_gvkeys, count(DISTINCT permno) AS n_permnos, count(*) AS n_rows
 FROM panel p GROUP BY p.year ORDER BY p.year DESC LIMIT 10""",
-    "panel_match_rate": f"""SELECT count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date,
-  {_SHARE.format('gvkey')} AS gvkey_rate, {_SHARE.format('permno')} AS permno_rate FROM panel""",
+    "panel_match_rate": f"""SELECT count(*) AS n_rows, count(DISTINCT gvkey) AS n_gvkeys, count(DISTINCT permno) AS n_permnos,
+  min(date) AS first_date, max(date) AS last_date, {_SHARE.format('gvkey')} AS gvkey_rate, {_SHARE.format('permno')} AS permno_rate FROM panel""",
     "match_summary": """SELECT (SELECT count(*) FROM clean_a) AS n_input, count(*) AS n_matched,
   round(count(*) / (SELECT count(*) FROM clean_a)::DOUBLE, 6) AS match_rate, count(DISTINCT orgpermid) AS n_entities,
   count(DISTINCT gvkey) AS n_gvkeys, min(m.year) AS min_year, max(m.year) AS max_year FROM matches_a m""",
@@ -583,6 +583,15 @@ INTERSECT SELECT gvkey FROM matches_c""",
     "gvkey_pairwise": _PAIRWISE,
     "gvkey_exclusive": """SELECT gvkey, min(provider) AS provider FROM all_matches WHERE gvkey IS NOT NULL
 GROUP BY gvkey HAVING count(DISTINCT provider) = 1""",
+    "master_summary": "SELECT count(*) AS n_segments, count(gvkey) AS n_linked, count(DISTINCT gvkey) AS n_gvkeys FROM master",
+    "provider_summary": """SELECT m.provider, count(*) AS n_matches, count(DISTINCT entity_id) AS n_entities,
+  count(DISTINCT gvkey) AS n_gvkeys, min(m.year) AS min_year, max(m.year) AS max_year FROM all_matches m GROUP BY m.provider""",
+    "consolidated_summary": """SELECT provider, count(*) AS n_mappings, count(DISTINCT gvkey) AS n_gvkeys
+FROM consolidated GROUP BY provider""",
+    "constituent_summary": """SELECT count(*) AS n_rows, count(DISTINCT ric) AS n_rics, min(date) AS first_date, max(date) AS last_date
+FROM members""",
+    "ml_grid_summary": """SELECT count(*) AS n_rows, min(p.year) AS min_year, max(p.year) AS max_year, count(DISTINCT gvkey) AS n_gvkeys
+FROM panel p WHERE p.month = 12""",
     "month_fallback": """SELECT date, ric, CASE WHEN month(date) <> 12 THEN isin END AS isin,
   CASE WHEN month(date) <> 12 THEN cusip END AS cusip, row_id FROM members""",
     "month_spine": """SELECT last_day(CAST(m AS DATE)) AS month_end FROM (SELECT unnest(generate_series(date_trunc('month', min(date)),

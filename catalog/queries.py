@@ -690,6 +690,31 @@ def gvkey_exclusive(spark, sf):
     return reports.gvkey_exclusive(inputs.all_matches(spark, sf))
 
 
+@query
+def master_summary(spark, sf):
+    return reports.master_summary(inputs.master(spark, sf))
+
+
+@query
+def provider_summary(spark, sf):
+    return reports.provider_summary({s.name: (inputs.matches(spark, sf, x), s.entity) for x, s in inputs.SPECS.items()})
+
+
+@query
+def consolidated_summary(spark, sf):
+    return reports.consolidated_summary(crosswalk.consolidate(inputs.crosswalks(spark, sf)))
+
+
+@query
+def constituent_summary(spark, sf):
+    return reports.constituent_summary(inputs.constituents(spark, sf))
+
+
+@query
+def ml_grid_summary(spark, sf):
+    return reports.grid_summary(panel.ml_grid(inputs.panel(spark, sf)))
+
+
 # ---- accumulation of snapshots ---------------------------------------------------------
 
 

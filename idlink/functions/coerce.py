@@ -24,6 +24,8 @@ _MS_PER_DAY = 86_400_000
 
 def null_tokens(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     """The usual delimited-file spellings of "missing" become null."""
+    if not tokens:
+        return c
     return F.when(~c.isin(*tokens), c)
 
 
@@ -50,17 +52,23 @@ def in_range(c: Column) -> Column:
 
 def parse_date(text: Column, fmt: str) -> Column:
     """Date in one format. Texts of another shape are not tried: a failed parse is slow."""
-    return in_range(F.when(text.rlike(DATE_SHAPES[fmt]), F.try_to_date(text, fmt)))
+    return F.when(text.rlike(DATE_SHAPES[fmt]), F.try_to_date(text, fmt))
 
 
-def to_date(c: Column, source: DataType | None = None) -> Column:
-    """Date by value, in any of the known formats; a time part after it is ignored."""
-    if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
-        return in_range(c.cast("date"))
-    text = F.substring_index(F.substring_index(strip(c.cast("string")), " ", 1), "T", 1)
+def date_text(c: Column) -> Column:
+    """The date part of a text: trimmed, a time part after it dropped."""
+    return F.substring_index(F.substring_index(strip(c.cast("string")), " ", 1), "T", 1)
+
+
+def parse_any_date(text: Column) -> Column:
     return F.coalesce(*[parse_date(text, f) for f in DATE_SHAPES])
 
 
+def to_date(c: Column) -> Column:
+    """Date by value, in any of the known formats; out-of-range dates are null."""
+    return in_range(parse_any_date(date_text(c)))
+
+
 def open_end(c: Column) -> Column:
     """End date of a validity interval; missing means still open."""
     return F.coalesce(c, F.lit(FAR_FUTURE).cast("date"))
@@ -71,16 +79,23 @@ def epoch_ms_date(c: Column) -> Column:
     return F.date_from_unix_date(F.floor(c / _MS_PER_DAY).cast("int"))
 
 
-def coerce(c: Column, source: DataType, target: DataType, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
-    """`c` of type `source` as `target`, bad values null."""
-    if isinstance(source, StringType):
-        c = null_tokens(c, tokens)
-    if isinstance(target, BooleanType):
-        return to_boolean(c, source)
+def coerce_steps(name: str, source: DataType, target: DataType, tokens: tuple[str, ...] = NULL_TOKENS) -> list[Column]:
+    """Column `name` of type `source` to `target` in three projections, bad values null.
+
+    Each step refers to the column the step before made. A value that is used more than
+    once is computed once that way; as one expression it would be computed for every use.
+    """
+    c = F.col(f"`{name}`")
     if isinstance(target, DateType):
-        return to_date(c, source)
-    if isinstance(target, IntegralType):
-        return to_integer(c, target, source)
-    if isinstance(target, FractionalType):
-        return c.try_cast(target)
-    return c.cast(target)
+        if isinstance(source, StringType):
+            steps = [date_text(c), parse_any_date(c), in_range(c)]
+        else:
+            steps = [c, c.cast("date"), in_range(c)]
+    elif isinstance(target, BooleanType):
+        steps = [to_boolean(null_tokens(c, tokens) if isinstance(source, StringType) else c, source), c, c]
+    elif isinstance(target, IntegralType):
+        steps = [to_integer(c, target, source), c, c]
+    else:
+        text = null_tokens(c, tokens) if isinstance(source, StringType) else c
+        steps = [text.try_cast(target) if isinstance(target, FractionalType) else text.cast(target), c, c]
+    return [step.alias(name) for step in steps]

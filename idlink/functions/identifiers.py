@@ -25,9 +25,14 @@ def pad_gvkey(c: Column) -> Column:
     return F.lpad(c, F.greatest(F.lit(GVKEY_WIDTH), F.length(c)), F.lit("0"))
 
 
+def gvkey_digits(c: Column) -> Column:
+    """Digits of a firm key, a trailing `.0` dropped; null without any."""
+    return F.nullif(F.regexp_replace(strip(c), r"\.0$|[^0-9]", ""), F.lit(""))
+
+
 def norm_gvkey(c: Column) -> Column:
-    """Firm key as digits only, a trailing `.0` dropped, padded to six."""
-    return pad_gvkey(F.nullif(F.regexp_replace(strip(c), r"\.0$|[^0-9]", ""), F.lit("")))
+    """Firm key as digits only, padded to six."""
+    return pad_gvkey(gvkey_digits(c))
 
 
 def cusip6(c: Column) -> Column:

@@ -16,9 +16,13 @@ def check_types(raw: DataFrame, table: Table) -> DataFrame:
     source = {f.name: f.dataType for f in df.schema.fields}
     fields = [f for f in table.schema.fields if f.name in source]
     aggregates = []
+    present_columns = [coerce.null_tokens(F.col(f.name).cast("string")).alias(f"_raw_{f.name}") for f in fields]
+    df = df.select(*[f.name for f in fields], *present_columns)
+    steps = [coerce.coerce_steps(f.name, source[f.name], f.dataType) for f in fields]
+    for step in zip(*steps, strict=True):
+        df = df.select(*step, *[f"_raw_{f.name}" for f in fields])
     for f in fields:
-        present = coerce.null_tokens(F.col(f.name).cast("string"))
-        converted = coerce.coerce(F.col(f.name), source[f.name], f.dataType)
+        present, converted = F.col(f"_raw_{f.name}"), F.col(f.name)
         aggregates.append(F.count(present).alias(f"{f.name}|n"))
         aggregates.append(F.count_if(present.isNotNull() & converted.isNull()).alias(f"{f.name}|bad"))
     rows = F.array(

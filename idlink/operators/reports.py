@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,9 +64,11 @@ def panel_coverage(panel: DataFrame, years: int = 10) -> DataFrame:
 
 
 def panel_match_rate(panel: DataFrame) -> DataFrame:
-    """Rows, date range, and the shares of rows with a firm and with a security."""
+    """Rows, date range, firms, securities, and the shares of rows with a firm and with a security."""
     return panel.agg(
         F.count("*").alias("n_rows"),
+        F.count_distinct("gvkey").alias("n_gvkeys"),
+        F.count_distinct("permno").alias("n_permnos"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         F.avg(F.col("gvkey").isNotNull().cast("int")).alias("gvkey_rate"),
@@ -102,16 +105,64 @@ def top_gvkeys(consolidated: DataFrame, rows: int = 10) -> DataFrame:
     return counts.orderBy(*desc("n_mappings"), *asc("gvkey")).limit(rows)
 
 
+def grid_summary(grid: DataFrame) -> DataFrame:
+    """Firm-years, year range and firms of the annual grid."""
+    return grid.agg(
+        F.count("*").alias("n_rows"),
+        F.min("constituency_year").alias("min_year"),
+        F.max("constituency_year").alias("max_year"),
+        F.count_distinct("gvkey").alias("n_gvkeys"),
+    )
+
+
+def constituent_summary(constituents: DataFrame) -> DataFrame:
+    """Rows, instruments and date span of collected constituents."""
+    return constituents.agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("ric").alias("n_rics"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+    )
+
+
+def master_summary(master: DataFrame) -> DataFrame:
+    """Segments, those with a firm, and firms."""
+    return master.agg(
+        F.count("*").alias("n_segments"),
+        F.count("gvkey").alias("n_linked"),
+        F.count_distinct("gvkey").alias("n_gvkeys"),
+    )
+
+
+def provider_summary(matches_by_provider: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per provider (matches, entity column): matches, entities, firms and year range."""
+    parts = [
+        m.groupBy(F.lit(name).alias("provider")).agg(
+            F.count("*").alias("n_matches"),
+            F.count_distinct(entity).alias("n_entities"),
+            F.count_distinct("gvkey").alias("n_gvkeys"),
+            F.min("year").alias("min_year"),
+            F.max("year").alias("max_year"),
+        )
+        for name, (m, entity) in matches_by_provider.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def consolidated_summary(consolidated: DataFrame) -> DataFrame:
+    """Mappings and firms per provider of the consolidated table."""
+    return consolidated.groupBy("provider").agg(
+        F.count("*").alias("n_mappings"), F.count_distinct("gvkey").alias("n_gvkeys")
+    )
+
+
 # ---- firms across providers ------------------------------------------------------------
 
 
 def firm_providers(matches_by_provider: dict[str, DataFrame]) -> DataFrame:
     """gvkey -> sorted array of the providers that have it, never longer than the provider list."""
     frames = [m.select(F.lit(name).alias("provider"), "gvkey") for name, m in matches_by_provider.items()]
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
-    known = union.where("gvkey IS NOT NULL")
+    known = reduce(DataFrame.unionByName, frames).where("gvkey IS NOT NULL")
     return known.groupBy("gvkey").agg(F.array_sort(F.collect_set("provider")).alias("providers"))
 
 

@@ -12,12 +12,15 @@ from pyspark.sql import SparkSession
 # skewed ones from run-time sizes, so no operator in this package hard-codes any of these.
 # The forced form may add a shuffle after a join whose partitions it splits; without
 # it a skewed join stays whole whenever a later step would have reused its partitioning.
+# The JVM never compiles methods of more than 8000 bytes; wide conforming projections
+# run faster split up than as one generated method of that size.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

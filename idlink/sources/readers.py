@@ -87,8 +87,8 @@ def extract_year(df: DataFrame, file_column: str = FILE, max_files: int | None =
     fallback = file_year(file_column)
     attempts = []
     for name in [c for c in ANNUAL_DATE_COLUMNS if c in df.columns]:
-        text = identifiers.strip(coerce.null_tokens(F.col(f"`{name}`").cast("string")))
-        attempts += [F.year(coerce.parse_date(text, f)) for f in DATE_SHAPES]
+        text = identifiers.strip(F.col(f"`{name}`").cast("string"))
+        attempts += [F.year(coerce.in_range(coerce.parse_date(text, f))) for f in DATE_SHAPES]
         attempts.append(F.year(coerce.to_date(text)))
     if not attempts:
         return df.withColumn("year", fallback)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from idlink.session import scratch_path
 
@@ -76,8 +75,8 @@ def write_unmatched(panel: DataFrame, path: str) -> None:
     write_sorted(unmatched_constituents(panel), path, ["date", "cusip_sp500", "ticker_sp500"], "csv")
 
 
-def append_batch(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def append_batch(df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str]) -> None:
     """Replace exactly the partitions present in `df`, so that a repeated batch is harmless."""
-    df.repartition(*[F.col(p) for p in partitions]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*partitions).parquet(path)
+    ordered = df.repartitionByRange(*partitions, *sort).sortWithinPartitions(*partitions, *sort)
+    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)

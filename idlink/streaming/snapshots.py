@@ -36,7 +36,7 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, order_by: Sequence[
         schema = rows.schema
         known = spark.read.schema(schema).parquet(table).where(F.col("batch_id") < batch_id).select(*KEY, "year")
         rows = rows.join(known, [*KEY, "year"], "left_anti")
-    append_batch(rows, table, ["year", "batch_id"])
+    append_batch(rows, table, ["year", "batch_id"], KEY)
 
 
 def accumulate(
