@@ -41,20 +41,24 @@ def get_spark(app: str = "idlink", master: str | None = None, **extra: str) -> S
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}  # application -> fallback folder of a local session
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`.
 
     Only a local session may fall back to a temporary folder: on a cluster a
     machine-local path would be lost with its executor.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="idlink-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="idlink-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,6 +6,7 @@ import logging
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,7 +122,7 @@ def read_annual(
     base = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     relevant = {c.lower() for c in wanted} | set(ANNUAL_DATE_COLUMNS) | {"year"}
-    for file in sorted(base.text(path).inputFiles()):
+    for file in sorted(unquote(f) for f in base.text(path).inputFiles()):
         try:
             header = tuple(c.strip().lower() for c in spark.read.option("header", True).csv(file).columns)
         except Exception:  # noqa: BLE001 - an unreadable file must not stop the others

@@ -126,15 +126,23 @@ def test_master_is_built_once(spark, tmp_path):
     assert len(calls) == 1
 
 
-def test_shared_folder_comes_from_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert shared_dir(spark) == str(tmp_path)
-        assert scratch_path(spark, "x").startswith(str(tmp_path))
-        assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+class Session:
+    """Just enough of a session to ask for the shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+
+
+def test_shared_folder_comes_from_the_session():
+    cluster = Session("yarn", "hdfs:///shared")
+    assert shared_dir(cluster) == "hdfs:///shared"
+    assert scratch_path(cluster, "x").startswith("hdfs:///shared/x-")
+    assert scratch_path(cluster, "x") != scratch_path(cluster, "x")
+    with pytest.raises(ValueError):
+        shared_dir(Session("yarn"))
+    local = Session("local[2]")
+    assert shared_dir(local) == shared_dir(local) != shared_dir(Session("local[3]"))
 
 
 SCHEMA = "date date, ric string, isin string, cusip string, row_id long"
