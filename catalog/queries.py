@@ -347,7 +347,7 @@ def provider_c_clean(spark, sf):
 
 @query
 def drop_null_keys(spark, sf):
-    return inputs.constituents(spark, sf).na.drop(subset=["cusip", "ticker"])
+    return conform.drop_missing(inputs.constituents(spark, sf), ["cusip", "ticker"])
 
 
 @query

@@ -64,10 +64,16 @@ def candidate_links(
 
     touching = dates.intervals_touch(F.col("namedt"), F.col("nameendt"), F.col("linkdt"), F.col("linkenddt"))
     by_permno = keyed_join(segments, any_cusip, ["permno"], "left", touching)
+    # A key that is never null keeps this branch free of extra filters, so that both
+    # branches read one shuffle of the segments.
     by_cusip = keyed_join(
-        segments, only_by_cusip.withColumn("ncusip6", F.col("cusip6")), ["permno", "ncusip6"], "inner", touching
+        segments.withColumn("_cusip_key", F.coalesce("ncusip6", F.lit(""))),
+        only_by_cusip.withColumn("_cusip_key", F.col("cusip6")),
+        ["permno", "_cusip_key"],
+        "inner",
+        touching,
     )
-    joined = by_permno.unionByName(by_cusip)
+    joined = by_permno.unionByName(by_cusip.drop("_cusip_key"))
     return joined.withColumns(
         {
             "overlap_days": dates.touching_overlap_days(

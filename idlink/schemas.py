@@ -22,10 +22,10 @@ from pyspark.sql.types import (
 FAR_FUTURE = "2262-04-11"  # open end of a segment or link
 FIRST_LINK_DATE = "1900-01-01"  # missing start of a link
 EARLIEST_DATE = "1677-09-22"  # dates outside [EARLIEST_DATE, FAR_FUTURE] count as missing
-DATE_SHAPES = {  # accepted date formats and the texts each applies to
-    "yyyyMMdd": r"^\d{8}$",
-    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
-    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+DATE_SHAPES = {  # accepted date formats: the texts each applies to, and how to write them in ISO form
+    "yyyyMMdd": (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    "yyyy-M-d": (r"^\d{4}-\d{1,2}-\d{1,2}$", None),
+    "M/d/yyyy": (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
 }
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
