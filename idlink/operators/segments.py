@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from idlink.operators.ranking import asc, desc, keep_first
 from idlink.operators.skew import keyed_join
 from idlink.schemas import SEGMENT_KEY
 
+Stage = Callable[[DataFrame], DataFrame]
 NAME_ORDER = ("shrcd", "exchcd", "ncusip", "ticker", "comnam", "permco")
 LINK_COLUMNS = ["gvkey", "linkdt", "linkenddt", "cusip", "cusip6", "linkprim", "linktype"]
 LINK_SCORES = ["linkprim_score", "linktype_rank"]
@@ -45,6 +46,7 @@ def candidate_links(
     names: DataFrame,
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Segments with the links that can be their best one; unlinked segments keep null link columns.
 
@@ -54,6 +56,10 @@ def candidate_links(
     CUSIP6) that the first join lost are added through an equality on CUSIP6. Neither join
     pairs every name row with every link of a permno, and both follow the pattern whose
     skewed partitions adaptive execution splits.
+
+    `stage` stores the two reduced link tables. Their true sizes are then known before the
+    wide segments move: the second is empty or tiny unless a security has many CUSIPs, and
+    joining to it then needs no shuffle of the segments.
     """
     segments = keep_first(names, [*SEGMENT_KEY, "ncusip6"], asc(*order_by))
     narrow = links.select("permno", *LINK_COLUMNS, *LINK_SCORES)
@@ -62,6 +68,8 @@ def candidate_links(
     identity = [*_LINK_CLASS, "cusip6", "linkenddt"]
     only_by_cusip = own_cusip.join(any_cusip.select(*identity), identity, "left_anti")
 
+    if stage is not None:
+        any_cusip, only_by_cusip = stage(any_cusip), stage(only_by_cusip)
     touching = dates.intervals_touch(F.col("namedt"), F.col("nameendt"), F.col("linkdt"), F.col("linkenddt"))
     by_permno = keyed_join(segments, any_cusip, ["permno"], "left", touching)
     # A key that is never null keeps this branch free of extra filters, so that both
@@ -95,9 +103,10 @@ def segment_links(
     names: DataFrame,
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """The best overlapping link of every score class, per segment: at most six rows each."""
-    candidates = candidate_links(names, links, order_by)
+    candidates = candidate_links(names, links, order_by, stage)
     linked = candidates.where("linkdt IS NOT NULL")
     return keep_first(linked, [*SEGMENT_KEY, *LINK_SCORES], _best_first(order_by))
 
@@ -106,9 +115,10 @@ def best_links(
     names: DataFrame,
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """One row per segment with its best link, or with null link columns and zero scores."""
-    candidates = candidate_links(names, links, order_by)
+    candidates = candidate_links(names, links, order_by, stage)
     best = keep_first(candidates, SEGMENT_KEY, _best_first(order_by))
     return best.na.fill(0, subset=[*LINK_SCORES, "overlap_days", "cusip6_match"])
 

@@ -8,28 +8,31 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from idlink.operators.primary import primary_map, with_primary
-from idlink.operators.segments import NAME_ORDER, best_links, with_flags
+from idlink.operators.segments import NAME_ORDER, Stage, best_links, with_flags
 from idlink.schemas import SECURITY_MASTER
 from idlink.sources.sinks import write_master
 
 
-def linked_segments(names: DataFrame, links: DataFrame, order_by: Sequence[str] = NAME_ORDER) -> DataFrame:
+def linked_segments(
+    names: DataFrame, links: DataFrame, order_by: Sequence[str] = NAME_ORDER, stage: Stage | None = None
+) -> DataFrame:
     """Best link and flags per segment, before the primary security is known."""
-    return with_flags(best_links(names, links, order_by))
+    return with_flags(best_links(names, links, order_by, stage))
 
 
 def build_security_master(
     names: DataFrame,
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """The 30-column master from clean names and links.
 
     The linked segments feed both the choice of primaries and the final rows. `stage`
-    (see `sinks.stored`) writes them once to the shared folder instead of linking twice.
+    (see `sinks.stored`) writes them, and the reduced links, once to the shared folder
+    instead of linking twice.
     """
-    segments = linked_segments(names, links, order_by)
+    segments = linked_segments(names, links, order_by, stage)
     if stage is not None:
         segments = stage(segments)
     return with_primary(segments, primary_map(segments)).select(*SECURITY_MASTER.columns)

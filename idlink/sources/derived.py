@@ -8,6 +8,7 @@ names the table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _ISS = "(o_custkey - CASE WHEN o_custkey % 10 = 1 THEN 1 ELSE 0 END)"
 _C6 = f"lpad(CAST(100000 + {_ISS} AS STRING), 6, '0')"
@@ -123,6 +124,12 @@ TABLES = {
 }
 
 
+_schemas: dict[str, StructType] = {}  # path -> schema, so that footers are read once per table
+
+
 def derive(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One derived input over the whole `orders` table."""
-    return spark.sql(TABLES[table], orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    path = f"{sf_dir}/orders.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.sql(TABLES[table], orders=spark.read.schema(_schemas[path]).parquet(path))

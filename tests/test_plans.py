@@ -45,6 +45,23 @@ def test_top_one_is_limited_before_the_shuffle(spark):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
+def test_a_crosswalk_needs_one_shuffle(spark):
+    plan = queries()["crosswalk_a"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_staged_link_tables_spare_the_segments_a_shuffle(spark):
+    """With the size of the links known, segments are shuffled to be de-duplicated and to be ranked only."""
+    from catalog import inputs
+    from idlink.sources.sinks import stored
+
+    names, links = inputs.names(spark, SF), inputs.links(spark, SF)
+    best = segments.best_links(stored(spark, "names")(names), links, stage=stored(spark, "links"))
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert sum(line.count("Exchange hash") for line in plan.splitlines()) == 3
+
+
 @contextlib.contextmanager
 def small_thresholds(spark):
     conf = {

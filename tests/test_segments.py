@@ -95,6 +95,16 @@ def test_best_links_equal_brute_force(spark, case):
     assert got == brute_best(names, links)
 
 
+def test_staging_changes_nothing(spark):
+    from idlink.sources.sinks import stored
+
+    names, links = random_input(8, 90, 150, [1, 2, 3], 100, 30)
+    n, l = frames(spark, names, links)
+    plain = segments.best_links(n, l, order_by=("src",)).collect()
+    staged = segments.best_links(n, l, order_by=("src",), stage=stored(spark, "links")).collect()
+    assert sorted(map(str, plain)) == sorted(map(str, staged))
+
+
 def test_result_does_not_depend_on_partitioning(spark):
     names, links = random_input(5, 80, 120, [1, 2, 3], 100, 3)
     results = []
