@@ -29,6 +29,14 @@ def null_tokens(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
+def null_tokens_of(name: str, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
+    """`null_tokens` of a named column, as one SQL expression: quicker to build for wide tables."""
+    if not tokens:
+        return F.col(f"`{name}`")
+    listed = ", ".join("'" + t.replace("'", "\\'") + "'" for t in tokens)
+    return F.expr(f"CASE WHEN `{name}` NOT IN ({listed}) THEN `{name}` END")
+
+
 def to_integer(c: Column, target: DataType, source: DataType | None = None) -> Column:
     """Whole numbers, also when written like `12.0`; anything else becomes null."""
     if isinstance(source, IntegralType):
@@ -93,10 +101,10 @@ def coerce_steps(name: str, source: DataType, target: DataType, tokens: tuple[st
         else:
             steps = [c, c.cast("date"), in_range(c)]
     elif isinstance(target, BooleanType):
-        steps = [to_boolean(null_tokens(c, tokens) if isinstance(source, StringType) else c, source), c, c]
+        steps = [to_boolean(c, source), c, c]
     elif isinstance(target, IntegralType):
         steps = [to_integer(c, target, source), c, c]
     else:
-        text = null_tokens(c, tokens) if isinstance(source, StringType) else c
+        text = null_tokens_of(name, tokens) if isinstance(source, StringType) else c
         steps = [text.try_cast(target) if isinstance(target, FractionalType) else text.cast(target), c, c]
     return [step.alias(name) for step in steps]

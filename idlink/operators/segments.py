@@ -12,7 +12,7 @@ from idlink.operators.ranking import asc, desc, keep_first
 from idlink.operators.skew import keyed_join
 from idlink.schemas import SEGMENT_KEY
 
-Stage = Callable[[DataFrame], DataFrame]
+Stage = Callable[..., DataFrame]
 NAME_ORDER = ("shrcd", "exchcd", "ncusip", "ticker", "comnam", "permco")
 LINK_COLUMNS = ["gvkey", "linkdt", "linkenddt", "cusip", "cusip6", "linkprim", "linktype"]
 LINK_SCORES = ["linkprim_score", "linktype_rank"]
@@ -57,8 +57,8 @@ def candidate_links(
     pairs every name row with every link of a permno, and both follow the pattern whose
     skewed partitions adaptive execution splits.
 
-    `stage` stores the two reduced link tables. Their true sizes are then known before the
-    wide segments move: the second is empty or tiny unless a security has many CUSIPs, and
+    `stage` stores the reduced links, the two kinds apart. Their true sizes are then known
+    before the wide segments move: the second is empty or tiny unless a security has many CUSIPs, and
     joining to it then needs no shuffle of the segments.
     """
     segments = keep_first(names, [*SEGMENT_KEY, "ncusip6"], asc(*order_by))
@@ -69,7 +69,9 @@ def candidate_links(
     only_by_cusip = own_cusip.join(any_cusip.select(*identity), identity, "left_anti")
 
     if stage is not None:
-        any_cusip, only_by_cusip = stage(any_cusip), stage(only_by_cusip)
+        marked = [t.withColumn("by_cusip", F.lit(i)) for i, t in enumerate((any_cusip, only_by_cusip))]
+        reduced = stage(marked[0].unionByName(marked[1]), "by_cusip")
+        any_cusip, only_by_cusip = [reduced.where(F.col("by_cusip") == i).drop("by_cusip") for i in (0, 1)]
     touching = dates.intervals_touch(F.col("namedt"), F.col("nameendt"), F.col("linkdt"), F.col("linkenddt"))
     by_permno = keyed_join(segments, any_cusip, ["permno"], "left", touching)
     # A key that is never null keeps this branch free of extra filters, so that both

@@ -13,16 +13,17 @@ from idlink.session import scratch_path
 _TEXT_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def stored(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
+def stored(spark: SparkSession, name: str) -> Callable[..., DataFrame]:
     """A stage that writes a frame to the shared folder and reads it back.
 
-    It cuts lineage in a way that survives lost executors.
+    It cuts lineage in a way that survives lost executors. Columns named after the frame
+    become directories, so that a filter on them leaves a table whose size is known.
     """
 
-    def write_and_read(df: DataFrame) -> DataFrame:
+    def write_and_read(df: DataFrame, *partitions: str) -> DataFrame:
         path = scratch_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
+        df.write.partitionBy(*partitions).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     return write_and_read
 

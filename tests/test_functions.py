@@ -43,6 +43,13 @@ def test_null_tokens_hit_a_real_ticker(spark):
     assert values(spark, ["NA", "NAN", "null", "", " "], coerce.null_tokens) == [None, "NAN", None, None, " "]
 
 
+def test_null_tokens_by_name_agree(spark):
+    tokens = (*coerce.NULL_TOKENS, "it's")
+    df = spark.createDataFrame([(t,) for t in (*tokens, "x", " NA", None)], "v string")
+    both = df.select(coerce.null_tokens(F.col("v"), tokens).alias("a"), coerce.null_tokens_of("v", tokens).alias("b"))
+    assert both.where("NOT a <=> b").count() == 0 and both.where("a IS NOT NULL").count() == 2
+
+
 def test_integer_coercion(spark):
     got = values(spark, ["12", "12.0", " 7 ", "12.5", "x", None], lambda c: coerce.to_integer(c, LongType()))
     assert got == [12, 12, 7, None, None, None]
