@@ -85,7 +85,7 @@ def open_end(c: Column) -> Column:
 
 def epoch_ms_date(c: Column) -> Column:
     """UTC date of an epoch-millisecond value, whatever the session time zone."""
-    return F.date_from_unix_date(F.floor(c / _MS_PER_DAY).cast("int"))
+    return F.date_from_unix_date(F.floor(c / _MS_PER_DAY).try_cast("int"))
 
 
 def coerce_steps(name: str, source: DataType, target: DataType, tokens: tuple[str, ...] = NULL_TOKENS) -> list[Column]:

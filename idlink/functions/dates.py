@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from idlink.schemas import FIRST_YEAR, LAST_YEAR
+
 
 def year_start(year: Column) -> Column:
-    return F.make_date(year, F.lit(1), F.lit(1))
+    """January 1; null for years outside the supported dates, which would fail the job otherwise."""
+    return F.when(year.between(FIRST_YEAR, LAST_YEAR), F.make_date(year, F.lit(1), F.lit(1)))
 
 
 def year_end(year: Column) -> Column:
     """Exclusive end of a calendar year."""
-    return F.make_date(year + 1, F.lit(1), F.lit(1))
+    return F.when(year.between(FIRST_YEAR - 1, LAST_YEAR - 1), F.make_date(year + 1, F.lit(1), F.lit(1)))
 
 
 def overlap_days(start1: Column, end1: Column, start2: Column, end2: Column) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 FAR_FUTURE = "2262-04-11"  # open end of a segment or link
 FIRST_LINK_DATE = "1900-01-01"  # missing start of a link
 EARLIEST_DATE = "1677-09-22"  # dates outside [EARLIEST_DATE, FAR_FUTURE] count as missing
+FIRST_YEAR, LAST_YEAR = 1678, 2262  # years whose January 1 is such a date
 DATE_SHAPES = {  # accepted date formats: the texts each applies to, and how to write them in ISO form
     "yyyyMMdd": (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
     "yyyy-M-d": (r"^\d{4}-\d{1,2}-\d{1,2}$", None),

@@ -81,6 +81,16 @@ def test_epoch_days_do_not_depend_on_the_session_zone(spark, zone):
     assert got == [dt.date(2000, 12, 31), dt.date(1969, 12, 31)]
 
 
+def test_absurd_years_and_epochs_are_null(spark):
+    years = [-5, 1677, 1678, 2261, 2262, 20010, 2147483647, None]
+    starts = values(spark, years, dates.year_start, "int")
+    ends = values(spark, years, dates.year_end, "int")
+    assert [d and d.year for d in starts] == [None, None, 1678, 2261, 2262, None, None, None]
+    assert [d and d.year for d in ends] == [None, 1678, 1679, 2262, None, None, None, None]
+    millis = lambda c: coerce.in_range(coerce.epoch_ms_date(c))
+    assert values(spark, [9 * 10**18, -9 * 10**18, None], millis, "bigint") == [None, None, None]
+
+
 def overlap(spark, a, b, c, d, fn=dates.overlap_days):
     schema = "a string, b string, c string, d string"
     df = spark.createDataFrame([(a, b, c, d)], schema).select(*[F.col(x).cast("date") for x in "abcd"])
