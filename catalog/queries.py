@@ -12,7 +12,7 @@ from catalog import inputs
 from idlink import schemas
 from idlink.functions import coerce, dates, identifiers, scores
 from idlink.operators import cascade, crosswalk, panel, primary, quality, reports, segments, snapshots
-from idlink.operators.cascade import CUSIP6, PROVIDER_A, PROVIDER_B, PROVIDER_C, TICKER, Pass
+from idlink.operators.cascade import CUSIP6, PROVIDER_A, PROVIDER_C, TICKER, Pass
 from idlink.plans.master import get_or_build_master, linked_segments
 from idlink.session import scratch_path
 from idlink.sources import conform, readers, sinks

@@ -12,8 +12,6 @@ from pyspark.sql.types import (
     IntegralType,
     NumericType,
     StringType,
-    TimestampNTZType,
-    TimestampType,
 )
 
 from idlink.functions.identifiers import strip
