@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,17 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
 
 
+def prepared(fn):
+    """The query on a session with this folder's settings."""
+
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        prepare(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 @query
 def op4_mixing(spark, sf):
     return mixing.mix_report(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
