@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from idlink.llm import decontaminate, jaccard, mixing, planes, quality
+from idlink.llm import attribution, decontaminate, jaccard, langid, licenses, mixing, planes, quality, suffix_tree, warc
 from idlink.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,21 @@ def prepared(fn):
     return run
 
 
+@query
+def op1_language_id(spark, sf):
+    return langid.language_report(table(spark, sf, "documents"))
+
+
+@query
+def op2_lm_scoring(spark, sf):
+    return suffix_tree.score_report(table(spark, sf, "documents"))
+
+
+@query
+def op3_token_counts(spark, sf):
+    return attribution.attribute(table(spark, sf, "documents"))
+
+
 @query
 def op4_mixing(spark, sf):
     return mixing.mix_report(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -44,6 +59,16 @@ def op5_token_output(spark, sf):
     return planes.token_output(table(spark, sf, "documents"))
 
 
+@query
+def op6_warc(spark, sf):
+    return warc.read_archives(warc.write_archives(table(spark, sf, "pages")))
+
+
+@query
+def op7_license_scan(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 @query
 def op8_decontamination(spark, sf):
     return decontaminate.contamination_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
