@@ -16,8 +16,8 @@ Search: an inverted index over the n-grams of a bounded block of a list's member
 (DivideSkip): the query's longest lists are set aside, the short ones are heap-merged, and members that
 occur T - L times are probed in the long lists by binary search; those reaching the required overlap link.
 
-Rounds: first each list's smallest member is the query of that list; members that are linked get one
-component. Lists within one component need no more. In the others, every member outside the component of
+Rounds: first one member is the query of its list, that which meets most others over all its lists;
+members that are linked get one component. Lists within one component need no more. In the others, every member outside the component of
 the first query is a query against members of other components. Any two members of a list are then in one
 component or were compared, and a hot group of near copies costs one query instead of all its pairs.
 Rows are dealt by (query, block), at most about `block` members each, so no group meets in one task.
@@ -116,7 +116,7 @@ def classes(docs: DataFrame, n: int) -> DataFrame:
 
 
 def part_lists(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(key, node, lo): all lists with two different sets or more, each with its smallest node."""
+    """(key, node, lo): all lists with two different sets or more, each with the node that is asked for first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies met by one task are sent once
@@ -134,8 +134,13 @@ def part_lists(texts: DataFrame, n: int, percent: int) -> DataFrame:
 
     keys = texts.select("t").mapInArrow(run, "key long, node long")
     of = Window.partitionBy("key")
-    lists = keys.withColumns({"lo": F.min("node").over(of), "hi": F.max("node").over(of)})
-    return lists.where(F.col("lo") < F.col("hi")).drop("hi")
+    lists = keys.withColumns({"lo": F.min("node").over(of), "hi": F.max("node").over(of), "n": F.count("*").over(of)})
+    lists = kept(lists.where(F.col("lo") < F.col("hi")).drop("lo", "hi"), "jaccard_members")
+    # The member that meets most others over all its lists is the likeliest to link with them.
+    weights = lists.groupBy("node").agg(F.sum("n").alias("weight"))
+    lists = lists.drop("n").join(weights, "node")
+    first = lists.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("lo"))
+    return lists.drop("weight").distinct().join(first, "key")
 
 
 def divide_skip(query: list[int], index: dict[int, list[int]], sizes: list[int], percent: int) -> list[int]:
