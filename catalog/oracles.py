@@ -416,6 +416,8 @@ _FINAL: dict[str, str] = {
     "scan_csv_lower": "SELECT * FROM names_raw_typed",
     "scan_pruned": "SELECT CAST(permno AS VARCHAR) AS permno, ncusip, ticker FROM names",
     "scan_encoding": "SELECT orgpermid, year, 'Société ' || comname AS comname FROM provider_a",
+    "scan_quoted": """SELECT orgpermid, year, '"A", ' || comname || chr(10) || '""b' AS comname FROM provider_a""",
+    "scan_cp1252": "SELECT orgpermid, year, 'Société €“ ' || comname AS comname FROM provider_a",
     "scan_multifile": "SELECT * FROM clean_b",
     "scan_parquet": "SELECT symbol, year, environmental, src_id FROM provider_c",
     "scan_constituents": "SELECT * FROM members",
@@ -509,7 +511,7 @@ QUALIFY row_number() OVER (PARTITION BY {_SEG} ORDER BY copy_no, src_id) = 1""",
 FROM (SELECT gvkey, count(DISTINCT CASE WHEN is_primary_permno THEN permno END) AS n FROM master WHERE gvkey IS NOT NULL GROUP BY gvkey)""",
     "match_cusip6": _match("clean_a", "orgpermid", (_CUSIP_PASS,), _A_COLUMNS),
     "match_ticker": _match("clean_c", "symbol", (_C_TICKER,), _C_COLUMNS, ticker="ticker"),
-    "anti_matched": f"""SELECT orgpermid, a.year, cusip6_from_isin FROM clean_a a WHERE cusip6_from_isin IS NOT NULL
+    "anti_matched": f"""SELECT orgpermid, a.year, cusip6_from_isin FROM clean_a a WHERE true
   AND NOT EXISTS (SELECT 1 FROM loaded m WHERE m.ncusip6 = a.cusip6_from_cusip
     AND {_overlap('a.valid_from', 'a.valid_to', 'm.namedt', 'm.nameendt')} > 0)""",
     "best_match": f"""

@@ -39,7 +39,7 @@ def _odd(spark: SparkSession, sf: str) -> DataFrame:
 def _export(spark: SparkSession, df: DataFrame, name: str, **options: str) -> str:
     path = scratch_path(spark, name)
     # The writer would trim texts by default; an export must not change them.
-    trim = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    trim = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
     df.write.option("header", True).options(**trim, **options).csv(path)
     return path
 
@@ -67,12 +67,29 @@ def scan_encoding(spark, sf):
     return rows.select("orgpermid", _c("year").try_cast("int").alias("year"), "comname")
 
 
+@query
+def scan_quoted(spark, sf):
+    """Texts with quotes, commas and line breaks, out and back."""
+    raw = derive(spark, sf, "provider_a").select("orgpermid", "year", F.concat(F.lit('"A", '), "comname", F.lit('\n""b')).alias("comname"))
+    path = _export(spark, raw, "quoted_csv")
+    rows = readers.read_delimited(spark, path, multiLine="true")
+    return rows.select("orgpermid", _c("year").try_cast("int").alias("year"), "comname")
+
+
+@query
+def scan_cp1252(spark, sf):
+    raw = derive(spark, sf, "provider_a").select("orgpermid", "year", F.concat(F.lit("Société \x80\x93 "), "comname").alias("comname"))
+    path = _export(spark, raw, "cp1252_csv", encoding="ISO-8859-1")
+    rows = readers.read_delimited(spark, path, encoding="windows-1252")
+    return rows.select("orgpermid", _c("year").try_cast("int").alias("year"), "comname")
+
+
 @query
 def scan_multifile(spark, sf):
     raw = derive(spark, sf, "provider_b")
     label = F.regexp_extract("file_name", r"(\d{4})", 1)
     path = scratch_path(spark, "annual")
-    raw.withColumn("report", label).drop("file_name").repartition("report").write.partitionBy("report").option("header", True).csv(path)
+    raw.withColumn("report", label).drop("file_name").write.partitionBy("report").option("header", True).csv(path)
     rows = readers.read_annual(spark, path, ["issuerid", "issuer_name", "issuer_cusip", "issuer_isin", "src_id"], "*.csv")
     rows = rows.withColumn("src_id", _c("src_id").cast("long"))
     return conform.clean_provider_b(rows, ["src_id"])
@@ -89,7 +106,7 @@ def scan_parquet(spark, sf):
 def scan_constituents(spark, sf):
     raw = derive(spark, sf, "constituents").withColumnsRenamed(
         {"date": "Date", "ric": "Instrument RIC", "isin": "TR.ISIN", "cusip": "CUSIP code", "ticker": "Ticker"}
-    )
+    ).withColumn("Price Close", F.lit("1.0"))
     return conform.clean_constituents(raw, keep=["row_id"])
 
 
@@ -469,7 +486,7 @@ def anti_matched(spark, sf):
     rows = inputs.provider(spark, sf, "a")
     found = inputs.match(spark, sf, "a", passes=PROVIDER_A.passes[:1])
     left = cascade.unmatched_after(rows, found, "orgpermid")
-    return left.where("cusip6_from_isin IS NOT NULL").select("orgpermid", "year", "cusip6_from_isin")
+    return left.select("orgpermid", "year", "cusip6_from_isin")
 
 
 @query

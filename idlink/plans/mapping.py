@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from idlink.operators.cascade import PROVIDERS, ProviderSpec, match_provider
 from idlink.operators.crosswalk import consolidate, crosswalk
+from idlink.operators.segments import Stage
 
 log = logging.getLogger(__name__)
 
@@ -35,15 +36,25 @@ def map_provider(provider: DataFrame, master: DataFrame, spec: ProviderSpec, yea
     return Mapping(spec, matches, crosswalk(matches, spec.entity))
 
 
-def map_all(sources: list[Source], master: DataFrame) -> tuple[dict[str, Mapping], dict[str, Exception]]:
-    """Map every enabled source; one that fails is reported and does not stop the others."""
+def map_all(
+    sources: list[Source], master: DataFrame, stage: Stage | None = None
+) -> tuple[dict[str, Mapping], dict[str, Exception]]:
+    """Map every enabled source; one that fails is reported and does not stop the others.
+
+    Plans are lazy, so a failure while running is only caught here with a `stage` (see
+    `sinks.stored`): it writes each provider's matches and crosswalk before the next one starts.
+    """
     done: dict[str, Mapping] = {}
     failed: dict[str, Exception] = {}
     for source in sources:
         if not source.enabled:
             continue
         try:
-            done[source.spec.name] = map_provider(source.load(), master, source.spec)
+            found = map_provider(source.load(), master, source.spec)
+            if stage is not None:
+                matches = stage(found.matches)
+                found = Mapping(found.spec, matches, stage(crosswalk(matches, found.spec.entity)))
+            done[source.spec.name] = found
         except Exception as error:  # noqa: BLE001 - isolation is the point
             log.exception("provider %s failed", source.spec.name)
             failed[source.spec.name] = error

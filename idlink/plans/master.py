@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from idlink.operators.primary import primary_map, with_primary
 from idlink.operators.segments import NAME_ORDER, Stage, best_links, with_flags
 from idlink.schemas import SECURITY_MASTER
+from idlink.session import path_exists
 from idlink.sources.sinks import write_master
 
 
@@ -39,12 +39,20 @@ def build_security_master(
 
 
 def get_or_build_table(spark: SparkSession, path: str, build: Callable[[], DataFrame], write=None) -> DataFrame:
-    """The table stored at `path`, else build it, store it and read it back."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The table stored at `path`, else build it, store it and read it back.
+
+    Only a table with its success marker counts as stored: a write that was cut short is done again.
+    Any other error while reading is an error.
+    """
+    if not path_exists(spark, path, "_SUCCESS"):
         (write or (lambda df, p: df.write.mode("overwrite").parquet(p)))(build(), path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete a stored stage. Intermediate tables stay in the shared folder until this is called."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def get_or_build_master(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:

@@ -61,6 +61,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def path_exists(spark: SparkSession, *parts: str) -> bool:
+    """Whether a file or folder exists, in any file system that Spark reaches."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join(parts))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")

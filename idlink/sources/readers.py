@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import logging
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from idlink.functions import coerce, identifiers
-from idlink.operators.skew import keyed_join, spread_join
+from idlink.operators.skew import spread_join
 from idlink.schemas import ANNUAL_DATE_COLUMNS, DATE_SHAPES
 from idlink.sources.conform import lower_headers
 
@@ -21,7 +23,11 @@ log = logging.getLogger(__name__)
 
 FILE, BLOCK, ROW = "_file", "_block", "_row"
 SOURCE_ORDER = [FILE, BLOCK, ROW]
-MAX_BROADCAST_FILES = 10_000
+#: Ordinary CSV doubles a quote within a quoted field; Spark expects a backslash unless told.
+DIALECT = {"header": "true", "escape": '"'}
+#: What Windows-1252 has where ISO-8859-1 has control characters, from 0x80 on; unused places are blank.
+_CP1252 = "€ ‚ƒ„…†‡ˆ‰Š‹Œ Ž  ‘’“”•–—˜™š›œ žŸ"
+_CP1252_PAIRS = [(chr(0x80 + i), c) for i, c in enumerate(_CP1252) if c != " "]
 
 
 def with_source_order(df: DataFrame) -> DataFrame:
@@ -47,10 +53,16 @@ def read_delimited(
 ) -> DataFrame:
     """Text columns with lower-case headers; `columns` picks some, whatever their case.
 
-    A selection is pruned in the scan. `ordered` adds the source-order columns.
+    A selection is pruned in the scan. `ordered` adds the source-order columns. `multiLine="true"`
+    among the options reads quoted line breaks, at the price of one task per file. Windows-1252
+    is read as ISO-8859-1 and its own characters are put in place, so no session setting is needed.
     """
-    reader = spark.read.option("header", True).option("encoding", encoding).options(**options)
+    cp1252 = encoding.lower() in ("windows-1252", "cp1252")
+    reader = spark.read.options(**DIALECT).option("encoding", "ISO-8859-1" if cp1252 else encoding).options(**options)
     df = reader.csv(path)
+    if cp1252:
+        old, new = ("".join(x) for x in zip(*_CP1252_PAIRS))
+        df = df.select(*[F.translate(F.col(f"`{c}`"), old, new).alias(c.translate(str.maketrans(old, new))) for c in df.columns])
     if ordered:
         df = with_source_order(df)
     df = lower_headers(df)
@@ -74,14 +86,13 @@ def file_year(path: str | F.Column) -> F.Column:
     return F.coalesce(F.nullif(name, F.lit("")), F.nullif(folder, F.lit(""))).cast("int")
 
 
-def extract_year(df: DataFrame, file_column: str = FILE, max_files: int | None = None) -> DataFrame:
+def extract_year(df: DataFrame, file_column: str = FILE) -> DataFrame:
     """Add `year` to rows of annual files with lower-case text columns.
 
     A `year` column decides where there is one. Otherwise each file takes the first
     (date column, format) pair that gives any of its rows a date, and without one the year
     in its name. The pair is found by one partial aggregate per file, so a file of any size
-    is never gathered, and looked up by the rows: by broadcast if the caller knows a small
-    bound on the number of files, else by a spread join.
+    is never gathered, and looked up by the rows in a spread join.
     """
     if "year" in df.columns:
         return df.withColumn("year", coerce.to_integer(coerce.null_tokens(F.col("year").cast("string")), IntegerType()))
@@ -95,47 +106,71 @@ def extract_year(df: DataFrame, file_column: str = FILE, max_files: int | None =
         return df.withColumn("year", fallback)
     usable = [F.when(F.bool_or(a.isNotNull()), F.lit(i)) for i, a in enumerate(attempts)]
     choice = df.groupBy(file_column).agg(F.coalesce(*usable).alias("_attempt"))
-    if max_files is not None and max_files <= MAX_BROADCAST_FILES:
-        rows = keyed_join(df, F.broadcast(choice), [file_column], "left")
-    else:
-        spread_by = [ROW] if ROW in df.columns else [c for c in df.columns if c != file_column]
-        rows = spread_join(df, choice, [file_column], spread_by, "left")
+    spread_by = [ROW] if ROW in df.columns else [c for c in df.columns if c != file_column]
+    rows = spread_join(df, choice, [file_column], spread_by, "left")
     chain = F.when(F.col("_attempt").isNull(), fallback)
     for i, a in enumerate(attempts):
         chain = chain.when(F.col("_attempt") == i, a)
     return rows.withColumn("year", chain).drop("_attempt")
 
 
+def _glob_escaped(path: str) -> str:
+    """A path that names one file even if it holds the characters of a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _plain(uri: str) -> str:
+    """A path without escapes and with one slash after the scheme, as listings spell it either way."""
+    return re.sub(r"^(\w+):/+", r"\1:/", unquote(uri))
+
+
+def _headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
+    """The header of every file that can be read, found in one job: the first line of its first block."""
+    lines = spark.read.option("ignoreCorruptFiles", "true").text([_glob_escaped(f) for f in files])
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.withColumn("row", F.monotonically_increasing_id()).where("block = 0")
+    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("value"))
+    found = {}
+    for file, value in first.collect():  # one row per file
+        cells = next(csv.reader([value.removeprefix("\ufeff")]), [])
+        found[_plain(file)] = tuple(c.strip().lower() for c in cells)
+    return found
+
+
 def read_annual(
     spark: SparkSession,
     path: str,
     wanted: Sequence[str],
     pattern: str = "*",
     encoding: str = "UTF-8",
+    skip_corrupt: bool = False,
+    **options: str,
 ) -> DataFrame:
     """Yearly delimited files under `path` as one table with `year` and the source-order columns.
 
     Headers may differ between files: files with the same header are read together, and
-    files that cannot be read or have none of the `wanted` columns are skipped. Only the
-    header line of each file is looked at here; there is one file per year or a few.
+    files that have none of the `wanted` columns are skipped. A file whose header cannot be read
+    is skipped and logged. One that breaks off later fails the job, unless `skip_corrupt` asks to
+    keep the rows before the break. `options` go to the reader.
     """
     base = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    listed = sorted(unquote(f) for f in base.text(path).inputFiles())
+    headers = _headers(spark, listed) if listed else {}
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     relevant = {c.lower() for c in wanted} | set(ANNUAL_DATE_COLUMNS) | {"year"}
-    for file in sorted(unquote(f) for f in base.text(path).inputFiles()):
-        try:
-            header = tuple(c.strip().lower() for c in spark.read.option("header", True).csv(file).columns)
-        except Exception:  # noqa: BLE001 - an unreadable file must not stop the others
-            log.exception("skipping unreadable file %s", file)
-            continue
-        if relevant & set(header):
-            by_header[header].append(file)
+    for file in listed:
+        header = headers.get(_plain(file))
+        if header is None:
+            log.warning("skipping unreadable file %s", file)
+        elif relevant & set(header):
+            by_header[header].append(_glob_escaped(file))
     if not by_header:
         raise FileNotFoundError(f"no usable files under {path}")
+    if skip_corrupt:
+        options["ignoreCorruptFiles"] = "true"
     parts = []
     for files in by_header.values():
-        df = read_delimited(spark, files, sorted(relevant), encoding, ordered=True, ignoreCorruptFiles="true")
-        df = extract_year(df, max_files=len(files))
+        df = extract_year(read_delimited(spark, files, sorted(relevant), encoding, ordered=True, **options))
         keep = [c for c in df.columns if c in {w.lower() for w in wanted} | {"year", *SOURCE_ORDER}]
         parts.append(df.select(*[F.col(f"`{c}`") for c in keep]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -11,7 +11,7 @@ from idlink.session import scratch_path
 
 
 # Without the last two the writer trims texts.
-_TEXT_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+_TEXT_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def stored(spark: SparkSession, name: str) -> Callable[..., DataFrame]:
@@ -59,7 +59,16 @@ def write_crosswalks(consolidated: DataFrame, path: str) -> None:
 
 
 def write_panel(panel: DataFrame, path: str) -> None:
-    write_by(panel, path, ["year"], ["date", "gvkey"])
+    """By year; the security's keys part the members of a date that have no firm."""
+    write_by(panel, path, ["year"], ["date", "gvkey", *[c for c in ("cusip_sp500", "ticker_sp500") if c in panel.columns]])
+
+
+def write_grid(grid: DataFrame, path: str) -> None:
+    write_by_suffix(grid, path, [c for c in ("gvkey", "year") if c in grid.columns])
+
+
+def write_audit(sample: DataFrame, path: str) -> None:
+    write_by_suffix(sample, path, [c for c in ("date", "gvkey") if c in sample.columns])
 
 
 def write_by_suffix(df: DataFrame, path: str, sort: Sequence[str]) -> str:

@@ -11,18 +11,26 @@ from pyspark.sql.types import StructType
 
 from idlink.functions import identifiers
 from idlink.operators.ranking import asc, keep_first
+from idlink.session import path_exists
 from idlink.sources.sinks import append_batch
 
 KEY = ["date", "ric"]
 
 
 
+def _has_batches(spark: SparkSession, table: str) -> bool:
+    """Whether the table has a partition; its folder may exist for the checkpoint only."""
+    years = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/year=*")
+    return len(years.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(years) or ()) > 0
+
+
 def merge_batch(batch: DataFrame, batch_id: int, table: str, order_by: Sequence[str]) -> None:
     """Add the first row of every (date, ric) that no earlier batch has delivered.
 
     The output of a batch lives in its own (year, batch_id) partitions, which a repeated
     batch overwrites: with the query's checkpoint that makes each batch count once.
-    Years limit what is read back of the table.
+    The batch's own years, few as dates are bounded, are the partitions read back of the table.
+    All batches but this one count as known.
     """
     spark = batch.sparkSession
     rows = keep_first(batch, KEY, asc(*order_by)).withColumns(
@@ -32,10 +40,10 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, order_by: Sequence[
             "batch_id": F.lit(batch_id).cast("long"),
         }
     )
-    if batch_id > 0:
-        schema = rows.schema
-        known = spark.read.schema(schema).parquet(table).where(F.col("batch_id") < batch_id).select(*KEY, "year")
-        rows = rows.join(known, [*KEY, "year"], "left_anti")
+    if _has_batches(spark, table):
+        years = [r["year"] for r in rows.select("year").distinct().collect()]
+        known = spark.read.schema(rows.schema).parquet(table).where(F.col("year").isin(years) & (F.col("batch_id") != batch_id))
+        rows = rows.join(known.select(*KEY, "year"), [*KEY, "year"], "left_anti")
     append_batch(rows, table, ["year", "batch_id"], KEY)
 
 
@@ -54,23 +62,33 @@ def accumulate(
     """Process the constituent files that arrived since the last run, then return the table.
 
     `transform` shapes a raw batch into (date, ric, ...) rows and may be any stateless
-    DataFrame function.
+    DataFrame function. A table without its checkpoint is refused: batch numbers would start again
+    and overwrite what earlier batches delivered.
     """
+    checkpoint = checkpoint or os.path.join(table, "_checkpoint")
+    if _has_batches(spark, table) and not path_exists(spark, checkpoint):
+        raise ValueError(f"{table} has batches, but their checkpoint {checkpoint} is gone")
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
+    shaped = transform or (lambda df: df)
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch if transform is None else transform(batch), batch_id, table, order_by)
+        merge_batch(shaped(batch), batch_id, table, order_by)
 
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     query = (
         reader.load(source)
         .writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint or os.path.join(table, "_checkpoint"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(table)
+    if _has_batches(spark, table):
+        return spark.read.parquet(table)
+    # No file has come yet: the empty table.
+    columns = shaped(spark.createDataFrame([], schema))
+    return columns.withColumns({"ticker": F.lit("").cast("string"), "year": F.lit(0), "batch_id": F.lit(0).cast("long")})
