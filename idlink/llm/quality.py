@@ -156,16 +156,16 @@ def judged(df: DataFrame, refs: list, rules: Rules) -> DataFrame:
     count = lambda w: (F.length("hits") - F.length(F.replace("hits", F.lit(f" {w} "), F.lit("")))) / F.lit(len(w) + 2.0)
     df = df.withColumn("counts", F.array(*[count(w) for w in common])).drop("hits")
     chars = F.aggregate("classes", F.lit(0.0), lambda s, x: s + x)
-    df = df.withColumn("shares", F.transform("classes", lambda x: x / chars))
+    df = df.withColumn("shares", F.transform("classes", lambda x: F.try_divide(x, chars)))
     by_class, by_word = [], []
     for _, class_shares, words in refs:
         by_class.append(jensen_shannon(F.col("shares"), _doubles(class_shares)))
-        own = [F.col("counts")[common.index(w)] / F.col("n_words") for w, _ in words]
+        own = [F.try_divide(F.col("counts")[common.index(w)], F.col("n_words")) for w, _ in words]
         rest = F.greatest(F.lit(0.0), F.lit(1.0) - sum(own[1:], own[0]))
         known = [share for _, share in words]
         reference = _doubles([*known, max(0.0, 1.0 - sum(known))])
         none = _doubles([*[0.0] * len(known), 1.0])
-        by_word.append(jensen_shannon(F.array(*own, rest), reference) / jensen_shannon(none, reference))
+        by_word.append(F.try_divide(jensen_shannon(F.array(*own, rest), reference), jensen_shannon(none, reference)))
     least = lambda xs: F.array_min(F.array(*xs))
     # A null language is compared with all; a language without a reference with none.
     comparable = F.coalesce(F.col("l").isin([language for language, _, _ in refs]), F.lit(True))
