@@ -8,6 +8,7 @@ safe (special tokens) are encoded whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable
@@ -21,6 +22,8 @@ DEFAULT = "byte_bpe_50k.json"
 _CLUSTER = re.compile(r" \s|[^\S ] ")
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
 _PARTS = regex.compile(public_tokenizers.PATTERN)
+#: Below this character, the parts of a text are the same in all Unicode versions.
+_AGREED = "ɐ"
 #: Entries that a worker keeps; beyond it the cache starts anew.
 CACHE = 600_000
 
@@ -36,6 +39,9 @@ class PartEncoder:
 
         path = name if os.path.isabs(name) else public_tokenizers.path(name)
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        if made["normalizer"] or made["pre_tokenizer"].get("type") != "ByteLevel" or made["pre_tokenizer"]["add_prefix_space"]:
+            raise ValueError(f"{name} is not a plain byte-level tokenizer")
         self.specials = list(self.tokenizer.get_added_tokens_decoder().values())
         self.specials = [str(t.content) for t in self.specials]
         self.value = value
@@ -55,14 +61,16 @@ class PartEncoder:
     def _learn(self, known: dict[str, Any], parts: set[str], front: str) -> None:
         new = [p for p in parts if p not in known]
         # Pieces are split here only where all Unicode versions agree.
-        split = [_PARTS.findall(front + p) if max(p, default="") < "ɐ" else [front + p] for p in new]
+        split = [_PARTS.findall(front + p) if max(p, default="") < _AGREED else [front + p] for p in new]
         missing = list({x for pieces in split for x in pieces if x not in self.pieces})
-        for piece, encoding in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-            self.pieces[piece] = encoding if self.value is None else self.value([encoding])
+        self.pieces.update(zip(missing, self.values(missing)))
         for part, pieces in zip(new, split):
             found = [self.pieces[x] for x in pieces]
             known[part] = found[0] if len(found) == 1 else self.joined(found)
 
+    def values(self, pieces: list[str]) -> list:
+        return [self.value([e]) for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+
     def joined(self, values: list) -> Any:
         return b"".join(values)
 
@@ -77,6 +85,31 @@ class PartEncoder:
         return [(self.whole(t), []) if c is None else (self.heads[c[0]], [get(p) for p in c[1:]]) for t, c in zip(texts, cut)]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself where printable, else from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class IdEncoder(PartEncoder):
+    """Little-endian 32-bit ids. Pieces that are one part go straight to the library's merge model."""
+
+    def __init__(self, name: str):
+        super().__init__(name, _ids)
+        self.letters = _byte_letters()
+
+    def values(self, pieces: list[str]) -> list[bytes]:
+        model = self.tokenizer.model
+        odd = [p for p in pieces if max(p) >= _AGREED]
+        found = dict(zip(odd, super().values(odd)))
+        for piece in pieces:
+            if piece not in found:
+                merged = model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+                found[piece] = b"".join([t.id.to_bytes(4, "little") for t in merged])
+        return [found[p] for p in pieces]
+
+
 def _ids(encodings: list) -> bytes:
     return b"".join(i.to_bytes(4, "little") for e in encodings for i in e.ids)
 
@@ -85,6 +118,6 @@ def id_encoder(name: str) -> Callable[[list[str]], list[bytes]]:
     """Little-endian 32-bit ids of whole texts. The encoder stays in the worker between tasks."""
     key = (name, "ids")
     if key not in _loaded:
-        _loaded[key] = PartEncoder(name, _ids)
+        _loaded[key] = IdEncoder(name)
     encoder = _loaded[key]
     return lambda texts: [b"".join((head, *rest)) for head, rest in encoder.encode(texts)]
