@@ -25,7 +25,7 @@ _PARTS = regex.compile(public_tokenizers.PATTERN)
 #: Below this character, the parts of a text are the same in all Unicode versions.
 _AGREED = "ɐ"
 #: Entries that a worker keeps; beyond it the cache starts anew.
-CACHE = 600_000
+CACHE = 2_000_000
 
 _loaded: dict[tuple[str, str], PartEncoder] = {}
 
