@@ -17,9 +17,11 @@ Search: an inverted index over the n-grams of a bounded block of a list's member
 occur T - L times are probed in the long lists by binary search; those reaching the required overlap link.
 
 Rounds: first one member is the query of its list, that which meets most others over all its lists;
-members that are linked get one component. Lists within one component need no more. In the others, every member outside the component of
-the first query is a query against members of other components. Any two members of a list are then in one
-component or were compared, and a hot group of near copies costs one query instead of all its pairs.
+members that are linked get one component. Lists within one component need no more. In the others, every
+member outside the component of the first query is a query against members of other components, as far
+as the prefixes of their sets, rarest n-grams first, leave room for the required overlap. Any two members
+of a list are then in one component, or were compared, or cannot link, and a hot group of near copies,
+linked or not, costs no comparison of all its pairs.
 Rows are dealt by (query, block), at most about `block` members each, so no group meets in one task.
 
 Defined results: null and empty texts, and texts without words, have empty sets and link with nothing.
@@ -250,6 +252,44 @@ def _texts_of(texts: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     return kept(rows.groupBy("node").agg(F.first("t").alias("t")), "jaccard_texts")
 
 
+def open_pairs(members: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
+    """(query, member) of different components that may link and of which one is outside.
+
+    `members` has node, c (its component) and out (outside the first component of some list). N-grams are
+    ordered by the number of members that have them, rarest first. Two sets that link share one of their
+    first |x| - t |x| + 1 n-grams, and from the first shared one on both have the required overlap left.
+    N-grams of a single member come first of all: they are counted, but never joined.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in arrow_batches(whole):
+                sets = _sets(batch, n)
+                counts = np.array([len(s) for s in sets], np.int64)
+                columns = [
+                    batch.column("node").take(pa.array(np.repeat(np.arange(len(sets)), counts))),
+                    pa.array(np.repeat(counts, counts)),
+                    pa.array(signed(np.concatenate([*sets, np.empty(0, np.uint64)]))),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "size", "g"])
+
+    texts = bodies.join(members.select("node"), "node").select("node", "t")
+    items = kept(texts.mapInArrow(run, "node long, size long, g long"), "jaccard_grams")
+    shared = kept(items.groupBy("g").agg(F.count("*").alias("df")).where("df > 1"), "jaccard_shared")
+    sets = items.join(shared, "g").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("found"))
+    first = F.col("size") - F.ceil(F.lit(percent) * F.col("size") / 100) + 1
+    sets = sets.withColumn("alone", F.col("size") - F.size("found"))
+    sets = sets.withColumn("found", F.slice("found", F.lit(1), F.greatest(F.lit(0), first - F.col("alone")).cast("int")))
+    rows = sets.join(members, "node").select("node", "size", "alone", "c", "out", F.posexplode("found").alias("place", "f"))
+    left = (F.col("size") - F.col("alone") - F.col("place")).alias("left")
+    rows = kept(rows.select("node", "size", "c", "out", left, F.col("f.g").alias("g")), "jaccard_prefixes")
+    a, b = rows.alias("a"), rows.alias("b")
+    enough = (100 + percent) * F.least("a.left", "b.left") >= percent * (F.col("a.size") + F.col("b.size"))
+    apart = (F.col("a.node") < F.col("b.node")) & (F.col("a.c") != F.col("b.c")) & (F.col("a.out") | F.col("b.out"))
+    pairs = a.join(b, (F.col("a.g") == F.col("b.g")) & apart & enough)
+    return pairs.select(F.col("a.node").alias("query"), F.col("b.node").alias("member")).distinct()
+
+
 def set_components(texts: DataFrame, n: int, percent: int, block: int) -> DataFrame:
     """(node, component) of every set that links with a different one. `texts` has the text in `t`."""
     lists = kept(part_lists(texts, n, percent), "jaccard_lists")
@@ -262,10 +302,10 @@ def set_components(texts: DataFrame, n: int, percent: int, block: int) -> DataFr
 
     # Lists that still hold several components: whoever is outside the first one is compared with the others.
     named = _with_component(_with_component(lists, found, "node", "c"), found, "lo", "c_lo")
-    outside = kept(named.where(F.col("c") != F.col("c_lo")).select("key", F.col("node").alias("a"), F.col("c").alias("c_a")), "jaccard_open")
-    named = named.join(outside.select("key").distinct(), "key", "left_semi")
-    rest = outside.join(named.select("key", F.col("node").alias("b"), F.col("c").alias("c_b")), "key").where(F.col("c_a") != F.col("c_b"))
-    rest = rest.select(F.least("a", "b").alias("query"), F.greatest("a", "b").alias("member")).distinct()
+    named = kept(named.withColumn("out", F.col("c") != F.col("c_lo")).select("key", "node", "c", "out"), "jaccard_named")
+    still = named.join(named.where("out").select("key").distinct(), "key", "left_semi")
+    members = kept(still.groupBy("node").agg(F.min("c").alias("c"), F.max("out").alias("out")), "jaccard_open")
+    rest = open_pairs(members, bodies, n, percent)
     rest = kept(rest.join(asked, ["query", "member"], "left_anti"), "jaccard_pairs")
     more = search(rest, bodies, n, percent, block)
     edges = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
