@@ -5,12 +5,12 @@ Two texts link when their sets of distinct word n-grams have a Jaccard similarit
 by a 64-bit hash of its set; among n classes two meet by chance with probability n * n / 2^65.
 
 Which classes can link at all is told by exact partitions of the sets. Similar sets differ in at most
-H = (1 - t) / (1 + t) * (|x| + |y|) n-grams. If every set is dealt into H + 2 parts by hash, at least
-two parts are equal in both; a set with at most one empty part thus shares a part with content. Part
+H = (1 - t) / (1 + t) * (|x| + |y|) n-grams. If every set is dealt into H + H / 2 + 2 parts by hash, at least
+H / 2 + 2 parts are equal in both; a set with fewer empty parts thus shares parts with content. Part
 counts depend on a size class; a set is dealt for its own class and the next one, as partners differ in
 size by 1 / t at most. The hash of a part, with its class and number, is a key; documents with equal keys
-form a list. No link is lost, and a passage that many documents share makes no list, as parts are drawn
-from the whole set.
+form a list. A set that shares fewer keys with any others than a partner would have to is left out. No link
+is lost, and a passage that many documents share makes no list, as parts are drawn from the whole set.
 
 Search: an inverted index over the n-grams of a bounded block of a list's members is searched for a query
 (DivideSkip): the query's longest lists are set aside, the short ones are heap-merged, and members that
@@ -73,24 +73,26 @@ def _class_ends(percent: int, size: int) -> tuple[int, list[int]]:
         low, number = high + 1, number + 1
 
 
-def part_keys(items: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the parts of a set, for its size class and the next."""
+def part_keys(items: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
+    """For the set's size class and the next: hashes of the parts, and how many of them every partner shares."""
     number, ends = _class_ends(percent, len(items))
-    keys = []
+    out = []
     for k, end in enumerate(ends):
-        m = (100 - percent) * 2 * end // (100 + percent) + 2
-        if m == 2:
+        differ = (100 - percent) * 2 * end // (100 + percent)
+        if not differ:
             continue  # sets of this class link only when equal
+        spare = differ // 2  # each part more is one more that linked sets share
+        m = differ + 2 + spare
         seed = np.uint64((number + k) * 2 + 1)
         part = (mix(items ^ mix(np.full(1, seed))) % np.uint64(m)).astype(np.int64)
         sums = np.zeros(m, np.uint64)
         np.add.at(sums, part, mix(items + seed))
         full = np.bincount(part, minlength=m) > 0
-        if (~full).sum() > 1:
+        if (~full).sum() > 1 + spare:
             full[:] = True
         names = (np.arange(m, dtype=np.uint64) << np.uint64(20)) + seed
-        keys.append(mix(sums ^ mix(names))[full])
-    return np.concatenate(keys) if keys else np.empty(0, np.uint64)
+        out.append((mix(sums ^ mix(names))[full], 2 + spare - int((~full).sum())))
+    return out
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
@@ -129,20 +131,28 @@ def part_lists(texts: DataFrame, n: int, percent: int) -> DataFrame:
                 if len(seen) > 500_000:
                     seen.clear()
                 new = [k for k, node in enumerate(nodes.tolist()) if len(sets[k]) and not (node in seen or seen.add(node))]
-                keys = [part_keys(sets[k], percent) for k in new]
-                counts = [len(k) for k in keys]
-                keys = signed(np.concatenate([*keys, np.empty(0, np.uint64)]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(nodes[new], counts))], ["key", "node"])
-
-    keys = texts.select("t").mapInArrow(run, "key long, node long")
+                found = [(nodes[k], c, *entry) for k in new for c, entry in enumerate(part_keys(sets[k], percent))]
+                counts = [len(keys) for _, _, keys, _ in found]
+                spread = lambda at, kind: pa.array(np.repeat(np.array([f[at] for f in found], kind), counts))  # noqa: B023, E731
+                keys = signed(np.concatenate([*[f[2] for f in found], np.empty(0, np.uint64)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), spread(0, np.int64), spread(1, np.int8), spread(3, np.int32)], ["key", "node", "part_of", "need"]
+                )
+
+    keys = texts.select("t").mapInArrow(run, "key long, node long, part_of byte, need int")
     of = Window.partitionBy("key")
-    lists = keys.withColumns({"lo": F.min("node").over(of), "hi": F.max("node").over(of), "n": F.count("*").over(of)})
-    lists = kept(lists.where(F.col("lo") < F.col("hi")).drop("lo", "hi"), "jaccard_members")
+    lists = keys.withColumns({"lo": F.min("node").over(of), "hi": F.max("node").over(of)})
+    lists = kept(lists.where(F.col("lo") < F.col("hi")).drop("lo", "hi").distinct(), "jaccard_members")
+    # Who links shares `need` keys of one size class at least.
+    likely = lists.groupBy("node", "part_of").agg(F.count("*").alias("have"), F.max("need").alias("least")).where("have >= least")
+    lists = kept(lists.join(likely, ["node", "part_of"]).select("key", "node", "least"), "jaccard_likely")
+    sizes = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    lists = kept(lists.join(sizes, "key"), "jaccard_sized")
     # The member that meets most others over all its lists is the likeliest to link with them.
     weights = lists.groupBy("node").agg(F.sum("n").alias("weight"))
     lists = lists.drop("n").join(weights, "node")
     first = lists.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("lo"))
-    return lists.drop("weight").distinct().join(first, "key")
+    return lists.drop("weight").join(first, "key")
 
 
 def divide_skip(query: list[int], index: dict[int, list[int]], sizes: list[int], percent: int) -> list[int]:
@@ -295,8 +305,10 @@ def set_components(texts: DataFrame, n: int, percent: int, block: int) -> DataFr
     lists = kept(part_lists(texts, n, percent), "jaccard_lists")
     bodies = _texts_of(texts, kept(lists.select("node").distinct(), "jaccard_nodes"), n)
 
-    asked = lists.where(F.col("node") != F.col("lo")).select(F.col("lo").alias("query"), F.col("node").alias("member"))
-    asked = kept(asked.distinct(), "jaccard_pairs")
+    # Who shares too few of a query's lists is left to the second round.
+    asked = lists.where(F.col("node") != F.col("lo")).groupBy(F.col("lo").alias("query"), F.col("node").alias("member"))
+    asked = asked.agg(F.count("*").alias("shared"), F.min("least").alias("least"))
+    asked = kept(asked.where("shared >= least").select("query", "member"), "jaccard_pairs")
     links = search(asked, bodies, n, percent, block)
     found = kept(components(links.select(F.col("query").alias("a"), F.col("member").alias("b"))), "jaccard_found")
 
