@@ -73,24 +73,15 @@ class Model:
         """`words` and `grams` map a word or n-gram to its share in each language that has it."""
         self.languages = sorted({lang for found in words.values() for lang in found})
         self.floor = np.log(min_share / 10)
-        self.words = {w: self._vector(found) for w, found in words.items()}
         self.grams = {g: self._vector(found) for g, found in grams.items()}
-        self.memo: dict[str, np.ndarray] = {}
+        #: Row of every known word in the table of scores; rows of unseen words follow and may be dropped.
+        self.known = {w: k for k, w in enumerate(words)}
+        self.table = np.array([self._vector(found) for found in words.values()]).reshape(len(words), len(self.languages))
+        self.unseen: dict[str, int] = {}
 
     def _vector(self, shares: dict[str, float]) -> np.ndarray:
         return np.array([np.log(shares[x]) if x in shares else self.floor for x in self.languages])
 
-    def word(self, word: str) -> np.ndarray:
-        """Scores of a word by language."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        if word not in self.memo:
-            if len(self.memo) >= _MEMO:
-                self.memo.clear()
-            self.memo[word] = self._back_off(f"^{word}$")
-        return self.memo[word]
-
     def _back_off(self, marked: str) -> np.ndarray:
         for order in ORDERS:
             found = [self.grams[g] for g in (marked[i : i + order] for i in range(len(marked) - order + 1)) if g in self.grams]
@@ -98,11 +89,30 @@ class Model:
                 return np.mean(found, axis=0)
         return np.zeros(len(self.languages))
 
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Scores of every word by language."""
+        rows = list(map(self.known.get, words))
+        if None in rows:
+            if len(self.unseen) >= _MEMO:
+                self.unseen.clear()
+            first = len(self.known)
+            for k, row in enumerate(rows):
+                if row is not None:
+                    continue
+                place = self.unseen.get(words[k])
+                if place is None:
+                    place = self.unseen[words[k]] = len(self.unseen)
+                    if first + place == len(self.table):
+                        self.table = np.concatenate([self.table, np.zeros((first + place + 1024, len(self.languages)))])
+                    self.table[first + place] = self._back_off(f"^{words[k]}$")
+                rows[k] = first + place
+        return self.table[rows]
+
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(words_of(text or ""))
         if not counts or not self.languages:
             return "und", 0.0
-        total = sum(n * self.word(w) for w, n in counts.items())
+        total = np.fromiter(counts.values(), float, len(counts)) @ self.scores(list(counts))
         best = int(np.argmax(total))
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
