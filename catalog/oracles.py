@@ -602,4 +602,15 @@ FROM panel p WHERE p.month = 12""",
 QUALIFY row_number() OVER (PARTITION BY date, ric ORDER BY row_id) = 1""",
 }
 
+#: Queries that reach another one's rows by a longer way: through a sink, or through the whole mapping job.
+_SAME_ROWS = {
+    "sink_primary": "primary_table",
+    "sink_crosswalk": "consolidated_crosswalk",
+    "sink_grid": "ml_grid",
+    "sink_audit": "panel_audit",
+    "sink_unmatched": "panel_unmatched",
+    "pipeline_crosswalk": "consolidated_crosswalk",
+}
+_FINAL |= {name: _FINAL[plain] for name, plain in _SAME_ROWS.items()}
+
 ORACLES: dict[str, str] = {name: with_ctes(sql) for name, sql in _FINAL.items()}

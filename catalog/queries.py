@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from idlink import schemas
 from idlink.functions import coerce, dates, identifiers, scores
 from idlink.operators import cascade, crosswalk, panel, primary, quality, reports, segments, snapshots
 from idlink.operators.cascade import CUSIP6, PROVIDER_A, PROVIDER_C, TICKER, Pass
+from idlink.plans import mapping
 from idlink.plans.master import get_or_build_master, linked_segments
 from idlink.session import scratch_path
 from idlink.sources import conform, readers, sinks
@@ -110,14 +112,14 @@ def scan_constituents(spark, sf):
     return conform.clean_constituents(raw, keep=["row_id"])
 
 
-_MAPPER_COLUMNS = [
-    "permno", "gvkey", "namedt", "nameendt", "primary_permno", "is_primary_permno", "is_common", "shrcd",
-    "exchcd", "ncusip", "ncusip6", "ticker", "linkprim_score", "linktype_rank",
-]
-_PANEL_COLUMNS = [
-    "permno", "gvkey", "namedt", "nameendt", "linkdt", "linkenddt", "is_primary_permno", "is_common",
-    "linkprim_score", "linktype_rank", "overlap_days", "cusip6_match", "ticker", "ncusip6", "cusip6_link",
-]
+_LINK_COLUMNS = ["linkdt", "linkenddt", "overlap_days", "cusip6_match"]
+_MATCHING_COLUMNS = ["shrcd", "exchcd", "ncusip", "primary_permno"]
+_NOT_LOADED = {
+    "permco", "comnam", "tsymbol", "shrcls", "exch", "primexch", "siccd", "naics", "cusip", "cusip6", "linkprim", "linktype",
+}
+_LOADED = [c for c in schemas.SECURITY_MASTER.columns if c not in _NOT_LOADED]
+_MAPPER_COLUMNS = [c for c in _LOADED if c not in _LINK_COLUMNS]
+_PANEL_COLUMNS = [*[c for c in _LOADED if c not in _MATCHING_COLUMNS], "cusip6_link"]
 
 
 @query
@@ -178,6 +180,43 @@ def sink_panel(spark, sf):
     return inputs.rounded(spark.read.parquet(path), "rank_score")
 
 
+@query
+def sink_primary(spark, sf):
+    path = scratch_path(spark, "primary")
+    sinks.write_primary_table(primary.primary_table(inputs.master(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+@query
+def sink_crosswalk(spark, sf):
+    path = scratch_path(spark, "crosswalks")
+    sinks.write_crosswalks(crosswalk.consolidate(inputs.crosswalks(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+@query
+def sink_grid(spark, sf):
+    path = scratch_path(spark, "grid") + ".parquet"
+    sinks.write_grid(panel.ml_grid(inputs.panel(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+@query
+def sink_audit(spark, sf):
+    path = scratch_path(spark, "audit") + ".parquet"
+    sinks.write_audit(reports.audit_sample(inputs.panel(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+@query
+def sink_unmatched(spark, sf):
+    path = scratch_path(spark, "unmatched")
+    rows = inputs.panel(spark, sf)
+    sinks.write_unmatched(rows, path)
+    # Read back with the types it was written with: a delimited file has none.
+    return spark.read.schema(reports.unmatched_constituents(rows).schema).csv(path, header=True, escape='"')
+
+
 @query
 def master_cached(spark, sf):
     path = scratch_path(spark, "master_cached")
@@ -548,6 +587,16 @@ def consolidated_crosswalk(spark, sf):
     return crosswalk.consolidate(inputs.crosswalks(spark, sf))
 
 
+@query
+def pipeline_crosswalk(spark, sf):
+    """All providers through the mapping job, every stage stored."""
+    sources = [mapping.Source(spec, partial(inputs.provider, spark, sf, letter)) for letter, spec in inputs.SPECS.items()]
+    done, failed = mapping.map_all(sources, inputs.loaded_master(spark, sf), stage=sinks.stored(spark, "provider"))
+    for error in failed.values():
+        raise error
+    return mapping.consolidated(done)
+
+
 # ---- panel -----------------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.types import (
 )
 
 from idlink.functions.identifiers import strip
-from idlink.schemas import DATE_SHAPES, EARLIEST_DATE, FAR_FUTURE, NULL_TOKENS, TRUE_TOKENS
+from idlink.schemas import CENTURY_TURN, DATE_SHAPES, EARLIEST_DATE, FAR_FUTURE, MONTHS, NULL_TOKENS, TRUE_TOKENS
 
 _MS_PER_DAY = 86_400_000
 
@@ -59,12 +59,24 @@ def in_range(c: Column) -> Column:
 def parse_date(text: Column, fmt: str) -> Column:
     """Date in one format, by a cast of its ISO form: format parsers are slow, failing ones most of all."""
     shape, iso = DATE_SHAPES[fmt]
-    return F.when(text.rlike(shape), (F.regexp_replace(text, shape, iso) if iso else text).try_cast("date"))
+    written = F.regexp_replace(text, shape, iso) if iso else text
+    if "MMM" in fmt:
+        year, name, day = [F.split_part(written, F.lit("-"), F.lit(i)) for i in (1, 2, 3)]
+        written = F.concat(year, F.lit("-"), _month_number(name), F.lit("-"), day)
+    elif fmt.endswith("/yy"):
+        written = F.concat(F.when(written < CENTURY_TURN, "20").otherwise("19"), written)
+    return F.when(text.rlike(shape), written.try_cast("date"))
+
+
+def _month_number(name: Column) -> Column:
+    """Number, as text, of an English month's name or its first three letters; null for other texts."""
+    names = [(spelling, str(i)) for i, month in enumerate(MONTHS, 1) for spelling in dict.fromkeys((month, month[:3]))]
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in names for x in pair]), F.upper(name))
 
 
 def date_text(c: Column) -> Column:
-    """The date part of a text: trimmed, a time part after it dropped."""
-    return F.substring_index(F.substring_index(strip(c.cast("string")), " ", 1), "T", 1)
+    """The date part of a text: trimmed, a time of day after it dropped."""
+    return F.regexp_replace(strip(c.cast("string")), r"[T ]+\d{1,2}:\d{2}.*$", "")
 
 
 def parse_any_date(text: Column) -> Column:

@@ -10,18 +10,21 @@ keys before.
 Where the lookup side was grouped by exactly the join key there is no such shuffle.
 `spread_join` gives these joins the shape: it adds a slice number, from a hash of other
 columns, to the join key, and repeats the small side once per slice. Two slices are enough:
-what matters is the shuffle, after which adaptive execution splits whatever is too large,
-rows with a null key included.
+what matters is the shuffle, after which adaptive execution splits whatever is too large.
+Rows with a null key are spread without its help.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICES = 2
+NULL_SLICES = 1 << 20
 
 
 def spread_join(
@@ -36,9 +39,13 @@ def spread_join(
     """Join on `keys`, and `residual` if given, with the rows of each key spread over slices.
 
     `spread_by` are columns of `big`. Apart from `keys` the sides share no column name.
-    `how` is inner or left.
+    `how` is inner or left. Rows with a null key match nothing, so they get slices that the small
+    side does not have, and go to as many tasks as there are.
     """
-    left = big.withColumn("_slice", F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int"))
+    spread = F.xxhash64(*spread_by)
+    absent = reduce(or_, [F.col(k).isNull() for k in keys])
+    apart = F.lit(slices) + F.pmod(spread, F.lit(NULL_SLICES))
+    left = big.withColumn("_slice", F.when(absent, apart).otherwise(F.pmod(spread, F.lit(slices))).cast("int"))
     right = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     joined = keyed_join(left, right, [*keys, "_slice"], how, residual)
     return joined.drop("_slice")

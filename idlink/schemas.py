@@ -27,7 +27,15 @@ DATE_SHAPES = {  # accepted date formats: the texts each applies to, and how to
     "yyyyMMdd": (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
     "yyyy-M-d": (r"^\d{4}-\d{1,2}-\d{1,2}$", None),
     "M/d/yyyy": (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+    "yyyy/M/d": (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
+    "M/d/yy": (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "$3-$1-$2"),
+    "d MMM yyyy": (r"^(\d{1,2})[- ]?([A-Za-z]{3,9})[- ,]*(\d{4})$", "$3-$2-$1"),
+    "MMM d, yyyy": (r"^([A-Za-z]{3,9})[. ]+(\d{1,2}),? +(\d{4})$", "$3-$1-$2"),
 }
+MONTHS = (
+    "JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER",
+)
+CENTURY_TURN = "69"  # two-digit years from here on are 19xx
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",

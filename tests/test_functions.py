@@ -70,6 +70,13 @@ def test_dates_by_value_and_out_of_range_is_open(spark):
     assert values(spark, ["E"], lambda c: coerce.open_end(coerce.to_date(c))) == [dt.date(2262, 4, 11)]
 
 
+def test_other_spellings_of_dates(spark):
+    texts = ["2020/12/31", "12/31/20", "31-Dec-2020", "31DEC2020", "Dec 31, 2020", "December 31 2020", "31 december 2020", "2020-12-31T10:00Z"]
+    assert values(spark, texts, coerce.to_date) == [dt.date(2020, 12, 31)] * len(texts)
+    assert values(spark, ["12/31/99", "1/1/68"], coerce.to_date) == [dt.date(1999, 12, 31), dt.date(2068, 1, 1)]
+    assert values(spark, ["31-Foo-2020", "31-Decem-2020", "Dec 32, 2020", "2020-12-31 x", ""], coerce.to_date) == [None] * 5
+
+
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
 def test_epoch_days_do_not_depend_on_the_session_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")

@@ -6,9 +6,11 @@ import contextlib
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from idlink.operators import cascade, panel, primary, segments
+from idlink.operators.skew import spread_join
 from idlink.operators.snapshots import month_snapshots
 from idlink.sources import readers
 from idlink.sources.conform import clean_constituents, clean_links, clean_names, clean_provider_a, load_master
@@ -122,6 +124,21 @@ def test_hot_and_missing_firms_are_split_when_adding_the_primary(spark):
         assert joins
 
 
+def test_rows_without_a_key_go_to_all_tasks(spark):
+    """Without broadcasts and without help of adaptive execution."""
+    big = spark.range(20_000).select("id", F.lit(None).cast("string").alias("k"), F.lit(2001).alias("year"))
+    small = spark.createDataFrame([("x", 2001, 1)], "k string, year int, found int")
+    with small_thresholds(spark):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            joined = spread_join(big, small, ["k", "year"], ["id"], "left")
+            rows = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(rows) == 20_000 and len(rows) == tasks and max(rows) < 2 * 20_000 / tasks
+
+
 def test_hot_key_is_split_when_providers_look_it_up(spark):
     rows = [(f"E{i}", "2001", "100000103" if i % 2 else f"{i:06d}103", None) for i in range(8000)]
     raw = spark.createDataFrame(rows, "orgpermid string, year string, cusip string, isin string").repartition(8)
