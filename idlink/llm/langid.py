@@ -73,39 +73,50 @@ class Model:
         """`words` and `grams` map a word or n-gram to its share in each language that has it."""
         self.languages = sorted({lang for found in words.values() for lang in found})
         self.floor = np.log(min_share / 10)
-        self.grams = {g: self._vector(found) for g, found in grams.items()}
+        self.gram_row = {g: k for k, g in enumerate(grams)}
+        self.gram_scores = self._vectors(grams)
         #: Row of every known word in the table of scores; rows of unseen words follow and may be dropped.
         self.known = {w: k for k, w in enumerate(words)}
-        self.table = np.array([self._vector(found) for found in words.values()]).reshape(len(words), len(self.languages))
+        self.table = self._vectors(words)
         self.unseen: dict[str, int] = {}
 
-    def _vector(self, shares: dict[str, float]) -> np.ndarray:
-        return np.array([np.log(shares[x]) if x in shares else self.floor for x in self.languages])
-
-    def _back_off(self, marked: str) -> np.ndarray:
-        for order in ORDERS:
-            found = [self.grams[g] for g in (marked[i : i + order] for i in range(len(marked) - order + 1)) if g in self.grams]
-            if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.languages))
+    def _vectors(self, shares: dict[str, dict[str, float]]) -> np.ndarray:
+        rows = [[np.log(found[x]) if x in found else self.floor for x in self.languages] for found in shares.values()]
+        return np.array(rows, float).reshape(len(shares), len(self.languages))
+
+    def _back_off(self, words: list[str]) -> np.ndarray:
+        """Scores of unseen words: the mean over a word's n-grams of the highest order of which any is known."""
+        found, counts = [], np.zeros(len(words), np.int64)
+        get = self.gram_row.get
+        for k, word in enumerate(words):
+            marked = f"^{word}$"
+            for order in ORDERS:
+                rows = [row for i in range(len(marked) - order + 1) if (row := get(marked[i : i + order])) is not None]
+                if rows:
+                    found += rows
+                    counts[k] = len(rows)
+                    break
+        out = np.zeros((len(words), len(self.languages)))
+        some = counts > 0
+        if found:
+            starts = (np.cumsum(counts) - counts)[some]
+            out[some] = np.add.reduceat(self.gram_scores[found], starts, axis=0) / counts[some, None]
+        return out
 
     def scores(self, words: list[str]) -> np.ndarray:
-        """Scores of every word by language."""
+        """Scores of distinct words by language."""
         rows = list(map(self.known.get, words))
         if None in rows:
             if len(self.unseen) >= _MEMO:
                 self.unseen.clear()
-            first = len(self.known)
-            for k, row in enumerate(rows):
-                if row is not None:
-                    continue
-                place = self.unseen.get(words[k])
-                if place is None:
-                    place = self.unseen[words[k]] = len(self.unseen)
-                    if first + place == len(self.table):
-                        self.table = np.concatenate([self.table, np.zeros((first + place + 1024, len(self.languages)))])
-                    self.table[first + place] = self._back_off(f"^{words[k]}$")
-                rows[k] = first + place
+            new = [w for w, row in zip(words, rows) if row is None and w not in self.unseen]
+            if new:
+                at = len(self.known) + len(self.unseen)
+                if at + len(new) > len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros((at + len(new), len(self.languages)))])
+                self.table[at : at + len(new)] = self._back_off(new)
+                self.unseen.update(zip(new, range(at, at + len(new))))
+            rows = [self.unseen[w] if row is None else row for w, row in zip(words, rows)]
         return self.table[rows]
 
     def predict(self, text: str | None) -> tuple[str, float]:
