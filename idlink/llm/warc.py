@@ -27,7 +27,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from idlink.llm.common import SharedFile, arrow_batches, file_system, joined, kept, shared_folder
@@ -49,17 +49,14 @@ def target(page_id: int | None, url: str | None) -> str:
     return "".join(c if " " < c < "\x7f" or c > "\xa0" else quote(c) for c in url) if url else f"urn:page:{page_id}"
 
 
-def headers(docs: DataFrame) -> DataFrame:
-    """(page_id, digest, bytes) of the pages `page_id`, `payload`."""
+def _payload_key() -> Column:
+    return F.sha1(F.coalesce("payload", F.lit("")).cast("binary"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in arrow_batches(whole):
-                bodies = [(t or "").encode() for t in batch.column("payload").to_pylist()]
-                columns = [batch.column("page_id"), pa.array([digest_of(b) for b in bodies], pa.string()), pa.array([len(b) for b in bodies], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["page_id", "digest", "bytes"])
 
-    return docs.select("page_id", "payload").mapInArrow(run, "page_id long, digest string, bytes long")
+def headers(docs: DataFrame) -> DataFrame:
+    """(page_id, digest, bytes) of the pages `page_id`, `payload`."""
+    size = F.octet_length(F.coalesce("payload", F.lit(""))).cast("long")
+    return docs.select("page_id", _payload_key().alias("digest"), size.alias("bytes"))
 
 
 def originals(found: DataFrame, min_bytes: int) -> DataFrame:
@@ -124,9 +121,8 @@ def write_archives(
     folder = folder or shared_folder(pages.sparkSession, "warc")
     source = pages.select(F.col(id_).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("payload"))
     revisits = kept(originals(kept(headers(source), "warc_headers"), min_bytes), "warc_revisits")
-    # A page id may repeat with other payloads, so the digest decides too.
-    roles = revisits.groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("digest", "refers_to"))).alias("roles"))
-    rows = joined(source, roles, ["page_id"], "left")
+    # A page id may repeat with other payloads, so the digest decides too; it also spreads the rows without an id.
+    rows = joined(source.withColumn("digest", _payload_key()), revisits, ["page_id", "digest"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, n = TaskContext.get().partitionId(), 0
@@ -134,16 +130,16 @@ def write_archives(
         with SharedFile(folder, name) as stream:
             for whole in batches:
                 for batch in arrow_batches(whole, 64):
-                    for page, link, text, found in zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "roles")]):
+                    for page, link, text, found in zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "refers_to")]):
                         body = (text or "").encode()
                         digest = digest_of(body)
                         pack = zlib.compressobj(level, zlib.DEFLATED, 31)
-                        raw = record(page, link, body, digest, dict(found or ()).get(digest))
+                        raw = record(page, link, body, digest, found)
                         stream.write(pack.compress(raw) + pack.flush())
                         n += 1
         yield pa.RecordBatch.from_pylist([{"archive": number, "folder": folder, "name": name, "records": n}])
 
-    ordered = rows.select("page_id", "url", "payload", "roles")
+    ordered = rows.select("page_id", "url", "payload", "refers_to")
     return kept(ordered.mapInArrow(run, "archive long, folder string, name string, records long"), "warc_archives")
 
 

@@ -348,6 +348,24 @@ def test_warc_round_trip(spark):
     assert warc.read_archives(warc.write_archives(df.where("false"))).count() == 0
 
 
+def test_warc_pages_without_id_spread_by_payload(spark):
+    """Many pages of no id and of one repeated id: no more than one revisit meets a row, and no task gathers them."""
+    bodies = [f"body {k}" for k in range(40)]
+    pages = [(1, "u", b) for b in bodies] + [(None, "u", b) for b in bodies] + [(7, "u", b) for b in bodies]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    read = warc.read_archives(warc.write_archives(df)).collect()
+    want = sorted((p or 0, warc.digest_of(b.encode()), "response" if p == 1 else "revisit", None if p == 1 else 1) for p, _, b in pages)
+    assert sorted((r.page_id or 0, r.payload_digest, r.record_type, r.refers_to) for r in read) == want
+    plans = []
+    real = warc.kept
+    warc.kept = lambda frame, name: plans.append(frame._jdf.queryExecution().optimizedPlan().toString()) or real(frame, name)
+    try:
+        warc.write_archives(df)
+    finally:
+        warc.kept = real
+    assert plans and not any("collect_set" in p or "collect_list" in p for p in plans)
+
+
 # ---- licenses ----------------------------------------------------------------------------
 
 
