@@ -88,10 +88,11 @@ def part_keys(items: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
         sums = np.zeros(m, np.uint64)
         np.add.at(sums, part, mix(items + seed))
         full = np.bincount(part, minlength=m) > 0
-        if (~full).sum() > 1 + spare:
-            full[:] = True
+        need = 2 + spare - int((~full).sum())
+        if need < 1:  # a partner with fewer empty parts sends only its full ones
+            full[:], need = True, 1
         names = (np.arange(m, dtype=np.uint64) << np.uint64(20)) + seed
-        out.append((mix(sums ^ mix(names))[full], 2 + spare - int((~full).sum())))
+        out.append((mix(sums ^ mix(names))[full], need))
     return out
 
 

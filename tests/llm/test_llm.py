@@ -167,6 +167,23 @@ def test_jaccard_equals_brute_force(spark, n, percent):
     assert got == brute_components([(r[0], r[1]) for r in rows], n, percent)
 
 
+def test_partners_share_the_keys_they_need():
+    """Random small sets that link: each shares at least as many keys as it claims that every partner does."""
+    rng = np.random.default_rng(5)
+    for _ in range(4000):
+        percent = int(rng.choice([60, 80, 90]))
+        size = int(rng.integers(3, 16))
+        x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        y = np.unique(np.concatenate([x, rng.integers(0, 2**63, int(rng.integers(1, 3))).astype(np.uint64)]))
+        if len(x) < jaccard.required_overlap(len(x), len(y), percent):
+            continue
+        sent = [jaccard.part_keys(s, percent) for s in (x, y)]
+        ok = []
+        for one, other in (sent, sent[::-1]):
+            ok.append(any(len(set(k.tolist()) & set(j.tolist())) >= max(need, 1) for k, need in one for j, _ in other))
+        assert all(ok), (percent, len(x), len(y))
+
+
 def test_keep_one_of_each_component(spark, odd, empty):
     kept = jaccard.keep_one(odd)
     assert kept.columns == odd.columns
