@@ -402,6 +402,28 @@ def test_licenses(spark, empty):
     assert licenses.scan(empty).count() == 0 and licenses.scan(df, templates={}).where("license IS NOT NULL").count() == 0
 
 
+def test_licenses_in_whole_texts(spark):
+    """Whole texts, wrapped and embedded statements, and several licenses of a document."""
+    wrapped = "\n".join(f"# {x}" for x in re.sub(r"(\S+ \S+ \S+) ", r"\1\n", licenses.TEMPLATES["MIT"][-1]).splitlines())
+    bodies = {name: texts[-1] for name, texts in licenses.TEMPLATES.items() if len(texts[-1]) > 300}
+    assert {"AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC", "MIT", "Unlicense"} <= set(bodies)
+    cases = {f"Copyright 2020 A. Person\n\n{text}\n{PROSE}": {name} for name, text in bodies.items()}
+    cases |= {
+        f"{PROSE}\n{wrapped}\n{PROSE}": {"MIT"},
+        "Released under\nthe MIT License.": {"MIT"},
+        f"{PROSE} Released under the MIT License. {PROSE}": {"MIT"},
+        f"Licensed under CC BY-NC 4.0.\n{PROSE}\nReleased under the MIT License.": {"CC-BY-NC-4.0", "MIT"},
+        f"All rights reserved.\n{PROSE}": {licenses.RESERVED},
+        "No part of this publication may be reproduced, distributed, or transmitted in any form or by any means.": {licenses.PROPRIETARY},
+        "This work is licensed under the GNU Lesser General Public License, version 3.": {"LGPL-3.0"},
+        f"{PROSE}\nThe license of this work is not known, and permission was not granted.": set(),
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert [set(got[k].licenses) for k in range(len(cases))] == list(cases.values())
+    assert all(got[k].license == min(names, default=None) or len(names) > 1 for k, names in enumerate(cases.values()))
+
+
 # ---- languages and scores ----------------------------------------------------------------
 
 
