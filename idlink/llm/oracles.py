@@ -1,3 +1,93 @@
 """SQL for DuckDB of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+#: crc32 of the text x, bit by bit; DuckDB has no such function.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split({x}, ''), lambda ch: ord(ch)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda a, k: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+
+_FIELD = "coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')"
+_REST = " || ".join(_FIELD.format(x=c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = f"translate(text, '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"
+
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, sha256({_REST} || {_FIELD.format(x="text")}) AS leaf,
+        CASE WHEN {_CRC32.format(x="doc_id::VARCHAR")} % 3 = 0 THEN sha256({_REST} || {_FIELD.format(x=_LOWERED)}) END AS other
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp
+    FROM leaves
+), nodes AS (
+    SELECT grp, 0 AS level, pos AS k, n AS width, leaf AS h FROM placed
+    UNION ALL
+    SELECT grp, min(level) + 1, k // 8, (min(width) + 7) // 8, sha256(string_agg(h, '' ORDER BY k))
+    FROM nodes WHERE width > 1 GROUP BY grp, k // 8
+), subroots AS (
+    SELECT grp, h, count(*) OVER () AS langs FROM nodes WHERE width = 1
+), tops AS (
+    SELECT 0 AS level, grp AS k, langs AS width, h FROM subroots
+    UNION ALL
+    SELECT min(level) + 1, k // 8, (min(width) + 7) // 8, sha256(string_agg(h, '' ORDER BY k))
+    FROM tops WHERE width > 1 GROUP BY k // 8
+), steps AS (
+    -- every level of a row's proof, subroots after its language's own levels
+    SELECT p.grp, p.pos, x.level, string_agg(x.h, '' ORDER BY x.k) FILTER (x.k < p.pos // (8 ** x.level)::BIGINT) AS before,
+        string_agg(x.h, '' ORDER BY x.k) FILTER (x.k > p.pos // (8 ** x.level)::BIGINT) AS after
+    FROM placed p JOIN nodes x ON x.grp = p.grp AND x.width > 1 AND x.k // 8 = p.pos // (8 ** (x.level + 1))::BIGINT
+    GROUP BY ALL
+    UNION ALL
+    SELECT p.grp, p.pos, 1000 + x.level, string_agg(x.h, '' ORDER BY x.k) FILTER (x.k < p.grp // (8 ** x.level)::BIGINT),
+        string_agg(x.h, '' ORDER BY x.k) FILTER (x.k > p.grp // (8 ** x.level)::BIGINT)
+    FROM placed p JOIN tops x ON x.width > 1 AND x.k // 8 = p.grp // (8 ** (x.level + 1))::BIGINT
+    GROUP BY ALL
+), proofs AS (
+    SELECT grp, pos, list({{'a': coalesce(before, ''), 'b': coalesce(after, '')}} ORDER BY level) AS path FROM steps GROUP BY grp, pos
+), whole AS (
+    SELECT p.*, coalesce(path, []) AS path, s.h AS subroot, (SELECT h FROM tops WHERE width = 1) AS root
+    FROM placed p LEFT JOIN proofs q USING (grp, pos) JOIN subroots s USING (grp)
+), done AS (
+    SELECT *, list_reduce(list_prepend({{'a': '', 'b': coalesce(other, leaf)}}, path),
+        lambda acc, step: {{'a': '', 'b': sha256(step.a || acc.b || step.b)}}).b AS folded_root FROM whole
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.a || s.b), '')) AS proof_sha256,
+    folded_root, folded_root = root AS verified
+FROM done
+"""
+
+
+def _round(k: int) -> str:
+    """Distances to the codebooks of round k, first nearest entries, and the codebooks after it."""
+    return f"""
+, near{k} AS (
+    SELECT x.row, x.part, arg_min(entry, (dist, entry)) AS entry, min(dist) AS dist FROM (
+        SELECT x.row, x.part, b.entry, sum((x.v - b.v) ** 2)::BIGINT AS dist
+        FROM comps x JOIN books{k} b USING (part, place) GROUP BY ALL
+    ) x GROUP BY ALL
+), books{k + 1} AS (
+    SELECT part, entry, place, coalesce(m.v, b.v) AS v FROM books{k} b LEFT JOIN (
+        SELECT part, entry, place, floor(sum(v)::DECIMAL(38, 0) / count(*))::BIGINT AS v
+        FROM near{k} JOIN comps USING (row, part) GROUP BY ALL
+    ) m USING (part, entry, place)
+)"""
+
+
+_CODES = f"""
+WITH kept AS (
+    SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0
+), comps AS (
+    SELECT row, (k - 1) // (len(embedding) // 16) AS part, (k - 1) % (len(embedding) // 16) AS place,
+        floor(256 * embedding[k]::DOUBLE)::BIGINT AS v
+    FROM kept, unnest(range(1, len(embedding) + 1)) AS u(k)
+), books0 AS (
+    SELECT part, row - 1 AS entry, place, v FROM comps WHERE row <= 64
+){_round(0)}{_round(1)}{_round(2)}
+, coded AS (
+    SELECT row, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error FROM near2 GROUP BY row
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) FROM books2) AS codebooks_sha256
+FROM coded JOIN kept USING (row)
+"""
+
+ORACLES: dict[str, str] = {"op11_merkle_manifest": _MERKLE, "op12_vector_codes": _CODES}

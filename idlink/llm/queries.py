@@ -7,7 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from idlink.llm import attribution, decontaminate, jaccard, langid, licenses, mixing, planes, quality, suffix_tree, warc
+from idlink.llm import (
+    attribution,
+    decontaminate,
+    jaccard,
+    langid,
+    licenses,
+    merkle,
+    mixing,
+    planes,
+    quality,
+    suffix_tree,
+    vector_codes,
+    warc,
+)
 from idlink.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +97,13 @@ def op10_quality_rules(spark, sf):
     df = quality.quality(table(spark, sf, "documents"))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return df.select("doc.doc_id", *columns)
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    return merkle.manifest_report(table(spark, sf, "documents"))
+
+
+@query
+def op12_vector_codes(spark, sf):
+    return vector_codes.code_report(table(spark, sf, "embeddings"))
