@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from idlink.llm import (
     attribution,
     decontaminate,
+    doc_classifier,
     jaccard,
     langid,
     licenses,
@@ -107,3 +108,8 @@ def op11_merkle_manifest(spark, sf):
 @query
 def op12_vector_codes(spark, sf):
     return vector_codes.code_report(table(spark, sf, "embeddings"))
+
+
+@query
+def op13_quality_classifier(spark, sf):
+    return doc_classifier.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
