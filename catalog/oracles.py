@@ -317,6 +317,41 @@ _ALL_MATCHES = " UNION ALL ".join(
     for x, e in (("a", "orgpermid"), ("b", "issuer_id"), ("c", "symbol"))
 )
 
+_KEYED = """
+SELECT 'C' AS key_kind, ncusip6 AS key, * FROM loaded UNION ALL
+SELECT 'C', cusip6_link, * FROM loaded WHERE ncusip6 IS DISTINCT FROM cusip6_link UNION ALL
+SELECT 'T', ticker, * FROM loaded
+"""
+_KEY_SEGMENTS = f"""
+SELECT *, greatest(namedt, linkdt) AS valid_from, least(nameendt, linkenddt) AS valid_to, {_GVKEY_SCORE} AS gvkey_score,
+  {_PERMNO_SCORE} AS permno_score
+FROM keyed WHERE linkdt IS NOT NULL AND key <> '' AND greatest(namedt, linkdt) < least(nameendt, linkenddt)
+"""
+_FIRM_TIMELINE = """
+WITH days AS (SELECT DISTINCT key_kind, key, gvkey, unnest([valid_from, valid_to]) AS from_date FROM key_segments),
+spans AS (SELECT *, lead(from_date) OVER (PARTITION BY key_kind, key, gvkey ORDER BY from_date) AS until_date FROM days)
+SELECT s.key_kind, s.key, s.gvkey, s.from_date, s.until_date, count(*) AS n,
+  arg_min(m.permno, (-m.gvkey_score, m.permno, m.namedt, m.nameendt)) AS firm_permno,
+  arg_min(m.permno, (-m.permno_score, m.permno, m.namedt, m.nameendt)) AS security_permno
+FROM spans s JOIN key_segments m ON s.key_kind = m.key_kind AND s.key = m.key AND s.gvkey IS NOT DISTINCT FROM m.gvkey
+  AND m.valid_from <= s.from_date AND s.from_date < m.valid_to
+GROUP BY ALL
+"""
+_WINNERS = """
+WITH needs AS (SELECT DISTINCT 'C' AS key_kind, cusip6 AS key, snapshot_date FROM snaps WHERE cusip6 IS NOT NULL
+  UNION SELECT DISTINCT 'T', ticker_key, snapshot_date FROM snaps WHERE ticker_key IS NOT NULL),
+found AS (SELECT n.snapshot_date, m.*, count(*) OVER w AS n_candidates, count(DISTINCT COALESCE(gvkey, '')) OVER w AS n_firms,
+    min((permno, namedt)) OVER (PARTITION BY n.key_kind, n.key, n.snapshot_date, gvkey) AS firm_seen
+  FROM needs n JOIN key_segments m ON n.key_kind = m.key_kind AND n.key = m.key
+    AND m.valid_from <= n.snapshot_date AND n.snapshot_date < m.valid_to
+  WINDOW w AS (PARTITION BY n.key_kind, n.key, n.snapshot_date)),
+scored AS (SELECT *, CASE WHEN n_firms > 1 THEN gvkey_score ELSE permno_score END AS score FROM found)
+SELECT key_kind, key, snapshot_date, n_candidates, n_firms, gvkey, permno,
+  CASE WHEN n_candidates = 1 THEN 0.0::DOUBLE ELSE round(score, 6) END AS rank_score
+FROM scored QUALIFY row_number() OVER (PARTITION BY key_kind, key, snapshot_date
+  ORDER BY gvkey IS NULL, score DESC, firm_seen, permno, namedt, nameendt) = 1
+"""
+
 CTES: dict[str, str] = {
     **{name: sql.format(orders="orders") for name, sql in TABLES.items()},
     "names_typed": _NAMES_TYPED,
@@ -347,6 +382,8 @@ CTES: dict[str, str] = {
     "consolidated": _CONSOLIDATED,
     "members": _CONSTITUENTS,
     "snaps": _SNAPSHOTS,
+    "keyed": _KEYED,
+    "key_segments": _KEY_SEGMENTS,
     "panel_best": _PANEL_BEST,
     "panel": _panel(_DEDUP_KEYS),
     "all_matches": _ALL_MATCHES,
@@ -536,6 +573,10 @@ QUALIFY row_number() OVER (PARTITION BY key_kind, key, "year" ORDER BY {_MATCH_O
     "month_snapshots": "SELECT * FROM snaps",
     "dedup_date_ric": """SELECT * REPLACE (upper(regexp_extract(ric, '^([^.]+)', 1)) AS ticker) FROM members
 QUALIFY row_number() OVER (PARTITION BY date, ric ORDER BY row_id) = 1""",
+    "interval_pairs": f"""SELECT {_SEG}, ncusip, gvkey, linkdt, linkenddt, cusip, linkprim, linktype
+FROM pairs WHERE linkdt IS NOT NULL""",
+    "winner_envelope": _WINNERS,
+    "firm_timeline": _FIRM_TIMELINE,
     "asof_cusip6": f"SELECT {_FOUND} FROM panel_best WHERE match_type = 'CUSIP6'",
     "asof_ticker": f"SELECT {_FOUND} FROM panel_best WHERE match_type = 'TICKER'",
     "panel_best": f"SELECT {_FOUND} FROM panel_best",

@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType
 from catalog import inputs
 from idlink import schemas
 from idlink.functions import coerce, dates, identifiers, scores
-from idlink.operators import cascade, crosswalk, panel, primary, quality, reports, segments, snapshots
+from idlink.operators import cascade, crosswalk, dyadic, panel, primary, quality, reports, segments, snapshots
 from idlink.operators.cascade import CUSIP6, PROVIDER_A, PROVIDER_C, TICKER, Pass
 from idlink.plans import mapping
 from idlink.plans.master import get_or_build_master, linked_segments
@@ -443,6 +443,14 @@ def segment_links(spark, sf):
     return segments.segment_links(inputs.names(spark, sf), inputs.links(spark, sf)).select(*_LINKED)
 
 
+@query
+def interval_pairs(spark, sf):
+    ranges = (("namedt", "nameendt"), ("linkdt", "linkenddt"))
+    links = inputs.links(spark, sf).select("permno", *segments.LINK_COLUMNS)
+    pairs = dyadic.touching_pairs(inputs.names(spark, sf), links, ["permno"], *ranges)
+    return pairs.select(*schemas.SEGMENT_KEY, "ncusip", "gvkey", "linkdt", "linkenddt", "cusip", "linkprim", "linktype")
+
+
 @query
 def best_link(spark, sf):
     names = conform.clean_names(derive(spark, sf, "names_raw"), keep=["src_id", "copy_no"])
@@ -631,6 +639,30 @@ def panel_best(spark, sf):
     return inputs.rounded(rows.select(*_FOUND), "rank_score")
 
 
+_WINNER = ["key_kind", "key", "snapshot_date", "n_candidates", "n_firms", "gvkey", "permno", "rank_score"]
+
+
+@query
+def winner_envelope(spark, sf):
+    best = panel.best_by_key_date(inputs.loaded_master(spark, sf), inputs.snapshots(spark, sf), paired=0)
+    return inputs.rounded(best.select(*_WINNER), "rank_score")
+
+
+@query
+def firm_timeline(spark, sf):
+    pieces = panel.firm_pieces(panel.panel_keys(inputs.loaded_master(spark, sf)))
+    return pieces.select(
+        "key_kind",
+        "key",
+        "gvkey",
+        dyadic.day_of(F.col("day")).alias("from_date"),
+        dyadic.day_of(F.col("until")).alias("until_date"),
+        "n",
+        F.col("by_firm.permno").alias("firm_permno"),
+        F.col("by_security.permno").alias("security_permno"),
+    )
+
+
 @query
 def panel_dedup(spark, sf):
     rows = panel.panel_best(inputs.snapshots(spark, sf), inputs.loaded_master(spark, sf))

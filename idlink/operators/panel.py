@@ -2,18 +2,20 @@
 
 As in the provider cascade, the winner depends only on (kind of key, key, date). Distinct
 (kind, key, date) needs are joined to the master, every need is aggregated to its best
-segment, and the members look the result up.
+segment, and the members look the result up. Keys with many segments have a winner envelope
+instead of pairs of segments and dates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from idlink.functions import dates, scores
+from idlink.operators import dyadic
 from idlink.operators.cascade import CUSIP6, TICKER
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import spread_join
+from idlink.operators.skew import keyed_join, spread_join
 
 PANEL_COLUMNS = [
     "date", "ticker_sp500", "cusip_sp500", "gvkey", "permno", "ticker_crsp", "company_name",
@@ -29,6 +31,9 @@ GRID_COLUMNS = [
 
 _PAYLOAD = ["gvkey", "permno", "ticker", "comnam", "is_primary_permno", "is_common", "exch", "linkprim", "linktype"]
 _NEED = ["key_kind", "key", "snapshot_date"]
+_PLACE = ["permno", "namedt", "nameendt"]
+#: Segments of a key up to which its dates are paired with them.
+PAIRED = 64
 
 
 def panel_keys(master: DataFrame) -> DataFrame:
@@ -76,33 +81,101 @@ def key_needs(snapshots: DataFrame) -> DataFrame:
     return exploded.select("_k.key_kind", "_k.key", "snapshot_date").where("key IS NOT NULL").distinct()
 
 
-def best_by_key_date(
-    master: DataFrame, snapshots: DataFrame, score_single: bool = False
-) -> DataFrame:
-    """Best segment valid on the snapshot date, per need, with its rank score.
+def _by_pairs(segments: DataFrame, needs: DataFrame) -> DataFrame:
+    """Per need: n_candidates, n_firms and the winners by either score, from pairs of segments and dates.
 
-    One firm among the candidates: rank by the security score. Several: rank by the firm
-    score. A lone candidate keeps score 0 unless `score_single`. Both levels are partial aggregates, so a popular
-    key shrinks before it is shuffled; a segment meets at most one row per calendar month.
+    Both levels are partial aggregates, so a popular key shrinks before it is shuffled.
     """
     valid = dates.covers(F.col("valid_from"), F.col("valid_to"), F.col("snapshot_date"))
-    needs = key_needs(snapshots)
-    candidates = spread_join(panel_keys(master), needs, ["key_kind", "key"], ["permno", "namedt"], "inner", valid)
-    place = ["permno", "namedt", "nameendt"]
+    candidates = spread_join(segments, needs, ["key_kind", "key"], ["permno", "namedt"], "inner", valid)
     payload = F.struct(*_PAYLOAD, "permno_score", "gvkey_score")
     per_firm = candidates.groupBy(*_NEED, "gvkey").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min_by(payload, F.struct(-F.col("gvkey_score"), *place)).alias("_by_firm"),
-        F.min_by(payload, F.struct(-F.col("permno_score"), *place)).alias("_by_security"),
+        F.min_by(payload, F.struct(-F.col("gvkey_score"), *_PLACE)).alias("_by_firm"),
+        F.min_by(payload, F.struct(-F.col("permno_score"), *_PLACE)).alias("_by_security"),
         F.min(F.struct("permno", "namedt")).alias("_first_seen"),
     )
     firm_order = F.struct(F.col("gvkey").isNull(), -F.col("_by_firm.gvkey_score"), F.col("_first_seen"))
-    best = per_firm.groupBy(*_NEED).agg(
+    return per_firm.groupBy(*_NEED).agg(
         F.sum("_n").alias("n_candidates"),
         F.count(F.lit(1)).alias("n_firms"),
         F.min_by("_by_firm", firm_order).alias("_by_firm"),
         F.min_by("_by_security", firm_order).alias("_by_security"),
     )
+
+
+def firm_pieces(segments: DataFrame) -> DataFrame:
+    """What a firm has to offer under a key, between the days on which that changes.
+
+    Rows (key_kind, key, gvkey, day, until): the number of the firm's segments valid then, the first of
+    them by either score and the first by security. Scores do not depend on the date, so these change only
+    where a segment begins or ends. Segments are added up per dyadic block, and every such day merges
+    the blocks above it: rows grow with the segments, times the levels of the blocks.
+    """
+    firm = {"_firm": F.coalesce("gvkey", F.lit("")), "_none": F.col("gvkey").isNull()}
+    keys = ["key_kind", "key", *firm]
+    payload = F.struct(*_PAYLOAD, "permno_score", "gvkey_score")
+    ranges = segments.withColumns({**firm, "_low": dyadic.day_number(F.col("valid_from")), "_high": dyadic.day_number(F.col("valid_to"))})
+    blocks = (
+        dyadic.in_ranges(ranges, "_low", "_high")
+        .groupBy(*keys, dyadic.BLOCK)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct((-F.col("gvkey_score")).alias("order"), *_PLACE, payload.alias("segment"))).alias("by_firm"),
+            F.min(F.struct((-F.col("permno_score")).alias("order"), *_PLACE, payload.alias("segment"))).alias("by_security"),
+            F.min(F.struct("permno", "namedt")).alias("first_seen"),
+        )
+    )
+    # At most one row per day and firm under a key, however many segments there are.
+    days = ranges.select(*keys, F.explode(F.array("_low", "_high")).alias("day")).distinct()
+    days = days.withColumn("until", F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))).where("until IS NOT NULL")
+    found = keyed_join(dyadic.on_day(days, "day"), blocks, [*keys, dyadic.BLOCK])
+    merged = found.groupBy(*keys, "day", "until").agg(
+        F.sum("n").alias("n"), *[F.min(c).alias(c) for c in ("by_firm", "by_security", "first_seen")]
+    )
+    return merged.withColumn("gvkey", F.when(~F.col("_none"), F.col("_firm"))).drop(*firm)
+
+
+def _by_envelope(segments: DataFrame, needs: DataFrame) -> DataFrame:
+    """As `_by_pairs`, without pairs: the pieces of all firms are added up per block again, and a date
+    merges the blocks above it. A firm has one piece on a day, so pieces count firms."""
+    order = F.struct(F.col("gvkey").isNull().alias("none"), F.col("by_firm.order").alias("score"), "first_seen")
+    best = F.struct(order.alias("order"), F.col("by_firm.segment").alias("by_firm"), F.col("by_security.segment").alias("by_security"))
+    blocks = (
+        dyadic.in_ranges(firm_pieces(segments), "day", "until")
+        .groupBy("key_kind", "key", dyadic.BLOCK)
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("firms"), F.min(best).alias("best"))
+    )
+    asked = dyadic.on_day(needs.withColumn("_day", dyadic.day_number(F.col("snapshot_date"))), "_day")
+    found = keyed_join(asked, blocks, ["key_kind", "key", dyadic.BLOCK])
+    return (
+        found.groupBy(*_NEED)
+        .agg(F.sum("n").alias("n_candidates"), F.sum("firms").alias("n_firms"), F.min("best").alias("best"))
+        .select(*_NEED, "n_candidates", "n_firms", F.col("best.by_firm").alias("_by_firm"), F.col("best.by_security").alias("_by_security"))
+    )
+
+
+def best_by_key_date(
+    master: DataFrame, snapshots: DataFrame, score_single: bool = False, paired: int = PAIRED
+) -> DataFrame:
+    """Best segment valid on the snapshot date, per need, with its rank score.
+
+    One firm among the candidates: rank by the security score. Several: rank by the firm
+    score. A lone candidate keeps score 0 unless `score_single`.
+
+    Keys of up to `paired` segments are paired with their dates, which makes at most that many rows for a
+    date. The others get a winner envelope, whose rows grow with segments plus dates. Whether there are
+    any such keys is counted first, so the master should be a stored table.
+    """
+    segments, needs = panel_keys(master), key_needs(snapshots)
+    kinds = ["key_kind", "key"]
+    popular = segments.groupBy(*kinds).count().where(F.col("count") > paired).select(*kinds)
+    if popular.isEmpty():
+        best = _by_pairs(segments, needs)
+    else:
+        few, many = (needs.join(popular, kinds, how) for how in ("left_anti", "left_semi"))
+        crowded = spread_join(segments, popular, kinds, ["permno", "namedt"])
+        best = _by_pairs(segments, few).unionByName(_by_envelope(crowded, many))
     several = F.col("n_firms") > 1
     chosen = F.when(several, F.col("_by_firm")).otherwise(F.col("_by_security"))
     score = F.when(several, chosen["gvkey_score"]).otherwise(chosen["permno_score"])
@@ -121,9 +194,10 @@ def panel_best(
     row_id: str = "row_id",
     kinds: tuple[str, ...] = (CUSIP6, TICKER),
     score_single: bool = False,
+    paired: int = PAIRED,
 ) -> DataFrame:
     """Every member row with its best segment: by CUSIP6, else by ticker, else none."""
-    best = best_by_key_date(master, snapshots, score_single)
+    best = best_by_key_date(master, snapshots, score_single, paired)
     labels = {CUSIP6: "CUSIP6", TICKER: "TICKER"}
     columns = {CUSIP6: "cusip6", TICKER: "ticker_key"}
     found = [c for c in best.columns if c not in _NEED]

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from idlink.functions import dates, scores
+from idlink.operators import dyadic
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import keyed_join
+from idlink.operators.skew import keyed_join, spread_join
 from idlink.schemas import SEGMENT_KEY
 
 Stage = Callable[..., DataFrame]
+#: Links of a security up to which its segments are paired with them.
+PAIRED = 64
 NAME_ORDER = ("shrcd", "exchcd", "ncusip", "ticker", "comnam", "permco")
 LINK_COLUMNS = ["gvkey", "linkdt", "linkenddt", "cusip", "cusip6", "linkprim", "linktype"]
 LINK_SCORES = ["linkprim_score", "linktype_rank"]
@@ -42,13 +46,21 @@ def undominated_links(links: DataFrame, keys: Sequence[str]) -> DataFrame:
     return kept.drop("_latest")
 
 
+def _crowded(links: DataFrame, keys: Sequence[str], most: int) -> DataFrame | None:
+    """Keys with more links, or None if there are none."""
+    keys_of = links.groupBy(*keys).count().where(F.col("count") > most).select(*keys)
+    return None if keys_of.isEmpty() else keys_of
+
+
 def candidate_links(
     names: DataFrame,
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
     stage: Stage | None = None,
+    paired: int = PAIRED,
 ) -> DataFrame:
-    """Segments with the links that can be their best one; unlinked segments keep null link columns.
+    """Segments with the links that can be their best one, and each segment with null link columns unless it
+    has one of these and its security has few links.
 
     Two joins cover the two ways a link can win. Regardless of CUSIP, only the
     undominated links of a (permno, score class) compete. A link with the segment's own
@@ -59,7 +71,9 @@ def candidate_links(
 
     `stage` stores the reduced links, the two kinds apart. Their true sizes are then known
     before the wide segments move: the second is empty or tiny unless a security has many CUSIPs, and
-    joining to it then needs no shuffle of the segments.
+    joining to it then needs no shuffle of the segments. It is then also counted which securities have more than
+    `paired` reduced links. Their pairs come from an equality on date blocks, which makes touching
+    pairs only; segments of the others meet at most that many links.
     """
     segments = keep_first(names, [*SEGMENT_KEY, "ncusip6"], asc(*order_by))
     narrow = links.select("permno", *LINK_COLUMNS, *LINK_SCORES)
@@ -73,17 +87,25 @@ def candidate_links(
         reduced = stage(marked[0].unionByName(marked[1]), "by_cusip")
         any_cusip, only_by_cusip = [reduced.where(F.col("by_cusip") == i).drop("by_cusip") for i in (0, 1)]
     touching = dates.intervals_touch(F.col("namedt"), F.col("nameendt"), F.col("linkdt"), F.col("linkenddt"))
-    by_permno = keyed_join(segments, any_cusip, ["permno"], "left", touching)
-    # A key that is never null keeps this branch free of extra filters, so that both
+    # A key that is never null keeps the second branch free of extra filters, so that both
     # branches read one shuffle of the segments.
-    by_cusip = keyed_join(
-        segments.withColumn("_cusip_key", F.coalesce("ncusip6", F.lit(""))),
-        only_by_cusip.withColumn("_cusip_key", F.col("cusip6")),
-        ["permno", "_cusip_key"],
-        "inner",
-        touching,
-    )
-    joined = by_permno.unionByName(by_cusip.drop("_cusip_key"))
+    keyed = segments.withColumn("_cusip_key", F.coalesce("ncusip6", F.lit("")))
+    cusip_links = only_by_cusip.withColumn("_cusip_key", F.col("cusip6"))
+    # Without a stage, counting would reduce the links once more.
+    many = _crowded(any_cusip, ["permno"], paired) if stage else None
+    many_cusip = _crowded(cusip_links, ["permno", "_cusip_key"], paired) if stage else None
+    pairs = []
+    for keys, left, right, crowd, how in (
+        (["permno"], segments, any_cusip, many, "left"),
+        (["permno", "_cusip_key"], keyed, cusip_links, many_cusip, "inner"),
+    ):
+        if crowd is not None:
+            hot = spread_join(right, crowd, keys, _LINK_ORDER)
+            crowded = spread_join(left, crowd, keys, ["namedt", "nameendt"])
+            pairs.append(dyadic.touching_pairs(crowded, hot, keys, ("namedt", "nameendt"), ("linkdt", "linkenddt")))
+            right = right.join(crowd, keys, "left_anti")
+        pairs.append(keyed_join(left, right, keys, how, touching))
+    joined = reduce(lambda x, y: x.unionByName(y), [p.drop("_cusip_key") for p in pairs])
     return joined.withColumns(
         {
             "overlap_days": dates.touching_overlap_days(
@@ -106,9 +128,10 @@ def segment_links(
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
     stage: Stage | None = None,
+    paired: int = PAIRED,
 ) -> DataFrame:
     """The best overlapping link of every score class, per segment: at most six rows each."""
-    candidates = candidate_links(names, links, order_by, stage)
+    candidates = candidate_links(names, links, order_by, stage, paired)
     linked = candidates.where("linkdt IS NOT NULL")
     return keep_first(linked, [*SEGMENT_KEY, *LINK_SCORES], _best_first(order_by))
 
@@ -118,9 +141,10 @@ def best_links(
     links: DataFrame,
     order_by: Sequence[str] = NAME_ORDER,
     stage: Stage | None = None,
+    paired: int = PAIRED,
 ) -> DataFrame:
     """One row per segment with its best link, or with null link columns and zero scores."""
-    candidates = candidate_links(names, links, order_by, stage)
+    candidates = candidate_links(names, links, order_by, stage, paired)
     best = keep_first(candidates, SEGMENT_KEY, _best_first(order_by))
     return best.na.fill(0, subset=[*LINK_SCORES, "overlap_days", "cusip6_match"])
 
