@@ -27,62 +27,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from idlink.llm import tokens
-from idlink.llm.common import arrow_batches, out_schema
+from idlink.llm.common import out_schema, portions
 
 RULES = ("start", "most", "split")
 Section = tuple[str, int, int]
 
 
-class SpanEncoder(tokens.PartEncoder):
-    """Keeps of every part its length and the spans of its tokens."""
-
-    def __init__(self, name: str):
-        super().__init__(name, None)
-        self.value = self._spans
-
-    def _spans(self, encodings: list) -> tuple[int, np.ndarray]:
-        (e,) = encodings
-        spans = np.array(e.offsets, np.int32).reshape(-1, 2)
-        return int(spans[:, 1].max(initial=0)), spans
-
-    def joined(self, values: list) -> tuple[int, np.ndarray]:
-        lengths = np.array([n for n, _ in values])
-        starts = np.cumsum(lengths) - lengths
-        spans = [s + at for (_, s), at in zip(values, starts)]
-        return int(lengths.sum()), np.concatenate(spans) if spans else np.empty((0, 2), np.int32)
-
-    def spans(self, texts: list[str]) -> list[np.ndarray]:
-        """(start, end) of every token of every whole text, in characters."""
-        return [self.joined([head, *rest])[1] for head, rest in self.encode(texts)]
-
-
-def span_encoder(name: str) -> SpanEncoder:
-    key = (name, "spans")
-    if key not in tokens._loaded:
-        tokens._loaded[key] = SpanEncoder(name)
-    return tokens._loaded[key]
-
-
-def allot(spans: np.ndarray, starts: np.ndarray, ends: np.ndarray, rule: str) -> tuple[np.ndarray, int]:
-    """Tokens per section, and how many tokens touch more than one; sections fill the text in order."""
+def allot(spans: np.ndarray, starts: np.ndarray, ends: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens per section, and which tokens touch more than one; sections fill the text in order."""
     n = len(starts)
     if not n or not len(spans):
-        return np.zeros(n), 0
+        return np.zeros(n), np.zeros(len(spans), bool)
     first = np.searchsorted(ends, spans[:, 0], "right").clip(max=n - 1)
-    last = np.searchsorted(ends, spans[:, 1] - 1, "right").clip(max=n - 1)
-    last = np.maximum(first, last)
+    last = np.maximum(first, np.searchsorted(ends, spans[:, 1] - 1, "right").clip(max=n - 1))
     crossing = first != last
+    if rule == "start":
+        return np.bincount(first, minlength=n).astype(float), crossing
     counts = np.bincount(first[~crossing], minlength=n).astype(float)
-    for (a, b), i, j in zip(spans[crossing].tolist(), first[crossing].tolist(), last[crossing].tolist()):
-        if rule == "start":
-            counts[i] += 1
-            continue
+    # Most crossing tokens touch two neighbours.
+    two = np.flatnonzero(last == first + 1)
+    i, (a, b) = first[two], spans[two].T
+    share = (ends[i] - a) / (b - a)
+    if rule == "most":
+        share = (2 * (ends[i] - a) >= b - a).astype(float)
+    counts += np.bincount(i, share, n) + np.bincount(i + 1, 1 - share, n)
+    for t in np.flatnonzero(last > first + 1).tolist():
+        i, j, (a, b) = first[t], last[t], spans[t]
         overlap = np.minimum(ends[i : j + 1], b) - np.maximum(starts[i : j + 1], a)
         if rule == "most":
             counts[i + int(np.argmax(overlap))] += 1
         else:
             counts[i : j + 1] += overlap / (b - a)
-    return counts, int(crossing.sum())
+    return counts, crossing
 
 
 def filled(sections: list[Section], length: int) -> list[Section]:
@@ -110,40 +86,64 @@ def head_and_body(text: str) -> list[Section]:
     return [("head", line.start(), line.end()), ("body", min(line.end() + 1, len(text)), len(text))]
 
 
+_SENTENCE_END = re.compile(r"[.!?]\s+")
+
+
+def sentences(text: str) -> list[Section]:
+    """Sentences by number. One ends after the blanks that follow its full stop, so the next one's first token crosses."""
+    ends = [m.end() for m in _SENTENCE_END.finditer(text)]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    return [(str(k), start, end) for k, (start, end) in enumerate(zip([0, *ends], ends), 1)]
+
+
 def attribute(
     docs: DataFrame,
     id_: str = "doc_id",
     text: str = "text",
-    sections: Callable[[str], list[Section]] = head_and_body,
+    sections: Callable[[str], list[Section]] = sentences,
     rule: str = "most",
     tokenizer: str = tokens.DEFAULT,
 ) -> DataFrame:
-    """One row per document and section: id, section, n_chars, n_tokens (a double), doc_tokens, crossing."""
+    """One row per document and section: id, section, n_chars, n_tokens (a double), doc_tokens, crossing (tokens of
+    the document that touch several sections)."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     source = docs.select(F.col(id_).alias("id"), F.col(text).alias("t"))
 
+    def rows_of(ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
+        """Sections and tokens of all texts meet in one interval join, on places in the joined texts."""
+        spans, n_tokens = tokens.id_encoder(tokenizer).spans(texts)
+        parts = [filled(sections(t), len(t)) for t in texts]
+        n_parts = np.array([len(p) for p in parts], np.int64)
+        base = np.cumsum([0, *map(len, texts)])
+        bounds = np.array([x[1:] for p in parts for x in p], np.int64).reshape(-1, 2) + np.repeat(base[:-1], n_parts)[:, None]
+        counts, crossing = allot(spans, bounds[:, 0], bounds[:, 1], rule)
+        crossed = np.bincount(np.repeat(np.arange(len(texts)), n_tokens)[crossing], minlength=len(texts))
+        chars = bounds[:, 1] - bounds[:, 0]
+        at, names, sizes, found = [], [], [], []
+        place = 0
+        for k, own in enumerate(parts):
+            entries: dict[str, list] = {"rest": [0, 0.0]}
+            for (name, _, _), size, n in zip(own, chars[place : place + len(own)].tolist(), counts[place : place + len(own)].tolist()):
+                entry = entries.setdefault(name, [0, 0.0])
+                entry[0] += size
+                entry[1] += n
+            place += len(own)
+            at += [k] * len(entries)
+            names += entries
+            sizes += [e[0] for e in entries.values()]
+            found += [e[1] for e in entries.values()]
+        at = np.array(at, np.int64)
+        columns = [ids.take(pa.array(at)), pa.array(names, pa.string()), pa.array(sizes, pa.int64()), pa.array(found, pa.float64())]
+        columns += [pa.array(n_tokens[at]), pa.array(crossed[at].astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["id", "section", "n_chars", "n_tokens", "doc_tokens", "crossing"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = span_encoder(tokenizer)
-        for whole in batches:
-            for batch in arrow_batches(whole):
-                texts = [t or "" for t in batch.column("t").to_pylist()]
-                at, rows = [], []
-                for k, (body, spans) in enumerate(zip(texts, encoder.spans(texts))):
-                    parts = filled(sections(body), len(body))
-                    counts, crossing = allot(spans, np.array([s for _, s, _ in parts]), np.array([e for _, _, e in parts]), rule)
-                    found: dict[str, list[float]] = {"rest": [0, 0.0]}
-                    for (name, start, end), n in zip(parts, counts.tolist()):
-                        entry = found.setdefault(name, [0, 0.0])
-                        entry[0] += end - start
-                        entry[1] += n
-                    for name, (chars, n) in found.items():
-                        at.append(k)
-                        rows.append((name, chars, n, len(spans), crossing))
-                kinds = (pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)] if rows else [pa.array([], kind) for kind in kinds]
-                ids = batch.column("id").take(pa.array(at, pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, *columns], ["id", "section", "n_chars", "n_tokens", "doc_tokens", "crossing"])
+        for batch in batches:
+            for start, end in portions(batch.column("t")):
+                part = batch.slice(start, end - start)
+                yield rows_of(part.column("id"), [t or "" for t in part.column("t").to_pylist()])
 
     added = out_schema("section string, n_chars long, n_tokens double, doc_tokens long, crossing long")
     df = source.mapInArrow(run, StructType([source.schema["id"], *added.fields]))

@@ -126,6 +126,19 @@ def arrow_batches(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordB
         yield batch.slice(at, rows)
 
 
+def portions(texts: pa.Array, most: int = 4 << 20, rows: int = 256) -> Iterator[tuple[int, int]]:
+    """Ranges of at most `rows` rows with at most `most` bytes of text; a longer text is a range of its own."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at, total = 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        if k > at and (total + size > most or k - at == rows):
+            yield at, k
+            at, total = k, 0
+        total += size
+    if at < len(sizes):
+        yield at, len(sizes)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """The frame, written to the shared folder and read back: computed once, safe when executors are lost."""
     return stored(df.sparkSession, name)(df)

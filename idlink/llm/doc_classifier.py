@@ -29,15 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from idlink.llm import trees
-from idlink.llm.common import NOT_BLANK, Words, _hashes, _spans, grams, kept, mix, out_schema
+from idlink.llm.common import NOT_BLANK, Words, _hashes, _spans, grams, kept, mix, out_schema, portions
 from idlink.llm.langid import fold
 from idlink.operators.skew import spread_join
 
 #: Labelled documents that the trees learn from, about.
 SAMPLE = 65_536
 CUT = 0.3
-#: Bytes of texts that are worked on at once; a longer text makes a batch of its own.
-_BATCH_BYTES = 4 << 20
 
 
 def _bytes(chars: str) -> np.ndarray:
@@ -146,26 +144,13 @@ def statistics(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def _portions(texts: pa.Array, most: int = _BATCH_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most `most` bytes of text, or one row."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    at, total = 0, 0
-    for k, size in enumerate(sizes.tolist()):
-        if k > at and total + size > most:
-            yield at, k
-            at, total = k, 0
-        total += size
-    if at < len(sizes):
-        yield at, len(sizes)
-
-
 def with_statistics(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
     """Of every document: id and stats, an array of STATISTICS."""
     source = docs.select(F.col(id_).alias("id"), F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in _portions(batch.column("t")):
+            for start, end in portions(batch.column("t")):
                 part = batch.slice(start, end - start)
                 found = statistics(part.column("t")).astype(np.float32)
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), len(STATISTICS)).cast(pa.list_(pa.float32()))

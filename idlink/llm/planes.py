@@ -14,7 +14,7 @@ Files are written by the tasks of a range partitioning, one per partition, under
 are renamed when complete. A repeated task writes the same bytes again, so lost executors do no harm.
 
 Defined results: a null text has no ids but its end id. Repeated doc_ids are rows of their own, ordered
-by text; null doc_ids come first. An empty table gives no rows.
+by a hash of the text; null doc_ids come first. Very long texts are encoded whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,8 +41,9 @@ BLOCK = 1 << 17
 def to_planes(ids: np.ndarray) -> list[bytes]:
     """Bit planes of uint32 ids, lowest first."""
     top = int(ids.max()).bit_length() if len(ids) else 0
-    bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-    return [np.packbits(bits[:, k], bitorder="little").tobytes() for k in range(top)]
+    used = ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : -(-top // 8)]
+    bits = np.unpackbits(used, axis=1, bitorder="little")[:, :top]
+    return [plane.tobytes() for plane in np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")]
 
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:
@@ -163,12 +164,13 @@ def write_ids(
 ) -> DataFrame:
     """Writes the files and returns their list: shard, folder, name, docs, ids, start (ids in the files before it)."""
     folder = folder or shared_folder(docs.sparkSession, "token_ids")
-    source = docs.select(F.col(id_).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    source = docs.select(F.col(id_).cast("long").alias("id"), F.xxhash64(body).alias("h"), body.alias("t"))
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, writer = TaskContext.get().partitionId(), None
-        encode = tokens.id_encoder(tokenizer)
+        encode = tokens.id_encoder(tokenizer).encode
         file = SharedFile(folder, f"shard-{shard:06d}.ids")
         with file as stream:
             writer = Writer(stream)
@@ -181,8 +183,9 @@ def write_ids(
         row = {"shard": shard, "folder": folder, "name": f"shard-{shard:06d}.ids", "docs": len(writer.docs), "ids": sum(writer.lengths)}
         yield pa.RecordBatch.from_pylist([row])
 
-    ordered = source.repartitionByRange("id").sortWithinPartitions("id", "t")
-    written = kept(ordered.mapInArrow(run, "shard long, folder string, name string, docs long, ids long"), "token_shards")
+    # The hash parts rows whose ids are null or alike.
+    ordered = source.repartitionByRange("id", "h").sortWithinPartitions("id", "h", "t")
+    written = kept(ordered.select("id", "t").mapInArrow(run, "shard long, folder string, name string, docs long, ids long"), "token_shards")
     rows = [r.asDict() for r in written.orderBy("shard").collect()]  # one row per file
     start = 0
     for row in rows:

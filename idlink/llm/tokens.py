@@ -11,15 +11,15 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable
-from typing import Any
+from itertools import accumulate, chain
 
+import numpy as np
 import public_tokenizers
 import regex
 
 DEFAULT = "byte_bpe_50k.json"
-#: A blank next to other white space; such a text is cut only at the other blanks.
-_CLUSTER = re.compile(r" \s|[^\S ] ")
+#: White space next to white space; such a text is cut only at the other blanks.
+_CLUSTER = re.compile(r"\s\s")
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
 _PARTS = regex.compile(public_tokenizers.PATTERN)
 #: Below this character, the parts of a text are the same in all Unicode versions.
@@ -27,13 +27,24 @@ _AGREED = "ɐ"
 #: Entries that a worker keeps; beyond it the cache starts anew.
 CACHE = 2_000_000
 
-_loaded: dict[tuple[str, str], PartEncoder] = {}
+_loaded: dict[str, IdEncoder] = {}
+#: Parts pieces of a batch; no piece that is split here has it.
+_MARK = "\uffff"
 
 
-class PartEncoder:
-    """`value` makes what is kept of a part from the library's encodings of its pieces."""
+def _byte_letters() -> np.ndarray:
+    """The character that stands for each byte in byte-level vocabularies: itself where printable, else from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    letters = np.arange(256, dtype="<u4")
+    letters[others] = 256 + np.arange(len(others))
+    return letters
+
 
-    def __init__(self, name: str, value: Callable[[list], Any]):
+class IdEncoder:
+    """Little-endian 32-bit ids of whole texts. Pieces that are one part go straight to the library's merge model."""
+
+    def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
@@ -42,15 +53,19 @@ class PartEncoder:
         made = json.loads(self.tokenizer.to_str())
         if made["normalizer"] or made["pre_tokenizer"].get("type") != "ByteLevel" or made["pre_tokenizer"]["add_prefix_space"]:
             raise ValueError(f"{name} is not a plain byte-level tokenizer")
-        self.specials = list(self.tokenizer.get_added_tokens_decoder().values())
-        self.specials = [str(t.content) for t in self.specials]
-        self.value = value
-        self.pieces: dict[str, Any] = {}
-        self.parts: dict[str, Any] = {}
-        self.heads: dict[str, Any] = {}
+        added = {k: str(t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.specials = list(added.values())
+        self.letters = _byte_letters()
+        self.pieces: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
+        #: Bytes of text that each id stands for: a letter of the vocabulary is a byte.
+        sizes = {k: len(token) for token, k in self.tokenizer.get_vocab().items()} | {k: len(t.encode()) for k, t in added.items()}
+        self.sizes = np.zeros(max(sizes) + 1, np.int64)
+        self.sizes[list(sizes)] = list(sizes.values())
 
-    def whole(self, text: str) -> Any:
-        return self.value([self.tokenizer.encode(text, add_special_tokens=False)])
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def cut(self, text: str) -> list[str] | None:
         """Parts of a text; all but the first had a blank in front. None: encode it whole."""
@@ -58,66 +73,71 @@ class PartEncoder:
             return None
         return _SINGLE.split(text) if _CLUSTER.search(text) else text.split(" ")
 
-    def _learn(self, known: dict[str, Any], parts: set[str], front: str) -> None:
-        new = [p for p in parts if p not in known]
+    def _learn(self, known: dict[str, bytes], parts: set[str], front: str) -> None:
+        new = parts.difference(known)
+        words = [p for p in new if p.isalpha()]  # one piece each
+        known.update(zip(words, self._ids([front + p for p in words])))
+        new = [p for p in new if not p.isalpha()]
         # Pieces are split here only where all Unicode versions agree.
         split = [_PARTS.findall(front + p) if max(p, default="") < _AGREED else [front + p] for p in new]
-        missing = list({x for pieces in split for x in pieces if x not in self.pieces})
-        self.pieces.update(zip(missing, self.values(missing)))
-        for part, pieces in zip(new, split):
-            found = [self.pieces[x] for x in pieces]
-            known[part] = found[0] if len(found) == 1 else self.joined(found)
-
-    def values(self, pieces: list[str]) -> list:
-        return [self.value([e]) for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
-
-    def joined(self, values: list) -> Any:
-        return b"".join(values)
-
-    def encode(self, texts: list[str]) -> list[tuple[Any, list]]:
-        """For each text either (value of the whole, []) or (value of the first part, values of the others)."""
+        missing = list({x for pieces in split for x in pieces}.difference(self.pieces))
+        self.pieces.update(zip(missing, self._ids(missing)))
+        of = self.pieces.__getitem__
+        known.update({part: b"".join(map(of, pieces)) for part, pieces in zip(new, split)})
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        if max("".join(pieces), default="") >= _AGREED:
+            odd = [p for p in pieces if max(p) >= _AGREED]
+            found = dict(zip(odd, self.whole(odd)))
+            plain = [p for p in pieces if p not in found]
+            found.update(zip(plain, self._merged(plain)))
+            return [found[p] for p in pieces]
+        return self._merged(pieces)
+
+    def _lettered(self, text: str) -> str:
+        return self.letters[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that are one part each."""
+        if not pieces:
+            return []
+        as_letters = self._lettered(_MARK.join(pieces)).split(self._lettered(_MARK))
+        merge = self.tokenizer.model.tokenize
+        ids = [[t.id for t in merge(piece)] for piece in as_letters]
+        flat = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        ends = list(accumulate(map(len, ids), initial=0))
+        return [flat[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.parts) + len(self.heads) + len(self.pieces) > CACHE:
             self.parts, self.heads, self.pieces = {}, {}, {}
         cut = [self.cut(t) for t in texts]
-        self._learn(self.heads, {c[0] for c in cut if c}, "")
-        self._learn(self.parts, set().union(*[c[1:] for c in cut if c]), " ")
+        heads = [c.pop(0) if c else None for c in cut]
+        self._learn(self.heads, {h for h in heads if h is not None}, "")
+        self._learn(self.parts, set().union(*[c for c in cut if c]), " ")
         get = self.parts.__getitem__
-        return [(self.whole(t), []) if c is None else (self.heads[c[0]], [get(p) for p in c[1:]]) for t, c in zip(texts, cut)]
-
-
-def _byte_letters() -> dict[int, str]:
-    """The character that stands for each byte in byte-level vocabularies: itself where printable, else from 256 on."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in printable]
-    return {b: chr(256 + k) for k, b in enumerate(others)}
-
-
-class IdEncoder(PartEncoder):
-    """Little-endian 32-bit ids. Pieces that are one part go straight to the library's merge model."""
-
-    def __init__(self, name: str):
-        super().__init__(name, _ids)
-        self.letters = _byte_letters()
-
-    def values(self, pieces: list[str]) -> list[bytes]:
-        model = self.tokenizer.model
-        odd = [p for p in pieces if max(p) >= _AGREED]
-        found = dict(zip(odd, super().values(odd)))
-        for piece in pieces:
-            if piece not in found:
-                merged = model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-                found[piece] = b"".join([t.id.to_bytes(4, "little") for t in merged])
-        return [found[p] for p in pieces]
-
-
-def _ids(encodings: list) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for e in encodings for i in e.ids)
-
-
-def id_encoder(name: str) -> Callable[[list[str]], list[bytes]]:
-    """Little-endian 32-bit ids of whole texts. The encoder stays in the worker between tasks."""
-    key = (name, "ids")
-    if key not in _loaded:
-        _loaded[key] = IdEncoder(name)
-    encoder = _loaded[key]
-    return lambda texts: [b"".join((head, *rest)) for head, rest in encoder.encode(texts)]
+        out = [b"" if c is None else b"".join([self.heads[h], *map(get, c)]) for h, c in zip(heads, cut)]
+        special = [k for k, c in enumerate(cut) if c is None]
+        for k, ids in zip(special, self.whole([texts[k] for k in special])):
+            out[k] = ids
+        return out
+
+    def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(start, end) of the tokens of all texts, in characters of the joined texts, and the number of each text's tokens.
+
+        A token that is a part of a character's bytes has the span of that character.
+        """
+        found = self.encode(texts)
+        sizes = self.sizes[np.frombuffer(b"".join(found), "<u4")]
+        raw = np.frombuffer("".join(texts).encode(), np.uint8)
+        character = np.cumsum((raw & 0xC0) != 0x80) - 1
+        ends = np.cumsum(sizes)
+        spans = np.column_stack([character[ends - sizes], character[ends - 1] + 1]) if len(ends) else np.empty((0, 2), np.int64)
+        return spans, np.array([len(x) // 4 for x in found], np.int64)
+
+
+def id_encoder(name: str) -> IdEncoder:
+    """The encoder stays in the worker between tasks."""
+    if name not in _loaded:
+        _loaded[name] = IdEncoder(name)
+    return _loaded[name]

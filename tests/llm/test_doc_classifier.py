@@ -83,9 +83,9 @@ def test_statistics_equal_plain_python():
 
 def test_portions_cover_all_rows():
     texts = pa.array(["a" * n for n in (1, 9, 3, 0, 50, 2)] + [None])
-    parts = list(dc._portions(texts, 10))
+    parts = list(dc.portions(texts, 10))
     assert parts == [(0, 2), (2, 4), (4, 5), (5, 7)]
-    assert list(dc._portions(pa.array([], pa.string()))) == []
+    assert list(dc.portions(pa.array([], pa.string()))) == []
 
 
 def walk(forest, row):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import io
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -289,20 +291,42 @@ def test_mix_of_nothing(empty):
 TRICKY = [r[1] or "" for r in ODD] + ["  a", "a  ", "a   b", "a \n b", "a\n \nb", "x\t y", "  a  b", "ÀÉ ǆ ꟸ1²½", "'s 't  's", "<|endoftext|> a b"]
 
 
-def reference_ids(text):
+@functools.cache
+def reference():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(public_tokenizers.path(tokens.DEFAULT)).encode(text, add_special_tokens=False)
+    return Tokenizer.from_file(public_tokenizers.path(tokens.DEFAULT))
 
 
-def test_cached_encoding_equals_whole_encoding():
-    ids = tokens.id_encoder(tokens.DEFAULT)(TRICKY)
-    spans = attribution.span_encoder(tokens.DEFAULT).spans(TRICKY)
-    for text, got, span in zip(TRICKY, ids, spans):
+def reference_ids(text):
+    return reference().encode(text, add_special_tokens=False)
+
+
+def check_encoder(texts):
+    encoder = tokens.id_encoder(tokens.DEFAULT)
+    spans, counts = encoder.spans(texts)
+    at = base = 0
+    for text, ids, n in zip(texts, encoder.encode(texts), counts.tolist()):
         want = reference_ids(text)
-        assert np.frombuffer(got, "<u4").tolist() == want.ids, text[:40]
-        assert span.tolist() == [list(x) for x in want.offsets], text[:40]
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids, text[:40]
+        assert (spans[at : at + n] - base).tolist() == [list(x) for x in want.offsets], text[:40]
+        at, base = at + n, base + len(text)
+    assert at == len(spans)
+
+
+def test_cached_encoding_equals_whole_encoding():
+    check_encoder(TRICKY)
+    check_encoder([""])
+    check_encoder([])
+
+
+def test_encoding_of_random_texts():
+    rng = random.Random(3)
+    letters = [*"aabcde  XYZ12.,'!?\n\t\r-_#$", "'s", "ll", "\u2028", "\u00a0", *"éßɐ漢字😀ª²½Ωǅ", "\u0301", "\uffff", "<|endoftext|>", "İ", "\x00", "\x85"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(30))) for _ in range(600)]
+    for at in range(0, 600, 7):
+        check_encoder(texts[at : at + 7])
 
 
 def test_planes_round_trip():
@@ -331,18 +355,62 @@ def test_token_output_equals_brute_force(spark, odd, empty):
     assert planes.token_output(empty).count() == 0
 
 
-def test_attribution(odd, empty):
-    found = attribution.attribute(odd)
-    totals = found.groupBy("doc_id").agg(F.sum("n_tokens"), F.min("doc_tokens")).collect()
+#: Fields of seven characters with gaps of two. A lambda, so that workers get it by value.
+fields = lambda text: [(f"f{k % 3}", at, min(at + 7, len(text))) for k, at in enumerate(range(0, len(text), 9))]
+
+
+def section_rows(text, sections, rule):
+    """Tokens per section name, one token and one character at a time."""
+    owner = ["rest"] * len(text)
+    place = [-1] * len(text)  # a gap is a section of its own
+    for k, (name, start, end) in enumerate(sections(text)):
+        owner[start:end], place[start:end] = [name] * (end - start), [k] * (end - start)
+    gaps = 0
+    for i in range(len(text)):
+        if place[i] == -1:
+            gaps -= i == 0 or place[i - 1] >= 0
+            place[i] = gaps - 1
+    counts, crossing, total = Counter({"rest": 0}), 0, 0
+    for start, end in reference_ids(text).offsets:
+        inside = Counter(place[start:end])
+        crossing += len(inside) > 1
+        total += 1
+        if rule == "split":
+            for i in range(start, end):
+                counts[owner[i]] += 1 / (end - start)
+        elif rule == "start":
+            counts[owner[start]] += 1
+        else:
+            most = max(inside.values())
+            counts[owner[next(i for i in range(start, end) if inside[place[i]] == most)]] += 1
+    chars = Counter(owner)
+    return {(name, chars[name], round(n, 6), total, crossing) for name, n in counts.items()} | {
+        (name, n, round(counts[name], 6), total, crossing) for name, n in chars.items()
+    }
+
+
+@pytest.mark.parametrize("rule", attribution.RULES)
+@pytest.mark.parametrize("sections", [attribution.sentences, attribution.head_and_body, fields])
+def test_attribution_equals_brute_force(spark, rule, sections):
+    texts = [None, "", "One. Two! Three?  Four.\n\nFive", "no end", "A.B. c", "...   ", "é\U0001f600. é  漢字漢字! internationalization", "x" * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {}
+    for r in attribution.attribute(df, sections=sections, rule=rule).collect():
+        got.setdefault(r.doc_id, set()).add((r.section, r.n_chars, round(r.n_tokens, 6), r.doc_tokens, r.crossing))
+    assert got == {k: section_rows(t or "", sections, rule) for k, t in enumerate(texts)}
+
+
+def test_rules_differ_on_the_tables(spark, docs, odd, empty):
+    some = docs.where("length(text) < 3000")
+    by_rule = {rule: rows_of(attribution.attribute(some, rule=rule), "doc_id", "section", "n_tokens") for rule in attribution.RULES}
+    assert len({str(x) for x in by_rule.values()}) == 3
+    assert attribution.attribute(some).groupBy("doc_id").agg(F.max("crossing").alias("c")).where("c > 0").count() > 50
+    totals = attribution.attribute(odd).groupBy("doc_id").agg(F.sum("n_tokens")).collect()
     texts = Counter()
     for r in ODD:
         texts[r[0]] += len(reference_ids(r[1] or "").ids)
     assert {r[0]: r[1] for r in totals} == {k: float(v) for k, v in texts.items()}
     assert attribution.attribute(empty).count() == 0
-    spans, starts, ends = np.array([[0, 2], [2, 5], [5, 6]]), np.array([0, 4]), np.array([4, 6])
-    assert attribution.allot(spans, starts, ends, "start")[0].tolist() == [2, 1]
-    assert attribution.allot(spans, starts, ends, "most") [0].tolist() == [2, 1]
-    assert attribution.allot(spans, starts, ends, "split")[0] == pytest.approx([1 + 2 / 3, 1 + 1 / 3])
 
 
 # ---- WARC --------------------------------------------------------------------------------
