@@ -34,7 +34,6 @@ from __future__ import annotations
 import heapq
 import math
 from bisect import bisect_left
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -129,7 +128,7 @@ def part_lists(texts: DataFrame, n: int, percent: int) -> DataFrame:
             for batch in arrow_batches(whole):
                 sets = _sets(batch, n)
                 nodes = _nodes(sets)
-                if len(seen) > 500_000:
+                if len(seen) > 200_000:
                     seen.clear()
                 new = [k for k, node in enumerate(nodes.tolist()) if len(sets[k]) and not (node in seen or seen.add(node))]
                 found = [(nodes[k], c, *entry) for k in new for c, entry in enumerate(part_keys(sets[k], percent))]
@@ -184,11 +183,16 @@ def divide_skip(query: list[int], index: dict[int, list[int]], sizes: list[int],
 
 
 def _search_block(query: np.ndarray, members: list[np.ndarray], percent: int) -> list[int]:
-    index: dict[int, list[int]] = defaultdict(list)
-    for k, items in enumerate(members):
-        for item in items.tolist():
-            index[item].append(k)
-    return divide_skip(query.tolist(), index, [len(m) for m in members], percent)
+    """`query` and the members are ascending. The index has the n-grams of the query only: no others are asked for."""
+    sizes = [len(m) for m in members]
+    items = np.concatenate([*members, query[:0]])
+    place = np.searchsorted(query, items).clip(max=len(query) - 1)
+    hit = np.flatnonzero(query[place] == items)
+    order = np.argsort(place[hit], kind="stable")  # members stay in ascending order
+    owner = np.repeat(np.arange(len(members)), sizes)[hit][order]
+    at, first = np.unique(place[hit][order], return_index=True)
+    index = {item: found.tolist() for item, found in zip(query[at].tolist(), np.split(owner, first[1:]))}
+    return divide_skip(query.tolist(), index, sizes, percent)
 
 
 def search(pairs: DataFrame, texts: DataFrame, n: int, percent: int, block: int) -> DataFrame:

@@ -24,8 +24,8 @@ _SINGLE = re.compile(r"(?<=\S) (?=\S)")
 _PARTS = regex.compile(public_tokenizers.PATTERN)
 #: Below this character, the parts of a text are the same in all Unicode versions.
 _AGREED = "ɐ"
-#: Entries that a worker keeps; beyond it the cache starts anew.
-CACHE = 2_000_000
+#: Entries that a worker keeps, some 200 bytes each; beyond it the cache starts anew.
+CACHE = 500_000
 
 _loaded: dict[str, IdEncoder] = {}
 #: Parts pieces of a batch; no piece that is split here has it.

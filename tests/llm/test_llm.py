@@ -193,6 +193,18 @@ def test_keep_one_of_each_component(spark, odd, empty):
     assert jaccard.keep_one(empty).count() == 0 and jaccard.jaccard_report(empty).count() == 0
 
 
+def test_block_search_equals_all_comparisons():
+    """The index of a block holds what the query asks for, and finds what comparing all finds."""
+    rng = np.random.default_rng(12)
+    for trial in range(60):
+        pool = np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64))
+        sets = [np.unique(rng.choice(pool, int(rng.integers(1, 30)))) for _ in range(20)]
+        query, members = sets[0], sets[1 : 1 + trial % 20]
+        for percent in (30, 60, 90):
+            want = [k for k, m in enumerate(members) if 100 * len(np.intersect1d(query, m)) >= percent * len(np.union1d(query, m))]
+            assert jaccard._search_block(query, members, percent) == want
+
+
 def test_divide_skip_equals_counting():
     rng = np.random.default_rng(1)
     for _ in range(50):
