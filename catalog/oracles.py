@@ -450,6 +450,10 @@ FROM (SELECT gvkey FROM matches_{a} WHERE gvkey IS NOT NULL INTERSECT SELECT gvk
 )
 
 _FINAL: dict[str, str] = {
+    "scan_ragged": """SELECT orgpermid, year, CASE WHEN CAST(orgpermid AS BIGINT) % 11 <> 0 THEN comname END AS comname
+FROM provider_a WHERE CAST(orgpermid AS BIGINT) % 7 <> 0""",
+    "scan_quarantine": """SELECT 'surplus' AS reason, 4 AS fields, orgpermid || ',' || year || ',"' || comname || '",extra' AS line
+FROM provider_a WHERE CAST(orgpermid AS BIGINT) % 7 = 0""",
     "scan_csv_lower": "SELECT * FROM names_raw_typed",
     "scan_pruned": "SELECT CAST(permno AS VARCHAR) AS permno, ncusip, ticker FROM names",
     "scan_encoding": "SELECT orgpermid, year, 'Société ' || comname AS comname FROM provider_a",
@@ -643,8 +647,10 @@ FROM panel p WHERE p.month = 12""",
 QUALIFY row_number() OVER (PARTITION BY date, ric ORDER BY row_id) = 1""",
 }
 
-#: Queries that reach another one's rows by a longer way: through a sink, or through the whole mapping job.
+#: Queries that reach another one's rows in another way: through a sink, the whole mapping job, or other columns.
 _SAME_ROWS = {
+    "scan_alike_headers": "scan_constituents",
+    "epoch_year_timestamp": "epoch_year",
     "sink_primary": "primary_table",
     "sink_crosswalk": "consolidated_crosswalk",
     "sink_grid": "ml_grid",

@@ -86,6 +86,30 @@ def scan_cp1252(spark, sf):
     return rows.select("orgpermid", _c("year").try_cast("int").alias("year"), "comname")
 
 
+def _ragged(spark, sf):
+    """Lines of a delimited file: every seventh provider has a field too many, every eleventh one too few."""
+    raw = derive(spark, sf, "provider_a")
+    number, name = _c("orgpermid").cast("long"), F.concat(F.lit(',"'), "comname", F.lit('"'))
+    last = F.when(number % 7 == 0, F.concat(name, F.lit(",extra"))).when(number % 11 == 0, "").otherwise(name)
+    line = F.concat("orgpermid", F.lit(","), _c("year").cast("string"), last).alias("ORGPERMID,YEAR,COMNAME")
+    path, bad = scratch_path(spark, "ragged_csv"), scratch_path(spark, "quarantine")
+    raw.select(line).write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+    return readers.read_delimited(spark, path, quarantine=bad), bad
+
+
+@query
+def scan_ragged(spark, sf):
+    """The rows that are left when those with too many fields go to quarantine."""
+    rows, _ = _ragged(spark, sf)
+    return rows.select("orgpermid", _c("year").try_cast("int").alias("year"), "comname")
+
+
+@query
+def scan_quarantine(spark, sf):
+    _, bad = _ragged(spark, sf)
+    return spark.read.parquet(bad).select("reason", "fields", "line")
+
+
 @query
 def scan_multifile(spark, sf):
     raw = derive(spark, sf, "provider_b")
@@ -112,6 +136,13 @@ def scan_constituents(spark, sf):
     return conform.clean_constituents(raw, keep=["row_id"])
 
 
+@query
+def scan_alike_headers(spark, sf):
+    raw = derive(spark, sf, "constituents").withColumn("ISIN New", F.reverse("isin"))
+    raw = raw.withColumnsRenamed({"isin": "ISIN Old", "cusip": "CUSIP code"}).withColumn("CUSIP other", F.lit("x"))
+    return conform.clean_constituents(raw.select("date", "ric", "ISIN Old", "ISIN New", "CUSIP other", "CUSIP code", "ticker", "row_id"), keep=["row_id"])
+
+
 _LINK_COLUMNS = ["linkdt", "linkenddt", "overlap_days", "cusip6_match"]
 _MATCHING_COLUMNS = ["shrcd", "exchcd", "ncusip", "primary_permno"]
 _NOT_LOADED = {
@@ -293,6 +324,12 @@ def epoch_year(spark, sf):
     return conform.epoch_year(raw).select("event_id", "period_end", "year")
 
 
+@query
+def epoch_year_timestamp(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    return conform.epoch_year(events.select("event_id", _c("ts").alias("periodEndDate"))).select("event_id", "period_end", "year")
+
+
 @query
 def year_window(spark, sf):
     return conform.with_year_window(_odd(spark, sf).select("row_id", "year"))

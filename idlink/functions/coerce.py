@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -12,6 +14,8 @@ from pyspark.sql.types import (
     IntegralType,
     NumericType,
     StringType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 from idlink.functions.identifiers import strip
@@ -56,16 +60,43 @@ def in_range(c: Column) -> Column:
     return F.when(c.between(F.lit(EARLIEST_DATE).cast("date"), F.lit(FAR_FUTURE).cast("date")), c)
 
 
-def parse_date(text: Column, fmt: str) -> Column:
-    """Date in one format, by a cast of its ISO form: format parsers are slow, failing ones most of all."""
+def _iso_form(text: Column, fmt: str) -> Column:
+    """A text of one format's shape, written as ISO dates are."""
     shape, iso = DATE_SHAPES[fmt]
     written = F.regexp_replace(text, shape, iso) if iso else text
     if "MMM" in fmt:
         year, name, day = [F.split_part(written, F.lit("-"), F.lit(i)) for i in (1, 2, 3)]
-        written = F.concat(year, F.lit("-"), _month_number(name), F.lit("-"), day)
-    elif fmt.endswith("/yy"):
-        written = F.concat(F.when(written < CENTURY_TURN, "20").otherwise("19"), written)
-    return F.when(text.rlike(shape), written.try_cast("date"))
+        return F.concat(year, F.lit("-"), _month_number(name), F.lit("-"), day)
+    if fmt.endswith("/yy"):
+        return F.concat(F.when(written < CENTURY_TURN, "20").otherwise("19"), written)
+    return written
+
+
+def parse_date(text: Column, fmt: str) -> Column:
+    """Date in one format, by a cast of its ISO form: format parsers are slow, failing ones most of all."""
+    return F.when(text.rlike(DATE_SHAPES[fmt][0]), _iso_form(text, fmt).try_cast("date"))
+
+
+#: No text has two of the shapes. The commonest is looked for first.
+_SHAPES = sorted(DATE_SHAPES, key=lambda fmt: DATE_SHAPES[fmt][1] is not None)
+
+
+def _by_shape(of: Callable[[str], Column], test: Callable[[str], Column]) -> Column:
+    first, *rest = _SHAPES
+    chain = F.when(test(first), of(first))
+    for fmt in rest:
+        chain = chain.when(test(fmt), of(fmt))
+    return chain
+
+
+def shape_number(text: Column) -> Column:
+    """Which of DATE_SHAPES a text has, by number; null for none."""
+    return _by_shape(lambda fmt: F.lit(list(DATE_SHAPES).index(fmt)), lambda fmt: text.rlike(DATE_SHAPES[fmt][0]))
+
+
+def date_of_shape(text: Column, number: Column) -> Column:
+    """The date of a text whose shape number is known."""
+    return _by_shape(lambda fmt: _iso_form(text, fmt), lambda fmt: number == list(DATE_SHAPES).index(fmt)).try_cast("date")
 
 
 def _month_number(name: Column) -> Column:
@@ -80,7 +111,7 @@ def date_text(c: Column) -> Column:
 
 
 def parse_any_date(text: Column) -> Column:
-    return F.coalesce(*[parse_date(text, f) for f in DATE_SHAPES])
+    return _by_shape(lambda fmt: _iso_form(text, fmt), lambda fmt: text.rlike(DATE_SHAPES[fmt][0])).try_cast("date")
 
 
 def to_date(c: Column) -> Column:
@@ -93,6 +124,15 @@ def open_end(c: Column) -> Column:
     return F.coalesce(c, F.lit(FAR_FUTURE).cast("date"))
 
 
+def moment_date(c: Column, source: DataType) -> Column:
+    """UTC date of a date, a timestamp with or without zone, or else of epoch milliseconds."""
+    if isinstance(source, (DateType, TimestampNTZType)):
+        return c.cast("date")
+    if isinstance(source, TimestampType):
+        return epoch_ms_date(F.unix_millis(c))
+    return epoch_ms_date(c.try_cast("long"))
+
+
 def epoch_ms_date(c: Column) -> Column:
     """UTC date of an epoch-millisecond value, whatever the session time zone."""
     return F.date_from_unix_date(F.floor(c / _MS_PER_DAY).try_cast("int"))

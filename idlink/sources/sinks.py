@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from idlink.operators.reports import unmatched_constituents
 from idlink.session import scratch_path
@@ -29,6 +30,13 @@ def stored(spark: SparkSession, name: str) -> Callable[..., DataFrame]:
     return write_and_read
 
 
+def write_quarantine(lines: DataFrame, path: str) -> int:
+    """Adds lines to a folder of bad input and returns how many they are, counted while they are written."""
+    count = Observation()
+    lines.observe(count, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return count.get["n"]
+
+
 def write_sorted(df: DataFrame, path: str, sort: Sequence[str], fmt: str = "parquet") -> None:
     """Range-partitioned, sorted output: sorted as a whole, written in parallel."""
     ordered = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
