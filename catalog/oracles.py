@@ -450,6 +450,9 @@ FROM (SELECT gvkey FROM matches_{a} WHERE gvkey IS NOT NULL INTERSECT SELECT gvk
 )
 
 _FINAL: dict[str, str] = {
+    "pipeline_one_fails": """SELECT provider, count(*) AS n_entities, count(DISTINCT gvkey) AS n_firms, FALSE AS failed
+FROM consolidated WHERE provider <> 'provider_a' GROUP BY provider
+UNION ALL SELECT 'provider_a', 0, 0, TRUE""",
     "scan_ragged": """SELECT orgpermid, year, CASE WHEN CAST(orgpermid AS BIGINT) % 11 <> 0 THEN comname END AS comname
 FROM provider_a WHERE CAST(orgpermid AS BIGINT) % 7 <> 0""",
     "scan_quarantine": """SELECT 'surplus' AS reason, 4 AS fields, orgpermid || ',' || year || ',"' || comname || '",extra' AS line
@@ -650,6 +653,7 @@ QUALIFY row_number() OVER (PARTITION BY date, ric ORDER BY row_id) = 1""",
 #: Queries that reach another one's rows in another way: through a sink, the whole mapping job, or other columns.
 _SAME_ROWS = {
     "scan_alike_headers": "scan_constituents",
+    "stream_snapshots_state": "stream_snapshots",
     "epoch_year_timestamp": "epoch_year",
     "sink_primary": "primary_table",
     "sink_crosswalk": "consolidated_crosswalk",
@@ -657,6 +661,7 @@ _SAME_ROWS = {
     "sink_audit": "panel_audit",
     "sink_unmatched": "panel_unmatched",
     "pipeline_crosswalk": "consolidated_crosswalk",
+    "pipeline_concurrent": "consolidated_crosswalk",
 }
 _FINAL |= {name: _FINAL[plain] for name, plain in _SAME_ROWS.items()}
 

@@ -642,6 +642,36 @@ def pipeline_crosswalk(spark, sf):
     return mapping.consolidated(done)
 
 
+@query
+def pipeline_concurrent(spark, sf):
+    """The same with all providers at once."""
+    sources = [mapping.Source(spec, partial(inputs.provider, spark, sf, letter)) for letter, spec in inputs.SPECS.items()]
+    done, failed = mapping.map_all(sources, inputs.loaded_master(spark, sf), sinks.stored(spark, "provider"), at_once=len(sources))
+    for error in failed.values():
+        raise error
+    return mapping.consolidated(done)
+
+
+@query
+def pipeline_one_fails(spark, sf):
+    """One provider fails while its rows are read; the others come out, and its name is reported."""
+
+    def load(letter):
+        rows = inputs.provider(spark, sf, letter)
+        if letter == "a":
+            rows = rows.where(F.when(_c("orgpermid").isNotNull(), F.raise_error(F.lit("unreadable")).cast("boolean")).otherwise(True))
+        return rows
+
+    sources = [mapping.Source(spec, partial(load, letter)) for letter, spec in inputs.SPECS.items()]
+    done, failed = mapping.map_all(sources, inputs.loaded_master(spark, sf), sinks.stored(spark, "provider"), at_once=2)
+    rows = mapping.consolidated(done).groupBy("provider").agg(F.count(F.lit(1)).alias("n_entities"), F.countDistinct("gvkey").alias("n_firms"))
+    names = spark.createDataFrame([(name,) for name in failed], "provider string")
+    nothing = F.lit(0).cast("long")
+    return rows.withColumn("failed", F.lit(False)).unionByName(
+        names.select("provider", nothing.alias("n_entities"), nothing.alias("n_firms"), F.lit(True).alias("failed"))
+    )
+
+
 # ---- panel -----------------------------------------------------------------------------
 
 
@@ -876,11 +906,21 @@ def _members_of_orders(orders: DataFrame) -> DataFrame:
     return conform.clean_constituents(rows, keep=["row_id"])
 
 
-@query
-def stream_snapshots(spark, sf):
+def _streamed(spark, sf, **options):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     work = scratch_path(spark, "stream")
     table = accumulate(
-        spark, sf, orders.schema, f"{work}/table", f"{work}/checkpoint", transform=_members_of_orders, pattern="orders.parquet"
+        spark, sf, orders.schema, f"{work}/table", f"{work}/checkpoint", transform=_members_of_orders, pattern="orders.parquet", **options
     )
     return table.select("date", "ric", "isin", "cusip", "ticker", "row_id")
+
+
+@query
+def stream_snapshots(spark, sf):
+    return _streamed(spark, sf)
+
+
+@query
+def stream_snapshots_state(spark, sf):
+    """The same, with the delivered keys as stream state."""
+    return _streamed(spark, sf, delay="400 days")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Sequence
 
@@ -14,8 +15,9 @@ from idlink.operators.ranking import asc, keep_first
 from idlink.session import path_exists
 from idlink.sources.sinks import append_batch
 
-KEY = ["date", "ric"]
+log = logging.getLogger(__name__)
 
+KEY = ["date", "ric"]
 
 
 def _has_batches(spark: SparkSession, table: str) -> bool:
@@ -24,6 +26,30 @@ def _has_batches(spark: SparkSession, table: str) -> bool:
     return len(years.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(years) or ()) > 0
 
 
+def _labelled(rows: DataFrame, batch_id: int) -> DataFrame:
+    return rows.withColumns(
+        {
+            "ticker": identifiers.ric_ticker(F.col("ric")),
+            "year": F.year("date"),
+            "batch_id": F.lit(batch_id).cast("long"),
+        }
+    )
+
+
+def first_arrivals(rows: DataFrame, order_by: Sequence[str], delay: str) -> DataFrame:
+    """Per (date, ric) the row that came first, kept as stream state until the watermark passes its date.
+
+    All rows of a micro-batch arrive at its one timestamp, which a repeated batch has again; within
+    a batch `order_by` decides. `last` is when the key was last seen: it is new where that is when it first came.
+    Rows older than the newest date by more than `delay` come too late and are dropped.
+    """
+    order = [x for c in order_by for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c).alias(f"_by_{c}"))]
+    arrived = F.current_timestamp().alias("arrived")
+    stamped = rows.select(F.col("date").cast("timestamp").alias("moment"), F.col("ric"), F.struct(arrived, *order, F.struct("*").alias("row")).alias("entry"))
+    kept = stamped.withWatermark("moment", delay).groupBy("moment", "ric")
+    return kept.agg(F.min("entry").alias("first"), F.max("entry.arrived").alias("last"))
+
+
 def merge_batch(batch: DataFrame, batch_id: int, table: str, order_by: Sequence[str]) -> None:
     """Add the first row of every (date, ric) that no earlier batch has delivered.
 
@@ -33,13 +59,7 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, order_by: Sequence[
     All batches but this one count as known.
     """
     spark = batch.sparkSession
-    rows = keep_first(batch, KEY, asc(*order_by)).withColumns(
-        {
-            "ticker": identifiers.ric_ticker(F.col("ric")),
-            "year": F.year("date"),
-            "batch_id": F.lit(batch_id).cast("long"),
-        }
-    )
+    rows = _labelled(keep_first(batch, KEY, asc(*order_by)), batch_id)
     if _has_batches(spark, table):
         years = [r["year"] for r in rows.select("year").distinct().collect()]
         known = spark.read.schema(rows.schema).parquet(table).where(F.col("year").isin(years) & (F.col("batch_id") != batch_id))
@@ -58,9 +78,15 @@ def accumulate(
     fmt: str = "parquet",
     files_per_batch: int | None = None,
     pattern: str | None = None,
+    delay: str | None = None,
 ) -> DataFrame:
     """Process the constituent files that arrived since the last run, then return the table.
 
+    What earlier batches delivered is looked up in the years of a batch. With a `delay` (such as
+    `400 days`) it is kept as stream state instead, and no year is read again: the state holds the
+    keys of that many days, and rows that come later still are dropped, which is logged. A table is
+    built either way, but not by both in turn. Large states belong in the RocksDB state store.
+
     `transform` shapes a raw batch into (date, ric, ...) rows and may be any stateless
     DataFrame function. A table without its checkpoint is refused: batch numbers would start again
     and overwrite what earlier batches delivered.
@@ -74,19 +100,24 @@ def accumulate(
 
     shaped = transform or (lambda df: df)
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def by_table(batch: DataFrame, batch_id: int) -> None:
         merge_batch(shaped(batch), batch_id, table, order_by)
 
+    def by_state(batch: DataFrame, batch_id: int) -> None:
+        new = batch.where(F.col("first.arrived") == F.col("last")).select("first.row.*")
+        append_batch(_labelled(new, batch_id), table, ["year", "batch_id"], KEY)
+
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    query = (
-        reader.load(source)
-        .writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    stream = reader.load(source)
+    if delay:
+        writer = first_arrivals(shaped(stream), order_by, delay).writeStream.outputMode("update").foreachBatch(by_state)
+    else:
+        writer = stream.writeStream.foreachBatch(by_table)
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    if any(state.numRowsDroppedByWatermark for p in query.recentProgress for state in p.stateOperators):
+        log.warning("rows that came later than %s were dropped", delay)
     if _has_batches(spark, table):
         return spark.read.parquet(table)
     # No file has come yet: the empty table.
