@@ -654,6 +654,7 @@ QUALIFY row_number() OVER (PARTITION BY date, ric ORDER BY row_id) = 1""",
 _SAME_ROWS = {
     "scan_alike_headers": "scan_constituents",
     "stream_snapshots_state": "stream_snapshots",
+    "stream_compacted": "stream_snapshots",
     "epoch_year_timestamp": "epoch_year",
     "sink_primary": "primary_table",
     "sink_crosswalk": "consolidated_crosswalk",

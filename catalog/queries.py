@@ -19,6 +19,7 @@ from idlink.plans.master import get_or_build_master, linked_segments
 from idlink.session import scratch_path
 from idlink.sources import conform, readers, sinks
 from idlink.sources.derived import TABLES, derive
+from idlink.streaming import compaction
 from idlink.streaming.snapshots import accumulate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -920,6 +921,20 @@ def stream_snapshots(spark, sf):
     return _streamed(spark, sf)
 
 
+@query
+def stream_compacted(spark, sf):
+    """Four batches, of which all years are compacted; superseded files are deleted, and a run without new files follows."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    work = scratch_path(spark, "stream")
+    orders.repartition(4, "o_orderdate").write.option("maxRecordsPerFile", 0).parquet(f"{work}/in")
+    options = {"transform": _members_of_orders, "files_per_batch": 1}
+    accumulate(spark, f"{work}/in", orders.schema, f"{work}/table", f"{work}/checkpoint", **options)
+    compaction.compact(spark, f"{work}/table")
+    compaction.vacuum(spark, f"{work}/table")
+    table = accumulate(spark, f"{work}/in", orders.schema, f"{work}/table", f"{work}/checkpoint", **options)
+    return table.select("date", "ric", "isin", "cusip", "ticker", "row_id")
+
+
 @query
 def stream_snapshots_state(spark, sf):
     """The same, with the delivered keys as stream state."""

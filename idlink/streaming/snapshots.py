@@ -14,18 +14,13 @@ from idlink.functions import identifiers
 from idlink.operators.ranking import asc, keep_first
 from idlink.session import path_exists
 from idlink.sources.sinks import append_batch
+from idlink.streaming.compaction import has_rows, read_table
 
 log = logging.getLogger(__name__)
 
 KEY = ["date", "ric"]
 
 
-def _has_batches(spark: SparkSession, table: str) -> bool:
-    """Whether the table has a partition; its folder may exist for the checkpoint only."""
-    years = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/year=*")
-    return len(years.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(years) or ()) > 0
-
-
 def _labelled(rows: DataFrame, batch_id: int) -> DataFrame:
     return rows.withColumns(
         {
@@ -60,9 +55,9 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, order_by: Sequence[
     """
     spark = batch.sparkSession
     rows = _labelled(keep_first(batch, KEY, asc(*order_by)), batch_id)
-    if _has_batches(spark, table):
+    if has_rows(spark, table):
         years = [r["year"] for r in rows.select("year").distinct().collect()]
-        known = spark.read.schema(rows.schema).parquet(table).where(F.col("year").isin(years) & (F.col("batch_id") != batch_id))
+        known = read_table(spark, table, rows.schema).where(F.col("year").isin(years) & (F.col("batch_id") != batch_id))
         rows = rows.join(known.select(*KEY, "year"), [*KEY, "year"], "left_anti")
     append_batch(rows, table, ["year", "batch_id"], KEY)
 
@@ -92,7 +87,7 @@ def accumulate(
     and overwrite what earlier batches delivered.
     """
     checkpoint = checkpoint or os.path.join(table, "_checkpoint")
-    if _has_batches(spark, table) and not path_exists(spark, checkpoint):
+    if has_rows(spark, table) and not path_exists(spark, checkpoint):
         raise ValueError(f"{table} has batches, but their checkpoint {checkpoint} is gone")
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
@@ -118,8 +113,8 @@ def accumulate(
     query.awaitTermination()
     if any(state.numRowsDroppedByWatermark for p in query.recentProgress for state in p.stateOperators):
         log.warning("rows that came later than %s were dropped", delay)
-    if _has_batches(spark, table):
-        return spark.read.parquet(table)
+    if has_rows(spark, table):
+        return read_table(spark, table)
     # No file has come yet: the empty table.
     columns = shaped(spark.createDataFrame([], schema))
     return columns.withColumns({"ticker": F.lit("").cast("string"), "year": F.lit(0), "batch_id": F.lit(0).cast("long")})
