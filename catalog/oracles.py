@@ -631,6 +631,10 @@ ORDER BY n_mappings DESC, gvkey LIMIT 10""",
     "gvkey_common": """SELECT gvkey FROM matches_a WHERE gvkey IS NOT NULL INTERSECT SELECT gvkey FROM matches_b
 INTERSECT SELECT gvkey FROM matches_c""",
     "gvkey_pairwise": _PAIRWISE,
+    "firm_overlap_by_source": """WITH firms AS (SELECT DISTINCT CAST("year" AS VARCHAR) AS y, gvkey FROM matches_a WHERE gvkey IS NOT NULL),
+years AS (SELECT DISTINCT CAST("year" AS VARCHAR) AS y FROM matches_a)
+SELECT a.y AS provider_1, b.y AS provider_2, (SELECT count(*) FROM firms f JOIN firms g USING (gvkey) WHERE f.y = a.y AND g.y = b.y) AS n_shared
+FROM years a JOIN years b ON a.y < b.y""",
     "gvkey_exclusive": """SELECT gvkey, min(provider) AS provider FROM all_matches WHERE gvkey IS NOT NULL
 GROUP BY gvkey HAVING count(DISTINCT provider) = 1""",
     "master_summary": "SELECT count(*) AS n_segments, count(gvkey) AS n_linked, count(DISTINCT gvkey) AS n_gvkeys FROM master",

@@ -851,6 +851,13 @@ def gvkey_pairwise(spark, sf):
     return reports.gvkey_pairwise(inputs.all_matches(spark, sf))
 
 
+@query
+def firm_overlap_by_source(spark, sf):
+    """Shared firms of any two years of provider A, each year taken for a provider: plans do not grow with providers."""
+    rows = inputs.matches(spark, sf, "a").select(_c("year").cast("string").alias("provider"), "gvkey")
+    return reports.gvkey_pairwise(rows)
+
+
 @query
 def gvkey_exclusive(spark, sf):
     return reports.gvkey_exclusive(inputs.all_matches(spark, sf))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from idlink.operators.ranking import asc, desc
@@ -159,32 +159,70 @@ def consolidated_summary(consolidated: DataFrame) -> DataFrame:
 # ---- firms across providers ------------------------------------------------------------
 
 
-def firm_providers(matches_by_provider: dict[str, DataFrame]) -> DataFrame:
+def _together(frames: list[DataFrame]) -> DataFrame:
+    """Union of many frames, as a balanced tree: one after another would nest as deep as they are many."""
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
+
+
+def _known_firms(matches: dict[str, DataFrame] | DataFrame) -> DataFrame:
+    """(provider, gvkey) from one frame per provider, or from one frame with a provider column."""
+    if isinstance(matches, DataFrame):
+        rows = matches.select("provider", "gvkey")
+    else:
+        rows = _together([m.select(F.lit(name).alias("provider"), "gvkey") for name, m in matches.items()])
+    return rows.where("gvkey IS NOT NULL")
+
+
+def firm_providers(matches_by_provider: dict[str, DataFrame] | DataFrame) -> DataFrame:
     """gvkey -> sorted array of the providers that have it, never longer than the provider list."""
-    frames = [m.select(F.lit(name).alias("provider"), "gvkey") for name, m in matches_by_provider.items()]
-    known = reduce(DataFrame.unionByName, frames).where("gvkey IS NOT NULL")
+    known = _known_firms(matches_by_provider)
     return known.groupBy("gvkey").agg(F.array_sort(F.collect_set("provider")).alias("providers"))
 
 
+def firm_bitmaps(matches_by_provider: dict[str, DataFrame] | DataFrame) -> DataFrame:
+    """(provider, bucket, bitmap): the firms of a provider as bits. Numbers of firms hold within one evaluation only."""
+    numbered = firm_providers(matches_by_provider).withColumn("_n", F.monotonically_increasing_id())
+    bits = numbered.select("_n", F.explode("providers").alias("provider"))
+    bits = bits.groupBy("provider", F.bitmap_bucket_number("_n").alias("bucket"))
+    return bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_n")).alias("bitmap"))
+
+
 def gvkey_common(matches_by_provider: dict[str, DataFrame]) -> DataFrame:
     """Firms every provider has."""
     n = len(matches_by_provider)
     return firm_providers(matches_by_provider).where(F.size("providers") == n).select("gvkey")
 
 
-def gvkey_pairwise(matches_by_provider: dict[str, DataFrame]) -> DataFrame:
-    """Number of shared firms per pair of providers, zero included."""
-    names = list(matches_by_provider)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    firms = firm_providers(matches_by_provider)
-    both = [
-        F.count_if(F.array_contains("providers", a) & F.array_contains("providers", b)).alias(f"{a}|{b}")
-        for a, b in pairs
-    ]
-    wide = firms.agg(*both)
-    long = wide.unpivot([], [f"`{a}|{b}`" for a, b in pairs], "_pair", "n_shared")
-    sides = F.split("_pair", r"\|")
-    return long.select(sides[0].alias("provider_1"), sides[1].alias("provider_2"), "n_shared")
+def gvkey_pairwise(matches_by_provider: dict[str, DataFrame] | DataFrame) -> DataFrame:
+    """Number of shared firms per pair of providers, zero included.
+
+    The plan is the same for any number of providers: sets of firms are bitmaps, which are and-ed
+    bucket by bucket; a bucket has one bitmap of 4 KB per provider at most.
+    """
+    spark = SparkSession.active()
+    if isinstance(matches_by_provider, DataFrame):
+        found = matches_by_provider.select("provider").where("provider IS NOT NULL").distinct()
+        names = sorted(r["provider"] for r in found.collect())  # the list of providers
+    else:
+        names = list(matches_by_provider)
+    of = F.array(*map(F.lit, names))
+    number = F.array_position(of, F.col("provider")).cast("int")
+    sets = firm_bitmaps(matches_by_provider).groupBy("bucket").agg(F.collect_list(F.struct(number.alias("p"), "bitmap")).alias("sets"))
+    one = sets.select("bucket", "sets", F.explode("sets").alias("a"))
+    two = one.select("bucket", "a", F.explode(F.filter("sets", lambda x: x["p"] > F.col("a.p"))).alias("b"))
+    both = two.select(F.col("a.p").alias("i"), F.col("b.p").alias("j"), "bucket", F.explode(F.array("a.bitmap", "b.bitmap")).alias("bitmap"))
+    shared = both.groupBy("i", "j", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("bitmap")).alias("n"))
+    shared = shared.groupBy("i", "j").agg(F.sum("n").alias("n_shared"))
+    pairs = spark.range(1, len(names)).select(
+        F.col("id").cast("int").alias("i"), F.explode(F.sequence(F.col("id").cast("int") + 1, F.lit(len(names)))).alias("j")
+    )
+    counted = pairs.join(shared, ["i", "j"], "left")
+    name = lambda c: F.element_at(of, F.col(c))
+    n_shared = F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared")
+    return counted.select(name("i").alias("provider_1"), name("j").alias("provider_2"), n_shared)
 
 
 def gvkey_exclusive(matches_by_provider: dict[str, DataFrame]) -> DataFrame:

@@ -214,3 +214,30 @@ def test_firm_overlap_reports(spark):
     pairs = {(r.provider_1, r.provider_2): r.n_shared for r in reports.gvkey_pairwise(by).collect()}
     assert pairs == {("a", "b"): 1, ("a", "c"): 1, ("b", "c"): 2}
     assert {(r.gvkey, r.provider) for r in reports.gvkey_exclusive(by).collect()} == {("1", "a"), ("4", "c")}
+
+
+def test_pairwise_counts_of_many_providers(spark):
+    rng = random.Random(8)
+    sets = {f"p{i:02d}": {f"{rng.randrange(90_000):06d}" for _ in range(rng.choice([0, 5, 400]))} for i in range(24)}
+    sets["p00"] = set()
+    rows = [(p, k) for p, keys in sets.items() for k in keys] + [("p00", None), ("p01", None)]
+    long = spark.createDataFrame(rows * 2, "provider string, gvkey string").repartition(5)
+    got = {(r.provider_1, r.provider_2): r.n_shared for r in reports.gvkey_pairwise(long).collect()}
+    named = sorted({p for p, _ in rows})
+    assert got == {(a, b): len(sets[a] & sets[b]) for i, a in enumerate(named) for b in named[i + 1 :]}
+    by_name = {p: long.where(f"provider = '{p}'") for p in named}
+    assert {(r.provider_1, r.provider_2): r.n_shared for r in reports.gvkey_pairwise(by_name).collect()} == got
+    assert sum(got.values()) > 0
+
+
+def test_a_thousand_providers_plan_in_seconds(spark):
+    import time
+
+    one = spark.createDataFrame([("000001", 2000)], "gvkey string, year int")
+    begun = time.time()
+    few = reports.gvkey_pairwise({f"p{i}": one for i in range(3)})._jdf.queryExecution().executedPlan().toString()
+    long = spark.range(1000).selectExpr("concat('p', id) AS provider", "'000001' AS gvkey")
+    wide = reports.gvkey_pairwise(long)
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange") == few.count("Exchange")
+    assert time.time() - begun < 30
+    assert wide.agg({"n_shared": "sum"}).first()[0] == 1000 * 999 // 2
