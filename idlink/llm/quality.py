@@ -4,12 +4,13 @@ Method: the histogram of character classes and that of common words are compared
 references of every language by Jensen-Shannon divergence (base 2, 0 to 1); the closest language
 counts. The word divergence is given as a share of what a text without any common word has, as the
 languages' common words weigh differently. Texts under a minimum length have too coarse histograms
-and pass, and so do texts of a named language that has no reference. Everything is columns of
+and pass. A language has a reference from 1,000 words on, however many others have; texts of a language
+with fewer are compared with all references, as every text is. Everything is columns of
 built-in functions: one pass learns the references, one judges the documents, and no text is shuffled.
 
 Defined results: a null text has no words and fails the base rule; so does an empty one. Rows are
 judged alone, so repeated rows and ties get equal verdicts. A null language teaches nothing. Without
-references (an empty table, no labelled text) only the base rule decides. Columns of the input with
+references (an empty table, few labelled words) only the base rule decides. Columns of the input with
 clashing names are never read: the input travels in one struct.
 """
 
@@ -37,14 +38,14 @@ SYMBOLS = "[#*$%&|<>]"
 
 @dataclass(frozen=True)
 class Rules:
-    """Parameters. `min_share` bounds the references: at most 1 / min_share languages have one."""
+    """Parameters. A language has a reference if its texts have `reference_words` words, whatever the others have."""
 
     least_words: int = 10
     repeat_percent: int = 20
     window: int = 5
     guard_words: int = 50
     common_words: int = 10
-    min_share: float = 0.01
+    reference_words: int = 1000
     class_limit: float = 0.10
     word_limit: float = 0.95
 
@@ -108,15 +109,12 @@ def base_counts(df: DataFrame, rules: Rules) -> DataFrame:
 def references(texts: DataFrame, rules: Rules) -> list[tuple[str, list[float], list[tuple[str, float]]]]:
     """(language, class shares, common words with shares), from all texts `t` with a language `l`.
 
-    Languages with at least `min_share` of all labelled words are kept, so the list is short
-    whatever the size of the input, and so is what reaches the driver.
+    The driver gets a dozen numbers for each language that has `reference_words` words.
     """
     known = _words(texts.where(F.col("l").isNotNull()))
     sums = [F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(len(CLASSES))]
     shares = _class_counts(known).groupBy("l").agg(*sums, F.sum(F.size("words")).alias("n"))
-    total = Window.partitionBy()
-    kept = shares.withColumn("all", F.sum("n").over(total)).where((F.col("n") > 0) & (F.col("n") >= rules.min_share * F.col("all")))
-    found = {r["l"]: r for r in kept.collect()}
+    found = {r["l"]: r for r in shares.where(F.col("n") >= max(1, rules.reference_words)).collect()}
     counts = known.select("l", F.explode("words").alias("w")).groupBy("l", F.lower("w").alias("w")).count()
     rank = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("count"), "w"))
     top = counts.where(F.col("l").isin(list(found))).withColumn("rank", rank).where(F.col("rank") <= rules.common_words)
@@ -167,9 +165,7 @@ def judged(df: DataFrame, refs: list, rules: Rules) -> DataFrame:
         none = _doubles([*[0.0] * len(known), 1.0])
         by_word.append(F.try_divide(jensen_shannon(F.array(*own, rest), reference), jensen_shannon(none, reference)))
     least = lambda xs: F.array_min(F.array(*xs))
-    # A null language is compared with all; a language without a reference with none.
-    comparable = F.coalesce(F.col("l").isin([language for language, _, _ in refs]), F.lit(True))
-    long_enough = (F.col("n_words") >= rules.guard_words) & comparable
+    long_enough = F.col("n_words") >= rules.guard_words
     df = df.withColumns({"class_divergence": F.when(long_enough, least(by_class)), "word_divergence": F.when(long_enough, least(by_word))})
     far = (F.col("class_divergence") > rules.class_limit) | (F.col("word_divergence") > rules.word_limit)
     return df.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).drop("counts", "shares")

@@ -102,6 +102,18 @@ def test_quality_base(table, request):
         assert not (r.kept and r.base_failed)
 
 
+def test_quality_of_languages_beside_a_large_one(spark, docs):
+    """A small language has a reference of its own, and a tiny one no exemption."""
+    english = docs.where("lang = 'en'").select("doc_id", "text", "lang")
+    french = docs.where("lang = 'fr' and length(text) > 1500").select((F.col("doc_id") + 10_000).alias("doc_id"), "text", "lang").limit(6)
+    noise = random.Random(5)
+    junk = [(20_000 + k, " ".join("".join(noise.choice("qxzjvk") for _ in range(5)) for _ in range(80)), lang) for k, lang in enumerate(["sw", "en", None])]
+    many = english.unionByName(english).unionByName(french).unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string"))
+    kept = {r.doc_id: r.kept for r in quality.quality(many).select("doc.doc_id", "kept").where("doc_id >= 10000").collect()}
+    assert [kept[20_000 + k] for k in range(3)] == [False] * 3
+    assert sum(v for k, v in kept.items() if k < 20_000) >= 5
+
+
 def test_quality_keeps_prose_and_drops_junk(docs, odd, empty):
     kept = {r.doc_id for r in quality.quality_filter(docs).select("doc_id").collect()}
     labels = docs.sparkSession.read.parquet(f"{SF}/labels.parquet").collect()
