@@ -90,4 +90,56 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 FROM coded JOIN kept USING (row)
 """
 
-ORACLES: dict[str, str] = {"op11_merkle_manifest": _MERKLE, "op12_vector_codes": _CODES}
+_LOWER_TEXT = _LOWERED.replace("(text", "(coalesce(text, '')")
+
+#: RFC 4648 letters of the 32 groups of five bits of a sha1.
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + list_reduce(list_transform(range(0, 5), lambda b: (strpos('0123456789abcdef', substr(h, 1 + (5 * i + b) // 4, 1)) - 1)
+        // (2 ** (3 - (5 * i + b) % 4))::BIGINT % 2), lambda acc, bit: 2 * acc + bit), 1)), '')"""
+
+_WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+first AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS original FROM p)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+    CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> original THEN original END AS refers_to
+FROM first
+"""
+
+_TOKENS = "regexp_extract_all({text}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_LEAKS = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TOKENS.format(text=_LOWER_TEXT)} AS w FROM documents),
+b AS (SELECT item_id, {_TOKENS.format(text=_LOWER_TEXT)} AS w FROM benchmark),
+items AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, unnest([array_to_string(w[i : i + least(10, len(w)) - 1], ' ')
+    for i in range(1, greatest(1, len(w) - 9) + 1)]) AS gram FROM b WHERE len(w) > 0),
+places AS (SELECT row, n, unnest(range(1, len(w) - n + 2)) AS at_word, w FROM d, (SELECT DISTINCT n FROM items) WHERE len(w) >= n),
+found AS (SELECT p.row, p.at_word, p.n, i.item_id FROM places p JOIN items i
+    ON i.n = p.n AND i.gram = array_to_string(w[p.at_word : p.at_word + p.n - 1], ' ')),
+hits AS (SELECT row, count(DISTINCT pos) AS n_hit FROM (SELECT row, unnest(range(at_word, at_word + n)) AS pos FROM found) GROUP BY row),
+of_items AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM found) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (row) LEFT JOIN of_items USING (row)
+"""
+
+_JACCARD = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER_TEXT}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[i : i + least(3, len(w)) - 1], ' ')
+    for i in range(1, greatest(1, len(w) - 2) + 1)]) AS gram FROM d WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(y) AS component_id
+FROM d JOIN reach ON x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id, n
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_warc": _WARC,
+    "op8_decontamination": _LEAKS,
+    "op9_ngram_jaccard": _JACCARD,
+    "op11_merkle_manifest": _MERKLE,
+    "op12_vector_codes": _CODES,
+}
