@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from idlink.llm.common import NOT_BLANK, SlotFilter, Words, arrow_batches, grams, joined, kept, mix, out_schema, signed
+from idlink.operators.skew import spread_join
 
 #: Weight of a list's length against its skipping, from the published DivideSkip heuristic.
 MU = 0.0085
@@ -341,7 +342,7 @@ def jaccard_components(
     sets = kept(classes(source, n).drop("t"), "jaccard_sets")
     final = set_components(source.select("t"), n, percent, block)
     full = kept(_with_component(sets.where(F.col("n_shingles") > 0), final, "node", "component"), "jaccard_components")
-    full = full.join(full.groupBy("component").agg(F.min("id").alias("component_id")), "component")
+    full = spread_join(full, full.groupBy("component").agg(F.min("id").alias("component_id")), ["component"], ["node", "id"])
     empty = sets.where(F.col("n_shingles") == 0).withColumns({"component": F.lit(None).cast("long"), "component_id": F.col("id")})
     return full.unionByName(empty)
 
@@ -355,7 +356,7 @@ def keep_one(docs: DataFrame, id_: str = "doc_id", text: str = "text", n: int =
     found = kept(jaccard_components(docs, id_, text, n=n, **options).select("id", "node", "component"), "jaccard_result")
     least = F.struct(F.col("id").isNull().alias("null"), "id", "node")
     stays = found.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(least).alias("stays"))
-    goes = found.join(stays, "component").where(~(F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("node") == F.col("stays.node"))))
+    goes = spread_join(found, stays, ["component"], ["node", "id"]).where(~(F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("node") == F.col("stays.node"))))
     twice = found.groupBy("id", "node").agg(F.count("*").alias("rows")).where(F.col("rows") > 1).drop("rows")
     odd = goes.select("id", "node", F.lit(True).alias("goes")).unionByName(twice.withColumn("goes", F.lit(False)))
     odd = kept(odd.groupBy("id", "node").agg(F.max("goes").alias("goes")), "jaccard_goes")
