@@ -43,15 +43,17 @@ SELECT CAST(permno AS STRING), CAST(permco AS STRING), CAST(namedt AS STRING),
 FROM ({NAMES}) AS n2 WHERE shrcd = 13
 """
 
+# Every order is a link, more or less preferred. Those of some customers are of securities without names, whose own
+# segments stay unlinked.
 LINKS = f"""
-SELECT 10000 + o_custkey AS lpermno,
+SELECT 10000 + o_custkey + CASE WHEN o_custkey % 13 = 0 THEN 1000000 ELSE 0 END AS lpermno,
   CAST(1000 + {_ISS} + CASE WHEN o_orderkey % 17 = 0 THEN 5 ELSE 0 END AS STRING)
     || CASE WHEN o_orderkey % 2 = 0 THEN '.0' ELSE '' END AS gvkey,
   {_OD} - 400 AS linkdt, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE {_OD} + 1100 END AS linkenddt,
-  CASE o_orderstatus WHEN 'F' THEN 'P' WHEN 'O' THEN 'C' ELSE 'J' END AS linkprim,
+  CASE WHEN o_orderpriority NOT IN ('1-URGENT', '3-MEDIUM') THEN 'N' WHEN o_orderstatus = 'F' THEN 'P'
+    WHEN o_orderstatus = 'O' THEN 'C' ELSE 'J' END AS linkprim,
   CASE o_orderkey % 4 WHEN 0 THEN 'LU' WHEN 1 THEN 'LC' ELSE 'NR' END AS linktype,
   {_C6} || '101' AS cusip, o_orderkey AS src_id FROM {{orders}}
-WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM')
 """
 
 PROVIDER_A = f"""
