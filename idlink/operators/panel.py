@@ -32,8 +32,9 @@ GRID_COLUMNS = [
 _PAYLOAD = ["gvkey", "permno", "ticker", "comnam", "is_primary_permno", "is_common", "exch", "linkprim", "linktype"]
 _NEED = ["key_kind", "key", "snapshot_date"]
 _PLACE = ["permno", "namedt", "nameendt"]
-#: Segments of a key up to which its dates are paired with them.
-PAIRED = 64
+#: Segments of a key up to which its dates are paired with them. The envelope has some 70 rows for each segment and
+#: 20 for each date, so it pays where a segment is valid on more dates than that, or where keys are far larger.
+PAIRED = 2048
 
 
 def panel_keys(master: DataFrame) -> DataFrame:
