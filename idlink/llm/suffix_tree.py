@@ -1,18 +1,23 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 A text is its lower-cased words and one end symbol; before its first word stands an end symbol. The root
-gives every symbol (c + 1) / (N + V + 1). A state is a context of one or two words. A context is a
-candidate when it has at least `context_share` of all tokens. It stays when its next-symbol distribution
-diverges from that of the next shorter context: N(c) times the Kullback-Leibler divergence must exceed
-half the logarithm of N for each symbol that the state lists, and the shorter context must be a state too.
-Smoothing: a state lists the symbols that follow it with at least `symbol_share` of all tokens, discounted
-by `discount`; the mass left goes to all other symbols in proportion to the next shorter state, so every
-distribution sums to 1. A symbol is scored by the longest state that is a suffix of its history.
-
-Scale: words, then pairs, then triples are counted over all training texts and added up by shuffles whose
-size follows the corpus. Shares bound the tree and the frequent words (at most 1 / share of each), so they
-are sent to the tasks. All other words are scored by a join with the full table of counts. A frequent word
-is thus never a shuffle key, and the table of counts never leaves the executors.
+gives every symbol (c + 1) / (N + V + 1). A state is a context of one or two words. Every context of the
+training texts is a candidate, and every symbol that follows it is listed. It stays when its next-symbol
+distribution diverges from that of the next shorter context: N(c) times the Kullback-Leibler divergence must
+exceed half the logarithm of N for each symbol that the state lists, and the shorter context must be a state too.
+Smoothing: listed symbols are discounted by `discount`; the mass left goes to all other symbols in proportion
+to the next shorter state, so every distribution sums to 1. A symbol is scored by the longest state that is a
+suffix of its history.
+
+Scale: all that scores a symbol after the words (a, b) is known where all positions after b meet: the pairs
+and triples are counted there, states chosen and the positions scored. So positions are dealt into buckets by
+b, some `size` of them each, and what a bucket finds is added up per text. A word b with more than `size`
+positions is parted by a, and a pair (a, b) with more by text; their followers are counted over all texts
+first and every part gets the counts. Words are numbers where they are frequent (at most 1 / `NUMBERED` of
+them, sent to the tasks), else hashes whose counts come by a join. No word, pair or triple is left out.
+
+`fit` with `Shares` makes a bounded tree instead, of contexts and symbols above a least share, which fits a
+task; `score` scores with it. Words below the share are scored by a join with the full table of counts.
 
 Words are 64-bit hashes; among n words two meet by chance with probability n * n / 2^65.
 
@@ -27,14 +32,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from idlink.llm.common import NOT_BLANK, Words, arrow_batches, kept, row_ids, signed
+from idlink.llm.common import NOT_BLANK, Words, arrow_batches, kept, mix, row_ids, signed
 from idlink.llm.langid import fold
 
 END = np.int64(0)
 _FLUSH = 4_000_000
+#: Words of at least this share of all tokens have numbers that every task knows.
+NUMBERED = 5e-7
+#: Positions of the largest words and pairs that are not parted, and those that a task gathers as a chunk before it deals them.
+BUCKET = 1_000_000
+_CHUNK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -278,9 +292,327 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
     )
 
 
-def score_report(docs: DataFrame, id_: str = "doc_id", text: str = "text", folds: int = 7, held_out: int = 2, shares: Shares = Shares()) -> DataFrame:
-    """Learns from all folds but one and scores every document."""
-    source = docs.select(F.col(id_).alias("id"), F.col(text).alias("t"))
-    tree, counts = fit(source.where(fold(F.col("id"), folds) != held_out), shares)
-    df = score(source, tree, counts)
+# ---- the whole tree, in buckets ----------------------------------------------------------
+
+
+@dataclass
+class Dealing:
+    """Word numbers, and which bucket a position falls into."""
+
+    total: int
+    distinct: int
+    words: np.ndarray  # ascending hashes of the numbered words
+    numbers: np.ndarray  # their numbers, the most frequent first
+    counts: np.ndarray  # by number
+    buckets: int
+    split: np.ndarray  # ascending hashes of the words with more positions than a bucket
+    parts: np.ndarray  # their numbers of parts
+    pairs: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # ascending hashes of such pairs
+
+    def first(self, b: np.ndarray) -> np.ndarray:
+        return (mix(b.view(np.uint64)) % np.uint64(self.buckets)).astype(np.int64)
+
+    def bucket(self, a: np.ndarray, b: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Buckets of positions after the words `a`, `b`."""
+        at = self.first(b)
+        k = find(self.split, b)
+        parted = np.flatnonzero(k >= 0)
+        if len(parted):
+            a, b, rows = a[parted], b[parted], rows[parted]
+            by_text = (b == END) | (find(self.pairs, pair_hash(a, b)) >= 0)
+            dealt = mix(np.where(by_text, rows, a).view(np.uint64)) % self.parts[k[parted]].astype(np.uint64)
+            at[parted] = (at[parted] + dealt.astype(np.int64)) % self.buckets
+        return at
+
+
+def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return signed(mix(mix(a.view(np.uint64)) + b.view(np.uint64)))
+
+
+def _histories(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For all symbols of a batch: the two words before (END twice for a text's first), the symbol, its text."""
+    words, ends = symbols(batch)
+    before = np.concatenate([[END], words[:-1]])
+    two = np.where(before == END, END, np.concatenate([[END, END], words])[: len(words)])
+    return two, before, words, np.repeat(np.arange(len(ends)), np.diff(ends, prepend=-1))
+
+
+def _train(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _rows_summed(found: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Distinct rows of several columns, the last one added up; each flush adds up what a task has gathered."""
+    waiting, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*waiting)]
+        table = pa.table(columns, names).group_by(names[:-1], use_threads=False).aggregate([(names[-1], "sum")])
+        table = table.select([*names[:-1], f"{names[-1]}_sum"]).rename_columns(names)
+        return table.combine_chunks().to_batches()[0]
+
+    for columns in found:
+        waiting.append(columns)
+        size += len(columns[0])
+        if size > _FLUSH // 4:
+            yield batch()
+            waiting, size = [], 0
+    if size:
+        yield batch()
+
+
+def _counted(docs: DataFrame, names: list[str], found, name: str) -> DataFrame:
+    """Rows that `found` gives for the batches, equal ones added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _rows_summed((found(b) for whole in batches for b in arrow_batches(whole)), names)
+
+    schema = ", ".join(f"{c} long" for c in names)
+    return kept(docs.mapInArrow(run, schema).groupBy(*names[:-1]).agg(F.sum(names[-1]).alias(names[-1])), name)
+
+
+def _pack(x: np.ndarray, kind: str = "<u4") -> bytes:
+    """Values with their first bytes together, then their second ones and so on."""
+    bytes_ = np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
+    return zstandard.compress(np.ascontiguousarray(bytes_.T).tobytes(), 1)
+
+
+def _unpack(column: pa.ChunkedArray, kind: str = "<u4") -> list[np.ndarray]:
+    size = np.dtype(kind).itemsize
+    raw = (np.frombuffer(zstandard.decompress(x), np.uint8) for x in column.to_pylist())
+    found = [np.ascontiguousarray(x.reshape(size, -1).T).view(kind).reshape(-1) for x in raw]
+    return [x.astype(np.int64) for x in found] if kind == "<u4" else found
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], plan: Dealing, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The positions of a task's texts, chunk by chunk, packed by bucket: numbers of a, b and the symbol (words
+    without a number follow as hashes), and of the text. A chunk's first row has its ids and what is known of them."""
+    waiting, size, at = [], 0, 0
+    h = len(plan.words)
+    unit = np.log10(plan.total + plan.distinct + 1)
+
+    def packed() -> Iterator[pa.RecordBatch]:
+        ids = pa.concat_arrays([w[0] for w in waiting])
+        train = np.concatenate([w[1] for w in waiting])
+        firsts = np.cumsum([0, *[len(w[0]) for w in waiting]])
+        a, b, s = (np.concatenate([w[2][k] for w in waiting]) for k in range(3))
+        text = np.concatenate([w[2][3] + first for w, first in zip(waiting, firsts)])
+        start = int(row_ids(at, 1)[0])
+        bucket = plan.bucket(a, b, start + text)
+        order = np.argsort(bucket, kind="stable")
+        a, b, s, text, bucket = a[order], b[order], s[order], text[order], bucket[order]
+        found = [find(plan.words, x) for x in (a, b, s)]
+        known = found[2] >= 0
+        logs = np.log10(plan.counts[plan.numbers[found[2]]] * known + 1.0) if h else np.zeros(len(s))
+        sums = [np.bincount(text, x, minlength=len(ids)) for x in (None, known, logs - unit)]
+        head = [ids, *[pa.array(x.astype(k)) for x, k in zip(sums, (np.int64, np.int64, float))]]
+        edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+        for x, y in zip(edges, edges[1:]):
+            unknown = [f[x:y] < 0 for f in found]
+            hashes = np.unique(np.concatenate([w[x:y][u] for w, u in zip((a, b, s), unknown)]))
+            codes = []
+            for w, f, u in zip((a, b, s), found, unknown):
+                code = plan.numbers[f[x:y]] if h else np.zeros(y - x, np.int64)
+                code[u] = h + np.searchsorted(hashes, w[x:y][u])
+                codes.append(_pack(code))
+            texts = text[x:y]
+            codes += [_pack(2 * np.diff(texts, prepend=0) + train[texts]), hashes.tobytes()]
+            lists = [pa.ListArray.from_arrays(pa.array([0, 0 if x else len(ids)], pa.int32()), v) for v in head]
+            row = [pa.array([int(bucket[x])]), *[pa.array([c], pa.binary()) for c in codes], pa.array([start]), *lists]
+            yield pa.RecordBatch.from_arrays(row, schema.names)
+
+    for whole in batches:
+        for batch in arrow_batches(whole):
+            waiting.append((batch.column("id"), _train(batch), _histories(batch)))
+            size += len(waiting[-1][2][0])
+            if size > _CHUNK:
+                yield from packed()
+                at += sum(len(w[0]) for w in waiting)
+                waiting, size = [], 0
+    if waiting:
+        yield from packed()
+
+
+def _scored(packed: pa.Table, notes: pa.Table, plan: Dealing, shares: Shares) -> list[list[bytes]]:
+    """Texts with the sums of their scores in one bucket, and texts with the counts of their words without numbers:
+    packed, for every row. The bucket has all contexts that end in its words, or notes of them."""
+    h, unit = len(plan.words), plan.total + plan.distinct + 1
+    given = {c: pc.fill_null(notes.column(c), 0).to_numpy().astype(np.int64) for c in ("a", "b", "s", "n", "c")}
+    deep = notes.column("a").is_valid().to_numpy()
+    lists = [np.frombuffer(x, np.int64) for x in packed.column("hashes").to_pylist()]
+    known = [given[c] for c in "abs"]
+    noted = np.unique(np.concatenate(known))
+    rare = np.unique(np.concatenate([*lists, noted[find(plan.words, noted) < 0]]))
+    words = h + len(rare)
+
+    def number(x: np.ndarray) -> np.ndarray:
+        at = find(plan.words, x)
+        return np.where(at >= 0, plan.numbers[at] if h else 0, h + np.searchsorted(rare, x))
+
+    a, b, s = (
+        np.concatenate([np.where(x < h, x, h + np.searchsorted(rare, w)[np.maximum(x - h, 0)] if len(w) else 0) for x, w in zip(_unpack(packed.column(c)), lists)])
+        for c in "abs"
+    )
+    marked = _unpack(packed.column("text"))
+    train = np.concatenate([x & 1 for x in marked]).astype(bool)
+    texts = [np.cumsum(x >> 1) for x in marked]
+    na, nb, ns = (number(x) for x in known)
+    counts = np.concatenate([plan.counts, np.zeros(len(rare), np.int64)])
+    counted = ~deep & (ns >= h)
+    counts[ns[counted]] = given["c"][counted]
+    end = int(number(np.array([END]))[0]) if h else -1
+    root = (counts + 1) / unit
+    tree = Tree(plan.total, plan.distinct, np.empty(words, np.int64), counts, shares)
+
+    def level(contexts: np.ndarray, symbol: np.ndarray, n: np.ndarray, parent) -> Level:
+        """Of followers listed with counts; `contexts` are numbers that `parent` understands."""
+        states, at = np.unique(contexts, return_inverse=True)
+        keys = at * words + symbol
+        order = np.argsort(keys)
+        sizes = np.bincount(at, n, minlength=len(states))
+        return _level(tree, states, sizes, keys[order], n[order], lambda state, symbol: parent(states[state], symbol))
+
+    # Followers of words: counted here, or noted for words whose positions lie in other buckets too.
+    noted_words = np.unique(nb[~deep & (given["n"] > 0)])
+    split = np.zeros(words, bool)
+    split[noted_words] = True
+    here = train & ~split[b]
+    keys, n = np.unique(b[here] * words + s[here], return_counts=True)
+    from_notes = ~deep & (given["n"] > 0)
+    first = level(
+        np.concatenate([keys // words, nb[from_notes]]),
+        np.concatenate([keys % words, ns[from_notes]]),
+        np.concatenate([n, given["n"][from_notes]]),
+        lambda context, symbol: root[symbol],
+    )
+
+    def shorter(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        return _look_up(first, words, find(first.states, context), symbol, np.log10(root[symbol]))
+
+    # Positions in order of their pairs, so that all that follows looks up neighbours.
+    pair = np.where(b == end, -1, a * words + b)
+    order = np.argsort(pair, kind="stable")
+    b, s, train, pair = b[order], s[order], train[order], pair[order]
+    del a
+    noted_pairs, noted_at = np.unique(na[deep] * words + nb[deep], return_inverse=True)
+    here = train & (pair >= 0) & (find(noted_pairs, pair) < 0) & (find(first.states, b) >= 0)
+    pairs, at = np.unique(pair[here], return_inverse=True)
+    keys, n = np.unique(at * words + s[here], return_counts=True)
+    inside = find(first.states, noted_pairs % words)[noted_at] >= 0
+    second = level(
+        np.concatenate([pairs[keys // words], noted_pairs[noted_at][inside]]),
+        np.concatenate([keys % words, ns[deep][inside]]),
+        np.concatenate([n, given["n"][deep][inside]]),
+        lambda context, symbol: 10 ** shorter(context % words, symbol),
+    )
+    logs, times = np.empty(len(s)), np.empty(len(s), np.int64)
+    logs[order] = _look_up(second, words, np.where(pair >= 0, find(second.states, pair), -1), s, shorter(b, s))
+    times[order] = np.where(s >= h, counts[s], -1)
+    out, at = [], 0
+    for text in texts:
+        edges = np.flatnonzero(np.diff(text, prepend=-1))
+        score, n = np.add.reduceat(logs[at : at + len(text)], edges), times[at : at + len(text)]
+        out.append([_pack(np.diff(text[edges], prepend=0)), _pack(score, "<f8"), _pack(text[n >= 0]), _pack(n[n >= 0], "<i8")])
+        at += len(text)
+    return out
+
+
+def _added(parts: pa.Table) -> dict[str, np.ndarray | pa.Array]:
+    """What all buckets found of the texts of one chunk."""
+    head = {c: parts.column(c).combine_chunks().flatten() for c in ("id", "n_tokens", "n_known", "base_score")}
+    texts = np.concatenate([np.cumsum(x) for x in _unpack(parts.column("text"))])
+    score = np.concatenate(_unpack(parts.column("score"), "<f8"))
+    rare, n = np.concatenate(_unpack(parts.column("rare"))), np.concatenate(_unpack(parts.column("times"), "<i8"))
+    sums = lambda at, x: np.bincount(at, x, minlength=len(head["id"]))
+    head["n_known"] = head["n_known"].to_numpy() + sums(rare, n > 0).astype(np.int64)
+    head["base_score"] = head["base_score"].to_numpy() + sums(rare, np.log10(n + 1.0))
+    return head | {"score": sums(texts, score)}
+
+
+def whole_scores(docs: DataFrame, shares: Shares = Shares(), size: int = BUCKET) -> DataFrame:
+    """Scores by the tree of all contexts; `docs` has `id`, the text in `t`, and whether to learn from it in `train`."""
+    spark = docs.sparkSession
+    every = kept(_count(docs.where("train"), "h", lambda batch: symbols(batch)[0]), "word_counts")
+    sums = every.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    total, distinct = sums["n"] or 0, sums["v"]
+    found = every.where((F.col("n") >= NUMBERED * total) | (F.col("h") == int(END))).toPandas().sort_values("h")
+    words, n = found["h"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    numbers = np.empty(len(n), np.int64)
+    numbers[np.argsort(-n, kind="stable")] = np.arange(len(n))
+    often = every.where(F.col("n") > size).toPandas().sort_values("h")
+    buckets = 1 + 3 * total // (2 * size)
+    parts = np.minimum(1 + often["n"].to_numpy(np.int64) // size, buckets)
+    plan = Dealing(total, distinct, words, numbers, np.sort(n)[::-1].copy(), buckets, often["h"].to_numpy(np.int64), parts)
+    send = spark.sparkContext.broadcast
+    shared = send(plan)
+
+    def pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Followers of split words (bucket -1, -2 without a number), and the buckets where other words have followers without a number."""
+        _, b, s, text = _histories(batch)
+        split, numbered, train = find(shared.value.split, b) >= 0, find(shared.value.words, s) >= 0, _train(batch)[text]
+        needed = np.where(numbered, split & train, True)
+        b, s, split, numbered, train = b[needed], s[needed], split[needed], numbered[needed], train[needed]
+        return np.where(split, np.where(numbered, -1, -2), shared.value.first(b)), np.where(split, b, 0), s, (split & train).astype(np.int64)
+
+    noted = _counted(docs, ["bucket", "b", "s", "n"], pairs, "followers_1")
+    places = [(int(b), int((f + j) % buckets)) for b, f, k in zip(plan.split, plan.first(plan.split), parts) for j in range(k)]
+    places = F.broadcast(spark.createDataFrame(places, "b long, at long"))
+    all_parts = lambda df: df.drop("bucket").join(places, "b").withColumnRenamed("at", "bucket")
+    columns = ["bucket", "a", "b", "s", "n", "c"]
+    none = F.lit(None).cast("long")
+    rare = every.where(F.col("n") < NUMBERED * total).select(F.col("h").alias("s"), F.col("n").alias("c"))
+    rare = noted.where("bucket != -1").join(rare, "s", "left").withColumn("a", none)
+    of_split = noted.where("bucket < 0")
+    notes = rare.where("bucket >= 0").select(columns)
+    notes = notes.unionByName(all_parts(rare.where("bucket = -2")).select(columns))
+    notes = notes.unionByName(all_parts(noted.where("bucket = -1")).select("bucket", none.alias("a"), "b", "s", "n", none.alias("c")))
+    hot = of_split.where((F.col("n") > size) & (F.col("s") != int(END))).select("b", "s").toPandas()
+    if len(hot):
+        plan.pairs = np.sort(pair_hash(hot["b"].to_numpy(np.int64), hot["s"].to_numpy(np.int64)))
+        shared = send(plan)
+
+        def triples(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+            a, b, s, text = _histories(batch)
+            inside = (find(shared.value.pairs, pair_hash(a, b)) >= 0) & (b != END) & _train(batch)[text]
+            return a[inside], b[inside], s[inside], np.ones(int(inside.sum()), np.int64)
+
+        deep = _counted(docs, ["a", "b", "s", "n"], triples, "followers_2").withColumn("c", none)
+        notes = notes.unionByName(all_parts(deep).select(columns))
+
+    kind = docs.schema["id"].dataType
+    head = StructType([StructField("id", ArrayType(kind))])
+    head = StructType([*head, *StructType.fromDDL("n_tokens array<long>, n_known array<long>, base_score array<double>")])
+    packing = StructType([*StructType.fromDDL("bucket long, a binary, b binary, s binary, text binary, hashes binary, start long"), *head])
+    parts_of = StructType([*StructType.fromDDL("start long, text binary, score binary, rare binary, times binary"), *head])
+    result = StructType([StructField("id", kind), *StructType.fromDDL("n_tokens long, n_known long, base_score double, score double")])
+    names, part_names, result_names = (to_arrow_schema(x) for x in (packing, parts_of, result))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _dealt(batches, shared.value, names)
+
+    def run(packed: pa.Table, notes: pa.Table) -> pa.Table:
+        if not packed.num_rows:  # a part that has no position
+            return part_names.empty_table()
+        found = [pa.array(x, pa.binary()) for x in zip(*_scored(packed, notes, shared.value, shares))]
+        pa.default_memory_pool().release_unused()  # the worker stays
+        return pa.table([packed.column("start"), *found, *[packed.column(c) for c in head.names]], part_names.names)
+
+    def add(parts: pa.Table) -> pa.Table:
+        return pa.table(_added(parts)).select(result_names.names)
+
+    bucketed = docs.select("id", "t", "train").mapInArrow(deal, packing).groupBy("bucket")
+    sums = bucketed.cogroup(notes.groupBy("bucket")).applyInArrow(run, parts_of).groupBy("start").applyInArrow(add, result)
+    return sums.select("id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def score_report(
+    docs: DataFrame, id_: str = "doc_id", text: str = "text", folds: int = 7, held_out: int = 2, shares: Shares | None = None, size: int = BUCKET
+) -> DataFrame:
+    """Learns from all folds but one and scores every document: by the whole tree, or with `shares` by a bounded one."""
+    source = docs.select(F.col(id_).alias("id"), F.col(text).alias("t"), (fold(F.col(id_), folds) != held_out).alias("train"))
+    if shares is None:
+        df = whole_scores(source, size=size)
+    else:
+        tree, counts = fit(source.where("train"), shares)
+        df = score(source, tree, counts)
     return df.select(F.col("id").alias(id_), (fold(F.col("id"), folds) == held_out).alias("held_out"), *df.columns[1:])

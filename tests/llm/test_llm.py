@@ -567,6 +567,66 @@ def test_suffix_tree_distributions_sum_to_one(docs):
         assert math.isclose((10**one).sum() + unknown, 1, rel_tol=1e-6)
 
 
+def brute_suffix_tree(texts, train):
+    """Scores by a tree of all contexts of one and two words."""
+    history = {k: [(*([None] + x)[max(0, i - 1) : i + 1], w) for i, w in enumerate(x)] for k, x in texts.items()}
+    counts = Counter(w for k in train for w in texts[k])
+    n, v = sum(counts.values()), len(counts)
+    listed = {}
+    for k in train:
+        for *c, w in history[k]:
+            for context in {tuple(c), tuple(c[-1:])}:
+                listed.setdefault(context, Counter())[w] += 1
+    states = {}
+
+    def p(context, w):
+        if not context:
+            return (counts[w] + 1) / (n + v + 1)
+        if context not in states:
+            return p(context[1:], w)
+        seen, size, weight = states[context]
+        return (seen[w] - 0.5) / size if w in seen else weight * p(context[1:], w)
+
+    for context, seen in sorted(listed.items(), key=lambda x: len(x[0])):
+        size, short = sum(seen.values()), context[1:]
+        if short and short not in states:
+            continue
+        divergence = sum(c * math.log(c / size / p(short, w)) for w, c in seen.items())
+        if divergence > 0.5 * math.log(n) * len(seen):
+            states[context] = seen, size, 0.5 * len(seen) / size / (1 - sum(p(short, w) for w in seen))
+    return {k: sum(math.log10(p(tuple(c), w)) for *c, w in h) for k, h in history.items()}, states
+
+
+@pytest.mark.parametrize("size, numbered", [(suffix_tree.BUCKET, suffix_tree.NUMBERED), (40, 0.01)])
+def test_suffix_tree_of_all_contexts(spark, docs, size, numbered, monkeypatch):
+    """Rare contexts and followers count as well; with buckets of 40 positions, words and pairs are parted."""
+    monkeypatch.setattr(suffix_tree, "NUMBERED", numbered)
+    some = docs.select("doc_id", "text").orderBy("doc_id").limit(25).collect()
+    rows = [(r.doc_id, r.text) for r in some] + [(10_000 + k, "Of the " * 30 + f"w{k % 3} of the x") for k in range(12)]
+    rows += [(20_000, None), (20_001, ""), (20_002, "unseen0 of unseen1")] + [(30_000 + k, "same start " + "z" * k) for k in range(60)]
+    texts = {d: words_of(lowered(t)) + [None] for d, t in rows}
+    train = [d for d in texts if zlib.crc32(str(d).encode()) % 7 != 2]
+    want, states = brute_suffix_tree(texts, train)
+    assert {len(c) for c in states} == {1, 2}
+    got = {r.doc_id: r for r in suffix_tree.score_report(spark.createDataFrame(rows, "doc_id long, text string"), size=size).collect()}
+    counts = Counter(w for d in train for w in texts[d])
+    n, v = sum(counts.values()), len(counts)
+    assert got.keys() == texts.keys()
+    for d, x in texts.items():
+        r = got[d]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(x), sum(w in counts for w in x), n)
+        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in x), rel_tol=1e-9)
+        assert math.isclose(r.score, want[d], rel_tol=1e-7), d
+
+
+def test_whole_suffix_tree_of_odd_texts(odd, empty):
+    got = suffix_tree.score_report(odd)
+    assert Counter(r.doc_id for r in got.collect()) == Counter(r[0] for r in ODD)
+    assert suffix_tree.score_report(empty).count() == 0
+    alone = suffix_tree.score_report(odd.where("doc_id = 1"), folds=1, held_out=0).first()
+    assert (alone.n_known, alone.train_tokens, alone.base_score, alone.score) == (0, 0, 0, 0)
+
+
 # ---- queries -----------------------------------------------------------------------------
 
 
