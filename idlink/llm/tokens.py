@@ -24,8 +24,10 @@ _SINGLE = re.compile(r"(?<=\S) (?=\S)")
 _PARTS = regex.compile(public_tokenizers.PATTERN)
 #: Below this character, the parts of a text are the same in all Unicode versions.
 _AGREED = "ɐ"
+#: Signs that are a part of their own behind the letters of a word that ends with one.
+_ENDS = ".,;:!?"
 #: Entries that a worker keeps, some 200 bytes each; beyond it the cache starts anew.
-CACHE = 500_000
+CACHE = 750_000
 
 _loaded: dict[str, IdEncoder] = {}
 #: Parts pieces of a batch; no piece that is split here has it.
@@ -59,6 +61,7 @@ class IdEncoder:
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
+        self.ends = dict(zip(_ENDS, self._merged(list(_ENDS))))
         #: Bytes of text that each id stands for: a letter of the vocabulary is a byte.
         sizes = {k: len(token) for token, k in self.tokenizer.get_vocab().items()} | {k: len(t.encode()) for k, t in added.items()}
         self.sizes = np.zeros(max(sizes) + 1, np.int64)
@@ -73,14 +76,25 @@ class IdEncoder:
             return None
         return _SINGLE.split(text) if _CLUSTER.search(text) else text.split(" ")
 
-    def _learn(self, known: dict[str, bytes], parts: set[str], front: str) -> None:
+    def _learn(self, known: dict[str, bytes], parts: set[str], front: str) -> list[str]:
+        """Adds the ids of all parts. Those returned are a known word and a sign, or span lines, and are not worth keeping."""
         new = parts.difference(known)
+        ended = [p for p in new if p[-1:] in self.ends and p.isascii() and p[:-1].isalpha()]
+        stems = [p[:-1] for p in ended]
+        new.difference_update(ended)
+        new.update(set(stems).difference(known))
+        self._merge(known, new, front)
+        known.update({p: known[stem] + self.ends[p[-1]] for p, stem in zip(ended, stems)})
+        return ended + [p for p in new if "\n" in p]
+
+    def _merge(self, known: dict[str, bytes], new: set[str], front: str) -> None:
         words = [p for p in new if p.isalpha()]  # one piece each
         known.update(zip(words, self._ids([front + p for p in words])))
         new = [p for p in new if not p.isalpha()]
         # Pieces are split here only where all Unicode versions agree.
         split = [_PARTS.findall(front + p) if max(p, default="") < _AGREED else [front + p] for p in new]
-        missing = list({x for pieces in split for x in pieces}.difference(self.pieces))
+        missing = set().union(*split).difference(self.pieces)
+        missing = list(missing)
         self.pieces.update(zip(missing, self._ids(missing)))
         of = self.pieces.__getitem__
         known.update({part: b"".join(map(of, pieces)) for part, pieces in zip(new, split)})
@@ -113,13 +127,18 @@ class IdEncoder:
             self.parts, self.heads, self.pieces = {}, {}, {}
         cut = [self.cut(t) for t in texts]
         heads = [c.pop(0) if c else None for c in cut]
-        self._learn(self.heads, {h for h in heads if h is not None}, "")
-        self._learn(self.parts, set().union(*[c for c in cut if c]), " ")
+        brief = [
+            (self.heads, self._learn(self.heads, {h for h in heads if h is not None}, "")),
+            (self.parts, self._learn(self.parts, set().union(*[c for c in cut if c]), " ")),
+        ]
         get = self.parts.__getitem__
         out = [b"" if c is None else b"".join([self.heads[h], *map(get, c)]) for h, c in zip(heads, cut)]
         special = [k for k, c in enumerate(cut) if c is None]
         for k, ids in zip(special, self.whole([texts[k] for k in special])):
             out[k] = ids
+        for known, ended in brief:
+            for part in ended:
+                del known[part]
         return out
 
     def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

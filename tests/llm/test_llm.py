@@ -353,6 +353,16 @@ def test_encoding_of_random_texts():
         check_encoder(texts[at : at + 7])
 
 
+def test_ended_words_take_the_ids_of_their_stems():
+    """A word and the sign behind it are not merged, nor kept, as a whole; parts across lines are not kept."""
+    encoder = tokens.IdEncoder(tokens.DEFAULT)
+    texts = ["Barn, the barn; a barn. A lorem!\nNext barn, x:", "barn? é, ªb. don't, 3, , ."]
+    for _ in range(2):
+        assert encoder.encode(texts) == [np.array(reference_ids(x).ids, "<u4").tobytes() for x in texts]
+        kept = {*encoder.parts, *encoder.heads}
+        assert {"Barn", "barn", "x"} <= kept and not {"Barn,", "barn;", "barn.", "lorem!\nNext", "x:", "barn?"} & kept
+
+
 def test_planes_round_trip():
     rng = np.random.default_rng(2)
     for n in (1, 7, 8, 9, 1000):
