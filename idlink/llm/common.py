@@ -188,14 +188,6 @@ class SlotFilter:
 
         return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, BooleanType())]))
 
-    def keep(self, df: DataFrame, keys: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch in arrow_batches(whole):
-                    yield batch.filter(pa.array(self.maybe(keys(batch))))
-
-        return df.mapInArrow(run, df.schema)
-
 
 # ---- files in the shared folder ----------------------------------------------------------
 

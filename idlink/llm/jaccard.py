@@ -107,15 +107,21 @@ def _nodes(sets: list[np.ndarray]) -> np.ndarray:
     return signed(mix(sums + np.array([len(s) for s in sets], np.uint64)))
 
 
-def classes(docs: DataFrame, n: int) -> DataFrame:
-    """Adds `n_shingles` and `node`, the number of the text's set. `docs` has the text in `t`."""
+def classes(docs: DataFrame, n: int, likely: SlotFilter | None = None) -> DataFrame:
+    """Adds `n_shingles` and `node`, the number of the text's set. `docs` has the text in `t`.
+
+    With `likely`, rows whose node cannot be among its keys are left out. That takes no step of its own before this
+    one: two Python steps in a row take two workers of every core, and Spark keeps all of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in arrow_batches(whole):
                 sets = _sets(batch, n)
+                nodes = _nodes(sets)
                 out = batch.append_column("n_shingles", pa.array([len(s) for s in sets], pa.int64()))
-                yield out.append_column("node", pa.array(_nodes(sets)))
+                out = out.append_column("node", pa.array(nodes))
+                yield out if likely is None else out.filter(pa.array(likely.maybe(nodes)))
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *out_schema("n_shingles long, node long").fields]))
 
@@ -263,8 +269,7 @@ def _with_component(df: DataFrame, of: DataFrame, column: str, name: str) -> Dat
 
 def _texts_of(texts: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """(node, t) of the given nodes; most other texts are left out before the shuffle."""
-    likely = SlotFilter(nodes.select("node"))
-    rows = classes(likely.keep(texts, lambda b: _nodes(_sets(b, n))), n).join(nodes, "node")
+    rows = classes(texts, n, SlotFilter(nodes.select("node"))).join(nodes, "node")
     return kept(rows.groupBy("node").agg(F.first("t").alias("t")), "jaccard_texts")
 
 
@@ -362,9 +367,8 @@ def keep_one(docs: DataFrame, id_: str = "doc_id", text: str = "text", n: int =
     odd = kept(odd.groupBy("id", "node").agg(F.max("goes").alias("goes")), "jaccard_goes")
     rows = docs.select(F.struct("*").alias("doc"), F.col(id_).alias("id"), F.col(text).alias("t"))
     likely = SlotFilter(odd.select("node"))
-    marked = likely.mark(rows, lambda b: _nodes(_sets(b, n)), "maybe")
-    clear = marked.where(~F.col("maybe")).select("doc")
-    check = joined(classes(marked.where("maybe").select("doc", "id", "t"), n), odd, ["id", "node"], "left")
+    clear = likely.mark(rows, lambda b: _nodes(_sets(b, n)), "maybe").where(~F.col("maybe")).select("doc")
+    check = joined(classes(rows, n, likely), odd, ["id", "node"], "left")
     single = check.where(F.col("goes").isNull()).select("doc")
     first = F.row_number().over(Window.partitionBy("id", "node").orderBy(F.xxhash64("t")))
     repeated = check.where(~F.col("goes")).withColumn("first", first).where("first = 1").select("doc")

@@ -198,6 +198,7 @@ def read_report(files: DataFrame, id_: str = "doc_id") -> DataFrame:
     """Reads the files back, each in a task of its own: id, start, n_tokens, ids_crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()  # all files are written
         for batch in batches:
             for row in batch.to_pylist():
                 fs, base = file_system(row["folder"])

@@ -124,7 +124,7 @@ class IdEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.parts) + len(self.heads) + len(self.pieces) > CACHE:
-            self.parts, self.heads, self.pieces = {}, {}, {}
+            self.forget()
         cut = [self.cut(t) for t in texts]
         heads = [c.pop(0) if c else None for c in cut]
         brief = [
@@ -141,6 +141,10 @@ class IdEncoder:
                 del known[part]
         return out
 
+    def forget(self) -> None:
+        """Gives the memory of all known parts back; they are learned anew when met."""
+        self.parts, self.heads, self.pieces = {}, {}, {}
+
     def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(start, end) of the tokens of all texts, in characters of the joined texts, and the number of each text's tokens.
 
@@ -160,3 +164,9 @@ def id_encoder(name: str) -> IdEncoder:
     if name not in _loaded:
         _loaded[name] = IdEncoder(name)
     return _loaded[name]
+
+
+def forget() -> None:
+    """What the worker's encoders know is given back: a worker that goes on to other work would hold it."""
+    for encoder in _loaded.values():
+        encoder.forget()

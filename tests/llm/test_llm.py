@@ -28,6 +28,7 @@ from idlink.llm import (
     tokens,
     warc,
 )
+from idlink.llm.common import kept
 from idlink.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -173,6 +174,27 @@ def variants():
     return out
 
 
+def test_one_python_step_per_task(spark, odd, monkeypatch):
+    """Two in a row take two workers of every core, which stay with all that they hold."""
+    frames = []
+    monkeypatch.setattr(jaccard, "kept", lambda df, name: frames.append(df) or kept(df, name))
+    near = spark.createDataFrame([(100 + k, f"{PROSE} and then {PROSE.upper()} {k}", "en", "a") for k in range(4)], SCHEMA)
+    docs = odd.select("doc_id", "text", "lang", "source").union(near)
+    frames.append(jaccard.keep_one(docs, n=5, percent=80))
+    assert len(frames) > 10
+    for frame in frames:
+        above: list[tuple[int, str]] = []
+        for line in frame._jdf.queryExecution().sparkPlan().toString().splitlines():
+            depth = re.search(r"[A-Za-z]", line).start()
+            above = [x for x in above if x[0] < depth]
+            if "MapInArrow" in line:
+                # sparkPlan has no exchanges yet: what needs one stands between.
+                inner = [name for _, name in above]
+                last = max((k for k, name in enumerate(inner) if re.match("Exchange|.*Aggregate|.*Join|Window|Sort", name)), default=-1)
+                assert not any("MapInArrow" in name for name in inner[last + 1 :]), frame._jdf.queryExecution().sparkPlan().toString()
+            above.append((depth, line[depth:]))
+
+
 @pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
 def test_jaccard_equals_brute_force(spark, n, percent):
     rows = ODD + variants()
@@ -363,6 +385,22 @@ def test_ended_words_take_the_ids_of_their_stems():
         assert {"Barn", "barn", "x"} <= kept and not {"Barn,", "barn;", "barn.", "lorem!\nNext", "x:", "barn?"} & kept
 
 
+def test_read_tasks_give_the_encoders_memory_back(spark, odd, monkeypatch):
+    """What is known to an encoder goes when its files are read, also in the process that reads them."""
+    encoder = tokens.id_encoder(tokens.DEFAULT)
+    encoder.encode(["the old barn"])
+    assert encoder.parts and encoder.heads
+    run = []
+    keep = lambda df, f, schema: run.append(f) or map_in_arrow(df, f, schema)
+    map_in_arrow = type(odd).mapInArrow
+    files = planes.write_ids(odd)
+    monkeypatch.setattr(type(odd), "mapInArrow", keep)
+    planes.read_report(files)
+    assert list(run[0](iter([]))) == []
+    assert not (encoder.parts or encoder.heads or encoder.pieces)
+    assert encoder.encode(["the old barn"])[0] == np.array(reference_ids("the old barn").ids, "<u4").tobytes()
+
+
 def test_planes_round_trip():
     rng = np.random.default_rng(2)
     for n in (1, 7, 8, 9, 1000):
