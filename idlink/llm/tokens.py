@@ -3,7 +3,8 @@
 The byte-level tokenizers used here split a text before merging, and a single blank between two other
 characters always starts a new part. So a text is cut at such blanks, and every distinct part is encoded
 by the library once. The result is that of encoding the whole text; texts in which cutting would not be
-safe (special tokens) are encoded whole.
+safe (special tokens) are encoded whole. A line feed without white space beside it is a part of its own, so
+such a text is also cut in front of it, and the word behind it is one without a blank in front.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import accumulate, chain
+from itertools import accumulate, chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +32,8 @@ _ENDS = ".,;:!?"
 CACHE = 750_000
 
 _loaded: dict[str, IdEncoder] = {}
+#: Words merged in one call.
+_AT_ONCE = 64
 #: Parts pieces of a batch; no piece that is split here has it.
 _MARK = "\uffff"
 
@@ -66,55 +70,85 @@ class IdEncoder:
         sizes = {k: len(token) for token, k in self.tokenizer.get_vocab().items()} | {k: len(t.encode()) for k, t in added.items()}
         self.sizes = np.zeros(max(sizes) + 1, np.int64)
         self.sizes[list(sizes)] = list(sizes.values())
+        #: For a blank and a line feed: which ids begin with it, if words behind them can be merged as one text.
+        plain = not any(made["model"].get(k) for k in ("ignore_merges", "dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        self.begins = {front: self._beginners(front, len(self.sizes)) for front in " \n" if plain}
+
+    def _beginners(self, front: str, n: int) -> np.ndarray | None:
+        """Whether each id begins with `front`. None if a token holds the end of a word and the `front` behind it."""
+        byte_of = {chr(letter): byte for byte, letter in enumerate(self.letters)}
+        mark, out = self._lettered(front), np.zeros(n, bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            out[k] = token.startswith(mark)
+            before = token.lstrip(mark).partition(mark)
+            if before[1] and before[0]:
+                word = bytes(byte_of[c] for c in before[0]).decode(errors="replace")
+                if word.replace("\ufffd", "").isalpha() or "\ufffd" in word:
+                    return None
+        return out
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def cut(self, text: str) -> list[str] | None:
-        """Parts of a text; all but the first had a blank in front. None: encode it whole."""
+        """Parts of a text; all but the first had a blank in front, or begin with a line feed. None: encode it whole."""
         if any(s in text for s in self.specials):
             return None
-        return _SINGLE.split(text) if _CLUSTER.search(text) else text.split(" ")
+        return _SINGLE.split(text) if _CLUSTER.search(text) else text.replace("\n", " \n").split(" ")
 
     def _learn(self, known: dict[str, bytes], parts: set[str], front: str) -> list[str]:
         """Adds the ids of all parts. Those returned are a known word and a sign, or span lines, and are not worth keeping."""
         new = parts.difference(known)
-        ended = [p for p in new if p[-1:] in self.ends and p.isascii() and p[:-1].isalpha()]
+        ended = [p for p in new if p[-1:] in self.ends and max(p) < _AGREED and p[:-1].lstrip("\n").isalpha()]
         stems = [p[:-1] for p in ended]
         new.difference_update(ended)
         new.update(set(stems).difference(known))
         self._merge(known, new, front)
         known.update({p: known[stem] + self.ends[p[-1]] for p, stem in zip(ended, stems)})
-        return ended + [p for p in new if "\n" in p]
+        return ended + [p for p in new if "\n" in p[1:]]
 
     def _merge(self, known: dict[str, bytes], new: set[str], front: str) -> None:
         words = [p for p in new if p.isalpha()]  # one piece each
-        known.update(zip(words, self._ids([front + p for p in words])))
+        known.update(zip(words, self._ids([front + p for p in words], front)))
         new = [p for p in new if not p.isalpha()]
+        if front:  # a line feed stands in place of the blank
+            lines = [p for p in new if p[0:1] == "\n" and p[1:].isalpha()]
+            known.update(zip(lines, self._ids(lines, "\n")))
+            new = [p for p in new if not (p[0:1] == "\n" and p[1:].isalpha())]
         # Pieces are split here only where all Unicode versions agree.
-        split = [_PARTS.findall(front + p) if max(p, default="") < _AGREED else [front + p] for p in new]
+        texts = [p if p[:1] == "\n" else front + p for p in new]
+        split = [_PARTS.findall(t) if max(t, default="") < _AGREED else [t] for t in texts]
         missing = set().union(*split).difference(self.pieces)
         missing = list(missing)
         self.pieces.update(zip(missing, self._ids(missing)))
         of = self.pieces.__getitem__
         known.update({part: b"".join(map(of, pieces)) for part, pieces in zip(new, split)})
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
+    def _ids(self, pieces: list[str], front: str = "") -> list[bytes]:
+        """Ids of pieces that are one part each, or, with odd characters, any texts. All begin with `front`."""
         if max("".join(pieces), default="") >= _AGREED:
             odd = [p for p in pieces if max(p) >= _AGREED]
             found = dict(zip(odd, self.whole(odd)))
             plain = [p for p in pieces if p not in found]
-            found.update(zip(plain, self._merged(plain)))
+            found.update(zip(plain, self._merged(plain, front)))
             return [found[p] for p in pieces]
-        return self._merged(pieces)
+        return self._merged(pieces, front)
 
     def _lettered(self, text: str) -> str:
         return self.letters[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
 
-    def _merged(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that are one part each."""
+    def _merged(self, pieces: list[str], front: str = "") -> list[bytes]:
+        """Ids of pieces that are one part each. Words with a `front` are merged many at once, as no token spans two."""
         if not pieces:
             return []
+        begins = self.begins.get(front) if front else None
+        if begins is not None:
+            merge = self.tokenizer.model.tokenize
+            texts = [self._lettered("".join(pieces[at : at + _AT_ONCE])) for at in range(0, len(pieces), _AT_ONCE)]
+            ids = np.fromiter((t.id for text in texts for t in merge(text)), "<u4")
+            ends = [*(4 * np.flatnonzero(begins[ids])).tolist(), 4 * len(ids)]
+            flat = ids.tobytes()
+            return [flat[a:b] for a, b in zip(ends, ends[1:])]
         as_letters = self._lettered(_MARK.join(pieces)).split(self._lettered(_MARK))
         merge = self.tokenizer.model.tokenize
         ids = [[t.id for t in merge(piece)] for piece in as_letters]
@@ -127,15 +161,18 @@ class IdEncoder:
             self.forget()
         cut = [self.cut(t) for t in texts]
         heads = [c.pop(0) if c else None for c in cut]
-        brief = [
-            (self.heads, self._learn(self.heads, {h for h in heads if h is not None}, "")),
-            (self.parts, self._learn(self.parts, set().union(*[c for c in cut if c]), " ")),
-        ]
-        get = self.parts.__getitem__
-        out = [b"" if c is None else b"".join([self.heads[h], *map(get, c)]) for h, c in zip(heads, cut)]
+        brief = [(self.heads, self._learn(self.heads, {h for h in heads if h is not None}, ""))]
+        parts = list(chain.from_iterable(c for c in cut if c))
+        ids = list(map(self.parts.get, parts))
+        missing = list(compress(range(len(ids)), map(is_, ids, repeat(None))))
+        brief.append((self.parts, self._learn(self.parts, {parts[k] for k in missing}, " ")))
+        for k in missing:
+            ids[k] = self.parts[parts[k]]
+        ends = list(accumulate((len(c or ()) for c in cut), initial=0))
+        out = [b"" if h is None else b"".join([self.heads[h], *ids[a:b]]) for h, a, b in zip(heads, ends, ends[1:])]
         special = [k for k, c in enumerate(cut) if c is None]
-        for k, ids in zip(special, self.whole([texts[k] for k in special])):
-            out[k] = ids
+        for k, whole in zip(special, self.whole([texts[k] for k in special])):
+            out[k] = whole
         for known, ended in brief:
             for part in ended:
                 del known[part]

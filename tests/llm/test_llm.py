@@ -10,6 +10,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -385,6 +386,21 @@ def test_ended_words_take_the_ids_of_their_stems():
         assert {"Barn", "barn", "x"} <= kept and not {"Barn,", "barn;", "barn.", "lorem!\nNext", "x:", "barn?"} & kept
 
 
+def test_words_are_merged_many_at_once():
+    """Words behind a blank or a line feed take one call of the library for many, and lines are cut, so their words are kept."""
+    encoder = tokens.IdEncoder(tokens.DEFAULT)
+    calls, merge = [], encoder.tokenizer.model.tokenize
+    encoder.tokenizer = SimpleNamespace(model=SimpleNamespace(tokenize=lambda x: calls.append(x) or merge(x)), encode_batch=encoder.tokenizer.encode_batch)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeéßñ") for _ in range(rng.randrange(1, 9))) for _ in range(900)]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", " ", "\n", ", ", ".\n"]) for _ in range(400)) for _ in range(9)]
+    texts = ["\n" + texts[0], *texts, texts[1].strip(), "\n", "a\n", "é,\né"]
+    assert encoder.encode(texts) == [np.array(reference_ids(x).ids, "<u4").tobytes() for x in texts]
+    assert len(calls) < 150
+    assert not any("\n" in p[1:] or p.endswith((",", ".")) for p in encoder.parts)
+    assert any(p[0] == "\n" for p in encoder.parts if p)
+
+
 def test_read_tasks_give_the_encoders_memory_back(spark, odd, monkeypatch):
     """What is known to an encoder goes when its files are read, also in the process that reads them."""
     encoder = tokens.id_encoder(tokens.DEFAULT)
