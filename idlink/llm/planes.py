@@ -26,16 +26,19 @@ from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idlink.llm import tokens
-from idlink.llm.common import SharedFile, arrow_batches, file_system, kept, shared_folder
+from idlink.llm.common import SharedFile, file_system, kept, portions, shared_folder
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 17
+#: Bytes of text encoded at once; a longer text is encoded by itself or with those before it.
+TOGETHER = 8 << 20
 
 
 def to_planes(ids: np.ndarray) -> list[bytes]:
@@ -159,6 +162,25 @@ class Reader:
             yield None if null else doc, n, crc
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], pa.Array]]:
+    """Ids and texts of many small batches at once: the more texts, the fewer times each word is looked up."""
+    held, size = [], 0
+    for batch in batches:
+        for a, b in portions(batch.column("t")):
+            held.append(batch.slice(a, b - a))
+            size += (pc.sum(pc.binary_length(held[-1].column("t"))).as_py() or 0) + 64 * (b - a)
+            if size >= TOGETHER:
+                yield _combined(held)
+                held, size = [], 0
+    if held:
+        yield _combined(held)
+
+
+def _combined(held: list[pa.RecordBatch]) -> tuple[list[int | None], pa.Array]:
+    texts = pa.concat_arrays([b.column("t").cast(pa.large_string()) for b in held])
+    return [doc for b in held for doc in b.column("id").to_pylist()], texts
+
+
 def write_ids(
     docs: DataFrame, id_: str = "doc_id", text: str = "text", tokenizer: str = tokens.DEFAULT, end_id: int = 0, folder: str | None = None
 ) -> DataFrame:
@@ -174,11 +196,9 @@ def write_ids(
         file = SharedFile(folder, f"shard-{shard:06d}.ids")
         with file as stream:
             writer = Writer(stream)
-            for whole in batches:
-                for batch in arrow_batches(whole):
-                    found = encode(batch.column("t").to_pylist())
-                    for doc, ids in zip(batch.column("id").to_pylist(), found):
-                        writer.add(doc, ids + end)
+            for docs, texts in _gathered(batches):
+                for doc, ids in zip(docs, encode(texts)):
+                    writer.add(doc, ids + end)
             writer.close()
         row = {"shard": shard, "folder": folder, "name": f"shard-{shard:06d}.ids", "docs": len(writer.docs), "ids": sum(writer.lengths)}
         yield pa.RecordBatch.from_pylist([row])

@@ -5,6 +5,8 @@ characters always starts a new part. So a text is cut at such blanks, and every
 by the library once. The result is that of encoding the whole text; texts in which cutting would not be
 safe (special tokens) are encoded whole. A line feed without white space beside it is a part of its own, so
 such a text is also cut in front of it, and the word behind it is one without a blank in front.
+
+Arrow cuts the texts of a batch and numbers their distinct parts, so Python sees a part once a batch, not at each place.
 """
 
 from __future__ import annotations
@@ -12,11 +14,14 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import accumulate, chain, compress, repeat
-from operator import is_
+import string
+from itertools import accumulate, chain
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 DEFAULT = "byte_bpe_50k.json"
@@ -26,8 +31,14 @@ _SINGLE = re.compile(r"(?<=\S) (?=\S)")
 _PARTS = regex.compile(public_tokenizers.PATTERN)
 #: Below this character, the parts of a text are the same in all Unicode versions.
 _AGREED = "ɐ"
-#: Signs that are a part of their own behind the letters of a word that ends with one.
-_ENDS = ".,;:!?"
+_LATER = re.compile(f"[{_AGREED}-\U0010ffff]")
+#: Signs behind the letters of a word that ends with them are one part of their own.
+_SIGNS = string.punctuation
+_ENDED = rf"^\n?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+[!-/:-@\[-`{{-~]+$"
+#: White space of one byte, and bytes that other white space begins with.
+_SPACE, _WIDE = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+_WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 #: Entries that a worker keeps, some 200 bytes each; beyond it the cache starts anew.
 CACHE = 750_000
 
@@ -36,6 +47,7 @@ _loaded: dict[str, IdEncoder] = {}
 _AT_ONCE = 64
 #: Parts pieces of a batch; no piece that is split here has it.
 _MARK = "\uffff"
+_ID = attrgetter("id")
 
 
 def _byte_letters() -> np.ndarray:
@@ -65,7 +77,6 @@ class IdEncoder:
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
-        self.ends = dict(zip(_ENDS, self._merged(list(_ENDS))))
         #: Bytes of text that each id stands for: a letter of the vocabulary is a byte.
         sizes = {k: len(token) for token, k in self.tokenizer.get_vocab().items()} | {k: len(t.encode()) for k, t in added.items()}
         self.sizes = np.zeros(max(sizes) + 1, np.int64)
@@ -96,16 +107,28 @@ class IdEncoder:
             return None
         return _SINGLE.split(text) if _CLUSTER.search(text) else text.replace("\n", " \n").split(" ")
 
-    def _learn(self, known: dict[str, bytes], parts: set[str], front: str) -> list[str]:
-        """Adds the ids of all parts. Those returned are a known word and a sign, or span lines, and are not worth keeping."""
-        new = parts.difference(known)
-        ended = [p for p in new if p[-1:] in self.ends and max(p) < _AGREED and p[:-1].lstrip("\n").isalpha()]
-        stems = [p[:-1] for p in ended]
-        new.difference_update(ended)
-        new.update(set(stems).difference(known))
+    def _known(self, known: dict[str, bytes], parts: pa.Array, front: str) -> pa.Array:
+        """Ids of distinct parts, learned where new. A word and signs behind it, or what spans lines, is not kept as a whole."""
+        ended = np.flatnonzero(pc.match_substring_regex(parts, _ENDED).to_numpy(zero_copy_only=False)).tolist()
+        stems = parts.to_numpy(zero_copy_only=False).tolist()
+        signs = []
+        for k in ended:
+            part = stems[k]
+            stems[k] = part.rstrip(_SIGNS)
+            signs.append(part[len(stems[k]) :])
+        ids = list(map(known.get, stems))
+        missing = [k for k, found in enumerate(ids) if found is None]
+        new = {stems[k] for k in missing}
         self._merge(known, new, front)
-        known.update({p: known[stem] + self.ends[p[-1]] for p, stem in zip(ended, stems)})
-        return ended + [p for p in new if "\n" in p[1:]]
+        for k in missing:
+            ids[k] = known[stems[k]]
+        for part in new:
+            if "\n" in part[1:]:
+                del known[part]
+        self._learn(set(signs))
+        for k, sign in zip(ended, signs):
+            ids[k] += self.pieces[sign]
+        return pa.array(ids, pa.large_binary())
 
     def _merge(self, known: dict[str, bytes], new: set[str], front: str) -> None:
         words = [p for p in new if p.isalpha()]  # one piece each
@@ -117,17 +140,19 @@ class IdEncoder:
             new = [p for p in new if not (p[0:1] == "\n" and p[1:].isalpha())]
         # Pieces are split here only where all Unicode versions agree.
         texts = [p if p[:1] == "\n" else front + p for p in new]
-        split = [_PARTS.findall(t) if max(t, default="") < _AGREED else [t] for t in texts]
-        missing = set().union(*split).difference(self.pieces)
-        missing = list(missing)
-        self.pieces.update(zip(missing, self._ids(missing)))
+        split = [[t] if _LATER.search(t) else _PARTS.findall(t) for t in texts]
+        self._learn(set().union(*split))
         of = self.pieces.__getitem__
         known.update({part: b"".join(map(of, pieces)) for part, pieces in zip(new, split)})
 
+    def _learn(self, pieces: set[str]) -> None:
+        missing = list(pieces.difference(self.pieces))
+        self.pieces.update(zip(missing, self._ids(missing)))
+
     def _ids(self, pieces: list[str], front: str = "") -> list[bytes]:
         """Ids of pieces that are one part each, or, with odd characters, any texts. All begin with `front`."""
-        if max("".join(pieces), default="") >= _AGREED:
-            odd = [p for p in pieces if max(p) >= _AGREED]
+        if _LATER.search("".join(pieces)):
+            odd = [p for p in pieces if _LATER.search(p)]
             found = dict(zip(odd, self.whole(odd)))
             plain = [p for p in pieces if p not in found]
             found.update(zip(plain, self._merged(plain, front)))
@@ -145,7 +170,7 @@ class IdEncoder:
         if begins is not None:
             merge = self.tokenizer.model.tokenize
             texts = [self._lettered("".join(pieces[at : at + _AT_ONCE])) for at in range(0, len(pieces), _AT_ONCE)]
-            ids = np.fromiter((t.id for text in texts for t in merge(text)), "<u4")
+            ids = np.fromiter(map(_ID, chain.from_iterable(map(merge, texts))), "<u4")
             ends = [*(4 * np.flatnonzero(begins[ids])).tolist(), 4 * len(ids)]
             flat = ids.tobytes()
             return [flat[a:b] for a, b in zip(ends, ends[1:])]
@@ -156,28 +181,63 @@ class IdEncoder:
         ends = list(accumulate(map(len, ids), initial=0))
         return [flat[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _odd(self, texts: pa.Array) -> np.ndarray:
+        """Which texts Arrow cannot cut: those that may have white space next to white space, or a special token."""
+        odd = np.zeros(len(texts), bool)
+        for special in self.specials:
+            odd |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        if ends[0] == ends[-1]:
+            return odd
+        raw = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        space = _SPACE[raw]
+        pairs = np.flatnonzero(space[1:] & space[:-1])
+        odd[np.searchsorted(ends, pairs + ends[0], "right") - 1] = True
+        wide = np.zeros(len(texts), bool)
+        wide[np.searchsorted(ends, np.flatnonzero(_WIDE[raw]) + ends[0], "right") - 1] = True
+        rows = np.flatnonzero(wide & ~odd)
+        odd[rows] = [_CLUSTER.search(t) is not None for t in texts.take(pa.array(rows)).to_pylist()]
+        return odd
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         if len(self.parts) + len(self.heads) + len(self.pieces) > CACHE:
             self.forget()
-        cut = [self.cut(t) for t in texts]
-        heads = [c.pop(0) if c else None for c in cut]
-        brief = [(self.heads, self._learn(self.heads, {h for h in heads if h is not None}, ""))]
-        parts = list(chain.from_iterable(c for c in cut if c))
-        ids = list(map(self.parts.get, parts))
-        missing = list(compress(range(len(ids)), map(is_, ids, repeat(None))))
-        brief.append((self.parts, self._learn(self.parts, {parts[k] for k in missing}, " ")))
-        for k in missing:
-            ids[k] = self.parts[parts[k]]
-        ends = list(accumulate((len(c or ()) for c in cut), initial=0))
-        out = [b"" if h is None else b"".join([self.heads[h], *ids[a:b]]) for h, a, b in zip(heads, ends, ends[1:])]
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        out = [b""] * len(texts)
+        if not out:
+            return out
+        odd = self._odd(texts)
+        odd_rows, odd_texts = np.flatnonzero(odd).tolist(), texts.filter(pa.array(odd)).to_pylist()
+        cut = [self.cut(t) for t in odd_texts]
+        lists = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(~odd)), "\n", " \n"), " ")
+        rows = np.flatnonzero(~odd).tolist() + [k for k, c in zip(odd_rows, cut) if c is not None]
+        cut_parts = pa.array(list(chain.from_iterable(c for c in cut if c is not None)), pa.large_string())
+        parts = pa.concat_arrays([lists.flatten(), cut_parts])
+        sizes = np.concatenate([pc.list_value_length(lists).to_numpy(), np.array([len(c) for c in cut if c is not None], np.int64)])
+        bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        if rows:
+            for row, ids in zip(rows, self._joined(parts, bounds)):
+                out[row] = ids
         special = [k for k, c in enumerate(cut) if c is None]
-        for k, whole in zip(special, self.whole([texts[k] for k in special])):
-            out[k] = whole
-        for known, ended in brief:
-            for part in ended:
-                del known[part]
+        for k, whole in zip(special, self.whole([odd_texts[k] for k in special])):
+            out[odd_rows[k]] = whole
         return out
 
+    def _joined(self, parts: pa.Array, bounds: np.ndarray) -> list[bytes]:
+        """Ids of texts from their parts; text i has `bounds[i]:bounds[i + 1]`, of which the first has no blank in front."""
+        firsts = bounds[:-1]
+        behind = np.ones(len(parts), bool)
+        behind[firsts] = False
+        heads = parts.take(pa.array(firsts)).dictionary_encode()
+        coded = pc.if_else(pa.array(behind), parts, pa.scalar(None, pa.large_string())).dictionary_encode()
+        known = pa.concat_arrays([self._known(self.parts, coded.dictionary, " "), self._known(self.heads, heads.dictionary, "")])
+        places = coded.indices.fill_null(0).to_numpy().copy()
+        places[firsts] = len(coded.dictionary) + heads.indices.to_numpy()
+        ids = known.take(pa.array(places))
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset + bounds].tolist()
+        flat = memoryview(ids.buffers()[2] or b"")
+        return [bytes(flat[a:b]) for a, b in zip(ends, ends[1:])]
+
     def forget(self) -> None:
         """Gives the memory of all known parts back; they are learned anew when met."""
         self.parts, self.heads, self.pieces = {}, {}, {}

@@ -13,6 +13,7 @@ from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -386,6 +387,39 @@ def test_ended_words_take_the_ids_of_their_stems():
         assert {"Barn", "barn", "x"} <= kept and not {"Barn,", "barn;", "barn.", "lorem!\nNext", "x:", "barn?"} & kept
 
 
+def test_words_are_looked_up_once_a_batch():
+    """What Python does grows with the distinct words of a batch; signs behind a word do not make it another word."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+    encoder = tokens.IdEncoder(tokens.DEFAULT)
+    encoder.parts = Counted()
+    texts = ["the old barn " * 500, "barn%%% the old\nbarn,&& " * 500 + "“old”", "the\u00a0 old  barn$$$", "'tis the barn'", "", "\u3000", " "]
+    want = [np.array(reference_ids(x).ids, "<u4").tobytes() for x in texts]
+    assert encoder.encode(texts) == want
+    assert Counted.asked < 40
+    assert "barn" in encoder.parts and not {"barn%%%", "barn,&&", "\nbarn,&&", "barn'"} & {*encoder.parts}
+    for kind in (pa.string(), pa.large_string()):
+        assert encoder.encode(pa.array(["x", *texts, "y"], kind).slice(1, len(texts))) == want
+
+
+def test_small_batches_are_encoded_together(monkeypatch):
+    """Rows keep their order and none is lost, however batches are cut and gathered."""
+    rows = [(None if k % 5 == 0 else k, "barn " * (k % 7)) for k in range(40)]
+    batches = [pa.RecordBatch.from_pylist([{"id": d, "t": t} for d, t in rows[a : a + 3]], pa.schema([("id", pa.int64()), ("t", pa.string())])) for a in range(0, 40, 3)]
+    for together, most in ((planes.TOGETHER, 1), (300, 14), (1, 40)):
+        monkeypatch.setattr(planes, "TOGETHER", together)
+        found = list(planes._gathered(iter(batches)))
+        assert len(found) <= most
+        assert [(d, t) for ids, texts in found for d, t in zip(ids, texts.to_pylist(), strict=True)] == rows
+    assert list(planes._gathered(iter([]))) == []
+
+
 def test_words_are_merged_many_at_once():
     """Words behind a blank or a line feed take one call of the library for many, and lines are cut, so their words are kept."""
     encoder = tokens.IdEncoder(tokens.DEFAULT)
