@@ -14,7 +14,9 @@ and triples are counted there, states chosen and the positions scored. So positi
 b, some `size` of them each, and what a bucket finds is added up per text. A word b with more than `size`
 positions is parted by a, and a pair (a, b) with more by text; their followers are counted over all texts
 first and every part gets the counts. Words are numbers where they are frequent (at most 1 / `NUMBERED` of
-them, sent to the tasks), else hashes whose counts come by a join. No word, pair or triple is left out.
+them, sent to the tasks), else hashes. These are listed with their places and counts in portions by word, where
+all counts of a word meet, and each bucket gets those of its positions. No word, pair or triple is left out.
+Positions, hashes and counts travel packed by bucket or portion, as they take most of the disk.
 
 `fit` with `Shares` makes a bounded tree instead, of contexts and symbols above a least share, which fits a
 task; `score` scores with it. Words below the share are scored by a join with the full table of counts.
@@ -32,7 +34,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -307,11 +308,17 @@ class Dealing:
     buckets: int
     split: np.ndarray  # ascending hashes of the words with more positions than a bucket
     parts: np.ndarray  # their numbers of parts
+    portions: tuple[int, int]  # of what follows a word: symbols without a number, and those with one
     pairs: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # ascending hashes of such pairs
 
     def first(self, b: np.ndarray) -> np.ndarray:
         return (mix(b.view(np.uint64)) % np.uint64(self.buckets)).astype(np.int64)
 
+    def place(self, b: np.ndarray) -> np.ndarray:
+        """The bucket of the positions after a word, or -1 less its place among the split words."""
+        k = find(self.split, b)
+        return np.where(k >= 0, -1 - k, self.first(b))
+
     def bucket(self, a: np.ndarray, b: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Buckets of positions after the words `a`, `b`."""
         at = self.first(b)
@@ -384,9 +391,96 @@ def _unpack(column: pa.ChunkedArray, kind: str = "<u4") -> list[np.ndarray]:
     return [x.astype(np.int64) for x in found] if kind == "<u4" else found
 
 
+def _pack_ascending(x: np.ndarray) -> bytes:
+    return _pack(np.diff(x.view(np.uint64), prepend=np.uint64(0)), "<u8")
+
+
+def _unpack_ascending(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.cumsum(x, dtype=np.uint64).view(np.int64) for x in _unpack(column, "<u8")]
+
+
+def _runs(x: np.ndarray) -> zip:
+    """Begin and end of every run of equal values."""
+    edges = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1], [True]])) if len(x) else np.empty(0, np.int64)
+    return zip(edges.tolist(), edges[1:].tolist())
+
+
+def _row(names: list[str], kinds: list[pa.DataType], values: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+
+
+#: Followers of a place: symbols, their counts after a split word, and those in all training texts if without a number.
+_NOTES = "place long, a binary, s binary, n binary, c binary"
+
+
+def _noted(batches: Iterator[pa.RecordBatch], plan: Dealing) -> Iterator[pa.RecordBatch]:
+    """The symbols without a number after all words, and all symbols after split words: places, hashes and
+    how often in training texts, packed by portion."""
+
+    def found() -> Iterator[tuple[np.ndarray, ...]]:
+        for whole in batches:
+            for batch in arrow_batches(whole):
+                _, b, s, text = _histories(batch)
+                train = _train(batch)[text]
+                needed = (find(plan.words, s) < 0) | (train & (find(plan.split, b) >= 0))
+                yield plan.place(b[needed]), s[needed], train[needed].astype(np.int64)
+
+    rare, numbered = (np.uint64(x) for x in plan.portions)
+    for summed in _rows_summed(found(), ["place", "s", "n"]):
+        place, s, n = (summed.column(k).to_numpy() for k in range(3))
+        pairs = plan.portions[0] + (mix(mix(s.view(np.uint64)) + place.view(np.uint64)) % numbered).astype(np.int64)
+        portion = np.where(find(plan.words, s) < 0, (mix(s.view(np.uint64)) % rare).astype(np.int64), pairs)
+        order = np.lexsort((s, portion))
+        place, s, n, portion = place[order] + len(plan.split), s[order], n[order], portion[order]
+        for x, y in _runs(portion):
+            row = [int(portion[x]), _pack(place[x:y]), _pack_ascending(s[x:y]), _pack(n[x:y])]
+            yield _row(["portion", "place", "s", "n"], [pa.int64(), *[pa.binary()] * 3], row)
+
+
+def _merged(parts: pa.Table, plan: Dealing, size: int, schema: pa.Schema) -> pa.Table:
+    """A portion by place, packed. A symbol without a number has all its places in one portion, and so its count."""
+    place, s, n = (np.concatenate(x) for x in (_unpack(parts.column("place")), _unpack_ascending(parts.column("s")), _unpack(parts.column("n"))))
+    order = np.lexsort((s, place))
+    place, s = place[order] - len(plan.split), s[order]
+    firsts = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (place[1:] != place[:-1])]))
+    place, s, n = place[firsts], s[firsts], np.add.reduceat(n[order], firsts)
+    symbols, at = np.unique(s, return_inverse=True)
+    c = np.where(find(plan.words, symbols) < 0, np.bincount(at, n).astype(np.int64), 0)[at]
+    n[place >= 0] = 0  # counted in the bucket itself
+    rows = []
+    for x, y in _runs(place):
+        hot = s[x:y][(n[x:y] > size) & (s[x:y] != END)]
+        rows.append((int(place[x]), None, _pack_ascending(s[x:y]), _pack(n[x:y], "<i8"), _pack(c[x:y], "<i8"), hot))
+    return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def _deep_notes(batches: Iterator[pa.RecordBatch], plan: Dealing) -> Iterator[pa.RecordBatch]:
+    """Followers of pairs (a, b) with their counts, packed by place of b."""
+    waiting, size = [], 0
+
+    def packed() -> Iterator[pa.RecordBatch]:
+        a, b, s, n = (x.to_numpy() for x in pa.Table.from_batches(waiting).select(["a", "b", "s", "n"]).columns)
+        place = plan.place(b)
+        order = np.lexsort((s, place))
+        a, s, n, place = a[order], s[order], n[order], place[order]
+        for x, y in _runs(place):
+            row = [int(place[x]), _pack(a[x:y], "<i8"), _pack_ascending(s[x:y]), _pack(n[x:y], "<i8"), _pack(0 * n[x:y], "<i8")]
+            yield _row(["place", "a", "s", "n", "c"], [pa.int64(), *[pa.binary()] * 4], row)
+
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows
+        if size > _FLUSH // 4:
+            yield from packed()
+            waiting, size = [], 0
+    if size:
+        yield from packed()
+
+
 def _dealt(batches: Iterator[pa.RecordBatch], plan: Dealing, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """The positions of a task's texts, chunk by chunk, packed by bucket: numbers of a, b and the symbol (words
-    without a number follow as hashes), and of the text. A chunk's first row has its ids and what is known of them."""
+    without a number follow as hashes), and of the text. The few words b of a bucket are listed, the most frequent
+    first, and b is a place in that list. A chunk's first row has its ids and what is known of them."""
     waiting, size, at = [], 0, 0
     h = len(plan.words)
     unit = np.log10(plan.total + plan.distinct + 1)
@@ -414,9 +508,13 @@ def _dealt(batches: Iterator[pa.RecordBatch], plan: Dealing, schema: pa.Schema)
             for w, f, u in zip((a, b, s), found, unknown):
                 code = plan.numbers[f[x:y]] if h else np.zeros(y - x, np.int64)
                 code[u] = h + np.searchsorted(hashes, w[x:y][u])
-                codes.append(_pack(code))
+                codes.append(code)
+            listed, at_listed, times = np.unique(codes[1], return_inverse=True, return_counts=True)
+            by_times = np.argsort(-times, kind="stable")
+            codes[1] = np.argsort(by_times)[at_listed]
             texts = text[x:y]
-            codes += [_pack(2 * np.diff(texts, prepend=0) + train[texts]), hashes.tobytes()]
+            codes = [_pack(c) for c in (*codes, 2 * np.diff(texts, prepend=0) + train[texts], listed[by_times])]
+            codes.append(_pack_ascending(hashes))
             lists = [pa.ListArray.from_arrays(pa.array([0, 0 if x else len(ids)], pa.int32()), v) for v in head]
             row = [pa.array([int(bucket[x])]), *[pa.array([c], pa.binary()) for c in codes], pa.array([start]), *lists]
             yield pa.RecordBatch.from_arrays(row, schema.names)
@@ -437,9 +535,20 @@ def _scored(packed: pa.Table, notes: pa.Table, plan: Dealing, shares: Shares) ->
     """Texts with the sums of their scores in one bucket, and texts with the counts of their words without numbers:
     packed, for every row. The bucket has all contexts that end in its words, or notes of them."""
     h, unit = len(plan.words), plan.total + plan.distinct + 1
-    given = {c: pc.fill_null(notes.column(c), 0).to_numpy().astype(np.int64) for c in ("a", "b", "s", "n", "c")}
-    deep = notes.column("a").is_valid().to_numpy()
-    lists = [np.frombuffer(x, np.int64) for x in packed.column("hashes").to_pylist()]
+    none = np.empty(0, np.int64)
+    followers = _unpack_ascending(notes.column("s"))
+    each = [len(x) for x in followers]
+    given = {"s": np.concatenate([none, *followers])}
+    given |= {c: np.concatenate([none, *_unpack(notes.column(c), "<i8")]) for c in "nc"}
+    place = notes.column("place").to_numpy()
+    given["b"] = np.zeros(len(place), np.int64)
+    given["b"][place < 0] = plan.split[-1 - place[place < 0]]
+    given["b"] = np.repeat(given["b"], each)
+    deep = np.repeat(notes.column("a").is_valid().to_numpy(), each)
+    given["a"] = np.zeros(len(deep), np.int64)
+    given["a"][deep] = np.concatenate([none, *_unpack(notes.column("a").drop_null(), "<i8")])
+    del followers
+    lists = _unpack_ascending(packed.column("hashes"))
     known = [given[c] for c in "abs"]
     noted = np.unique(np.concatenate(known))
     rare = np.unique(np.concatenate([*lists, noted[find(plan.words, noted) < 0]]))
@@ -449,8 +558,12 @@ def _scored(packed: pa.Table, notes: pa.Table, plan: Dealing, shares: Shares) ->
         at = find(plan.words, x)
         return np.where(at >= 0, plan.numbers[at] if h else 0, h + np.searchsorted(rare, x))
 
+    def codes(c: str) -> list[np.ndarray]:
+        found = _unpack(packed.column(c))
+        return [listed[x] for x, listed in zip(found, _unpack(packed.column("listed")))] if c == "b" else found
+
     a, b, s = (
-        np.concatenate([np.where(x < h, x, h + np.searchsorted(rare, w)[np.maximum(x - h, 0)] if len(w) else 0) for x, w in zip(_unpack(packed.column(c)), lists)])
+        np.concatenate([np.where(x < h, x, h + np.searchsorted(rare, w)[np.maximum(x - h, 0)] if len(w) else 0) for x, w in zip(codes(c), lists)])
         for c in "abs"
     )
     marked = _unpack(packed.column("text"))
@@ -542,33 +655,29 @@ def whole_scores(docs: DataFrame, shares: Shares = Shares(), size: int = BUCKET)
     often = every.where(F.col("n") > size).toPandas().sort_values("h")
     buckets = 1 + 3 * total // (2 * size)
     parts = np.minimum(1 + often["n"].to_numpy(np.int64) // size, buckets)
-    plan = Dealing(total, distinct, words, numbers, np.sort(n)[::-1].copy(), buckets, often["h"].to_numpy(np.int64), parts)
+    # Portions of about half a bucket, by the positions that can go there.
+    portions = tuple(1 + 2 * int(x) // size for x in (total - n.sum(), often["n"].sum()))
+    plan = Dealing(total, distinct, words, numbers, np.sort(n)[::-1].copy(), buckets, often["h"].to_numpy(np.int64), parts, portions)
     send = spark.sparkContext.broadcast
     shared = send(plan)
-
-    def pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        """Followers of split words (bucket -1, -2 without a number), and the buckets where other words have followers without a number."""
-        _, b, s, text = _histories(batch)
-        split, numbered, train = find(shared.value.split, b) >= 0, find(shared.value.words, s) >= 0, _train(batch)[text]
-        needed = np.where(numbered, split & train, True)
-        b, s, split, numbered, train = b[needed], s[needed], split[needed], numbered[needed], train[needed]
-        return np.where(split, np.where(numbered, -1, -2), shared.value.first(b)), np.where(split, b, 0), s, (split & train).astype(np.int64)
-
-    noted = _counted(docs, ["bucket", "b", "s", "n"], pairs, "followers_1")
-    places = [(int(b), int((f + j) % buckets)) for b, f, k in zip(plan.split, plan.first(plan.split), parts) for j in range(k)]
-    places = F.broadcast(spark.createDataFrame(places, "b long, at long"))
-    all_parts = lambda df: df.drop("bucket").join(places, "b").withColumnRenamed("at", "bucket")
-    columns = ["bucket", "a", "b", "s", "n", "c"]
-    none = F.lit(None).cast("long")
-    rare = every.where(F.col("n") < NUMBERED * total).select(F.col("h").alias("s"), F.col("n").alias("c"))
-    rare = noted.where("bucket != -1").join(rare, "s", "left").withColumn("a", none)
-    of_split = noted.where("bucket < 0")
-    notes = rare.where("bucket >= 0").select(columns)
-    notes = notes.unionByName(all_parts(rare.where("bucket = -2")).select(columns))
-    notes = notes.unionByName(all_parts(noted.where("bucket = -1")).select("bucket", none.alias("a"), "b", "s", "n", none.alias("c")))
-    hot = of_split.where((F.col("n") > size) & (F.col("s") != int(END))).select("b", "s").toPandas()
+    noted_schema = to_arrow_schema(StructType.fromDDL(f"{_NOTES}, hot array<long>"))
+
+    def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _noted(batches, shared.value)
+
+    def merge(parts: pa.Table) -> pa.Table:
+        return _merged(parts, shared.value, size, noted_schema)
+
+    noted = docs.select("t", "train").mapInArrow(note, "portion long, place binary, s binary, n binary")
+    noted = kept(noted.groupBy("portion").applyInArrow(merge, f"{_NOTES}, hot array<long>"), "followers_1")
+    places = [(-1 - i, int((f + j) % buckets)) for i, (f, k) in enumerate(zip(plan.first(plan.split), parts)) for j in range(k)]
+    places = F.broadcast(spark.createDataFrame(places, "place long, bucket long"))
+    columns = ["bucket", "place", "a", "s", "n", "c"]
+    notes = noted.where("place >= 0").withColumn("bucket", F.col("place")).select(columns)
+    notes = notes.unionByName(noted.where("place < 0").join(places, "place").select(columns))
+    hot = noted.where(F.size("hot") > 0).select("place", F.explode("hot").alias("s")).toPandas()
     if len(hot):
-        plan.pairs = np.sort(pair_hash(hot["b"].to_numpy(np.int64), hot["s"].to_numpy(np.int64)))
+        plan.pairs = np.sort(pair_hash(plan.split[-1 - hot["place"].to_numpy(np.int64)], hot["s"].to_numpy(np.int64)))
         shared = send(plan)
 
         def triples(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -576,13 +685,16 @@ def whole_scores(docs: DataFrame, shares: Shares = Shares(), size: int = BUCKET)
             inside = (find(shared.value.pairs, pair_hash(a, b)) >= 0) & (b != END) & _train(batch)[text]
             return a[inside], b[inside], s[inside], np.ones(int(inside.sum()), np.int64)
 
-        deep = _counted(docs, ["a", "b", "s", "n"], triples, "followers_2").withColumn("c", none)
-        notes = notes.unionByName(all_parts(deep).select(columns))
+        def note_deep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _deep_notes(batches, shared.value)
+
+        deep = _counted(docs, ["a", "b", "s", "n"], triples, "followers_2").mapInArrow(note_deep, _NOTES)
+        notes = notes.unionByName(deep.join(places, "place").select(columns))
 
     kind = docs.schema["id"].dataType
     head = StructType([StructField("id", ArrayType(kind))])
     head = StructType([*head, *StructType.fromDDL("n_tokens array<long>, n_known array<long>, base_score array<double>")])
-    packing = StructType([*StructType.fromDDL("bucket long, a binary, b binary, s binary, text binary, hashes binary, start long"), *head])
+    packing = StructType([*StructType.fromDDL("bucket long, a binary, b binary, s binary, text binary, listed binary, hashes binary, start long"), *head])
     parts_of = StructType([*StructType.fromDDL("start long, text binary, score binary, rare binary, times binary"), *head])
     result = StructType([StructField("id", kind), *StructType.fromDDL("n_tokens long, n_known long, base_score double, score double")])
     names, part_names, result_names = (to_arrow_schema(x) for x in (packing, parts_of, result))

@@ -725,6 +725,47 @@ def test_whole_suffix_tree_of_odd_texts(odd, empty):
     assert (alone.n_known, alone.train_tokens, alone.base_score, alone.score) == (0, 0, 0, 0)
 
 
+def shuffle_bytes(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i) for i in range(files.size()))
+    return sum(f.length() for f in names if f.getName().startswith("shuffle_"))
+
+
+def test_whole_suffix_tree_shuffles_little(spark, monkeypatch):
+    """Positions travel packed, and symbols without a number meet their counts where they are listed, without a join."""
+    monkeypatch.setattr(suffix_tree, "NUMBERED", 2e-5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    before = shuffle_bytes(spark)
+    rows = suffix_tree.score_report(docs, size=50_000).collect()
+    assert shuffle_bytes(spark) - before < 14 * sum(r.n_tokens for r in rows)
+
+
+def test_followers_are_listed_once_with_their_counts(monkeypatch):
+    """In portions by symbol; those after a split word go by that word, whose pairs of more than `size` positions are hot."""
+    hashed = lambda x: suffix_tree.symbols(pa.RecordBatch.from_pydict({"t": [x]}))[0][:-1]
+    the, fox, owl = (int(hashed(w)[0]) for w in ("the", "fox", "owl"))
+    numbered = np.sort(np.array([0, the]))
+    plan = suffix_tree.Dealing(99, 4, numbered, np.array([1, 0]), np.array([50, 40]), 5, np.array([the]), np.array([2]), (3, 2))
+    texts = ["the fox " * 3 + "owl fox", "the the owl", "a fox"]
+    batch = pa.RecordBatch.from_pydict({"t": texts, "train": [True, True, False]})
+    parts = pa.Table.from_batches(list(suffix_tree._noted(iter([batch, batch]), plan)))
+    schema = pa.schema([("place", pa.int64()), *[(c, pa.binary()) for c in "asnc"], ("hot", pa.list_(pa.int64()))])
+    found = {}
+    for portion in set(parts["portion"].to_pylist()):
+        merged = suffix_tree._merged(parts.filter(pa.array(parts["portion"].to_numpy() == portion)), plan, 5, schema)
+        lists = [suffix_tree._unpack_ascending(merged["s"]), *(suffix_tree._unpack(merged[c], "<i8") for c in "nc")]
+        for place, hot, s, n, c in zip(merged["place"].to_pylist(), merged["hot"].to_pylist(), *lists):
+            assert hot == ([fox] if place == -1 and fox in s else [])
+            for key, *values in zip(s.tolist(), n.tolist(), c.tolist()):
+                assert (place, key) not in found
+                found[place, key] = tuple(values)
+    bucket = lambda w: int(plan.first(hashed(w))[0])
+    start = int(plan.first(np.array([0]))[0])
+    want = {(-1, fox): (6, 8), (-1, owl): (2, 4), (-1, the): (2, 0), (bucket("owl"), fox): (0, 8), (bucket("fox"), owl): (0, 4)}
+    want |= {(start, int(hashed("a")[0])): (0, 0), (bucket("a"), fox): (0, 8)}
+    assert found == want
+
+
 # ---- queries -----------------------------------------------------------------------------
 
 
