@@ -47,9 +47,11 @@ END = np.int64(0)
 _FLUSH = 4_000_000
 #: Words of at least this share of all tokens have numbers that every task knows.
 NUMBERED = 5e-7
-#: Positions of the largest words and pairs that are not parted, and those that a task gathers as a chunk before it deals them.
+#: Positions of the largest words and pairs that are not parted, those that a task gathers as a chunk before it deals them,
+#: and those of a chunk that are looked up at once.
 BUCKET = 1_000_000
-_CHUNK = 1_000_000
+_CHUNK = 4_000_000
+_SLICE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -477,6 +479,13 @@ def _deep_notes(batches: Iterator[pa.RecordBatch], plan: Dealing) -> Iterator[pa
         yield from packed()
 
 
+def _with_histories(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the two words before, and of the symbols at the places `at`. What begins a text has an END before it, as
+    each text is closed by one; the first text has the last place before it, which is an END as well."""
+    before = at - 1
+    return np.where(words[before] == END, before, at - 2), before, at
+
+
 def _dealt(batches: Iterator[pa.RecordBatch], plan: Dealing, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """The positions of a task's texts, chunk by chunk, packed by bucket: numbers of a, b and the symbol (words
     without a number follow as hashes), and of the text. The few words b of a bucket are listed, the most frequent
@@ -487,46 +496,50 @@ def _dealt(batches: Iterator[pa.RecordBatch], plan: Dealing, schema: pa.Schema)
 
     def packed() -> Iterator[pa.RecordBatch]:
         ids = pa.concat_arrays([w[0] for w in waiting])
-        train = np.concatenate([w[1] for w in waiting])
-        firsts = np.cumsum([0, *[len(w[0]) for w in waiting]])
-        a, b, s = (np.concatenate([w[2][k] for w in waiting]) for k in range(3))
-        text = np.concatenate([w[2][3] + first for w, first in zip(waiting, firsts)])
+        train, lengths, words = (np.concatenate([w[k] for w in waiting]) for k in (1, 2, 3))
+        waiting.clear()
+        text = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
         start = int(row_ids(at, 1)[0])
-        bucket = plan.bucket(a, b, start + text)
+        codes, bucket = np.empty(len(words), np.int32), np.empty(len(words), np.int32)
+        sums = np.zeros((2, len(ids)))
+        for x in range(0, len(words), _SLICE):
+            here = np.arange(x, min(x + _SLICE, len(words)))
+            a, b, s = (words[k] for k in _with_histories(words, here))
+            bucket[here] = plan.bucket(a, b, start + text[here].astype(np.int64))
+            found = find(plan.words, s)
+            known = found >= 0
+            codes[here] = np.where(known, plan.numbers[found] if h else 0, -1)
+            logs = np.log10(plan.counts[codes[here]] * known + 1.0) if h else np.zeros(len(s))
+            first, last = text[here[0]], text[here[-1]] + 1
+            sums[:, first:last] += [np.bincount(text[here] - first, w, last - first) for w in (known, logs - unit)]
+        head = [ids, *[pa.array(x.astype(k)) for x, k in zip((lengths, *sums), (np.int64, np.int64, float))]]
         order = np.argsort(bucket, kind="stable")
-        a, b, s, text, bucket = a[order], b[order], s[order], text[order], bucket[order]
-        found = [find(plan.words, x) for x in (a, b, s)]
-        known = found[2] >= 0
-        logs = np.log10(plan.counts[plan.numbers[found[2]]] * known + 1.0) if h else np.zeros(len(s))
-        sums = [np.bincount(text, x, minlength=len(ids)) for x in (None, known, logs - unit)]
-        head = [ids, *[pa.array(x.astype(k)) for x, k in zip(sums, (np.int64, np.int64, float))]]
-        edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-        for x, y in zip(edges, edges[1:]):
-            unknown = [f[x:y] < 0 for f in found]
-            hashes = np.unique(np.concatenate([w[x:y][u] for w, u in zip((a, b, s), unknown)]))
-            codes = []
-            for w, f, u in zip((a, b, s), found, unknown):
-                code = plan.numbers[f[x:y]] if h else np.zeros(y - x, np.int64)
-                code[u] = h + np.searchsorted(hashes, w[x:y][u])
-                codes.append(code)
-            listed, at_listed, times = np.unique(codes[1], return_inverse=True, return_counts=True)
+        bucket = bucket[order]
+        for x, y in _runs(bucket):
+            triple = _with_histories(words, order[x:y])
+            numbers = [codes[k].astype(np.int64) for k in triple]
+            hashes = np.unique(np.concatenate([words[k[n < 0]] for k, n in zip(triple, numbers)]))
+            for k, n in zip(triple, numbers):
+                n[n < 0] = h + np.searchsorted(hashes, words[k[n < 0]])
+            listed, at_listed, times = np.unique(numbers[1], return_inverse=True, return_counts=True)
             by_times = np.argsort(-times, kind="stable")
-            codes[1] = np.argsort(by_times)[at_listed]
-            texts = text[x:y]
-            codes = [_pack(c) for c in (*codes, 2 * np.diff(texts, prepend=0) + train[texts], listed[by_times])]
-            codes.append(_pack_ascending(hashes))
+            numbers[1] = np.argsort(by_times)[at_listed]
+            texts = text[order[x:y]].astype(np.int64)
+            packs = [_pack(c) for c in (*numbers, 2 * np.diff(texts, prepend=0) + train[texts], listed[by_times])]
+            packs.append(_pack_ascending(hashes))
             lists = [pa.ListArray.from_arrays(pa.array([0, 0 if x else len(ids)], pa.int32()), v) for v in head]
-            row = [pa.array([int(bucket[x])]), *[pa.array([c], pa.binary()) for c in codes], pa.array([start]), *lists]
+            row = [pa.array([int(bucket[x])]), *[pa.array([c], pa.binary()) for c in packs], pa.array([start]), *lists]
             yield pa.RecordBatch.from_arrays(row, schema.names)
 
     for whole in batches:
         for batch in arrow_batches(whole):
-            waiting.append((batch.column("id"), _train(batch), _histories(batch)))
-            size += len(waiting[-1][2][0])
+            words, ends = symbols(batch)
+            waiting.append((batch.column("id"), _train(batch), np.diff(ends, prepend=-1), words))
+            size += len(words)
             if size > _CHUNK:
+                texts = sum(len(w[0]) for w in waiting)
                 yield from packed()
-                at += sum(len(w[0]) for w in waiting)
-                waiting, size = [], 0
+                at, size = at + texts, 0
     if waiting:
         yield from packed()
 

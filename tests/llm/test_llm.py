@@ -740,7 +740,7 @@ def test_whole_suffix_tree_shuffles_little(spark, monkeypatch):
     assert shuffle_bytes(spark) - before < 14 * sum(r.n_tokens for r in rows)
 
 
-def test_followers_are_listed_once_with_their_counts(monkeypatch):
+def test_followers_are_listed_once_with_their_counts():
     """In portions by symbol; those after a split word go by that word, whose pairs of more than `size` positions are hot."""
     hashed = lambda x: suffix_tree.symbols(pa.RecordBatch.from_pydict({"t": [x]}))[0][:-1]
     the, fox, owl = (int(hashed(w)[0]) for w in ("the", "fox", "owl"))
@@ -766,6 +766,46 @@ def test_followers_are_listed_once_with_their_counts(monkeypatch):
     assert found == want
 
 
+def test_positions_are_dealt_with_their_histories(monkeypatch):
+    """A chunk of many batches is one row per bucket, and every position has the two words before it, whatever the slices."""
+    texts = ["", "the fox the fox the owl", None, "the", "a fox a fox", "the the the", ""]
+    batches = [
+        pa.RecordBatch.from_pydict({"id": [2 * k, 2 * k + 1], "t": pa.array(texts[k : k + 2], pa.string()), "train": [k % 2 == 0, True]})
+        for k in range(len(texts) - 1)
+    ]
+    histories = [suffix_tree._histories(b) for b in batches]
+    the = int(histories[1][2][0])
+    numbered = np.sort(np.array([0, the]))
+    counts = np.where(numbered == the, 50, 40)
+    count = {"the": 50, None: 40}
+    words = [words_of(x or "") + [None] for k in range(len(texts) - 1) for x in texts[k : k + 2]]
+    plan = suffix_tree.Dealing(99, 4, numbered, np.argsort(np.argsort(-counts)), np.sort(counts)[::-1], 3, np.array([the]), np.array([2]), (1, 1))
+    packs = [(c, pa.binary()) for c in ("a", "b", "s", "text", "listed", "hashes")]
+    head = [("id", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())), ("base_score", pa.list_(pa.float64()))]
+    schema = pa.schema([("bucket", pa.int64()), *packs, ("start", pa.int64()), *head])
+    want = Counter()
+    for k, (a, b, s, text) in enumerate(histories):
+        want.update(zip(a.tolist(), b.tolist(), s.tolist(), (2 * k + text).tolist(), suffix_tree._train(batches[k])[text].tolist()))
+    for slice_ in (suffix_tree._SLICE, 5, 1):
+        monkeypatch.setattr(suffix_tree, "_SLICE", slice_)
+        got = pa.Table.from_batches(list(suffix_tree._dealt(iter(batches), plan, schema)))
+        assert len(set(got["bucket"].to_pylist())) == got.num_rows <= 3
+        word = np.empty(2, np.int64)
+        word[plan.numbers] = plan.words
+        found = Counter()
+        columns = (suffix_tree._unpack(got[c]) for c in ("a", "b", "s", "text", "listed"))
+        for a, b, s, text, listed, hashes in zip(*columns, suffix_tree._unpack_ascending(got["hashes"])):
+            all_words = np.concatenate([word, hashes])
+            rows = [all_words[x].tolist() for x in (a, listed[b], s)]
+            found.update(zip(*rows, np.cumsum(text >> 1).tolist(), (text & 1).astype(bool).tolist()))
+        assert found == want
+        first = got.slice(0, 1).to_pylist()[0]
+        assert first["n_tokens"] == [len(x) for x in words]
+        assert first["n_known"] == [sum(w in count for w in x) for x in words]
+        base = [sum(math.log10((count.get(w, 0) + 1) / 104) for w in x) for x in words]
+        assert np.allclose(first["base_score"], base, rtol=1e-12)
+
+
 # ---- queries -----------------------------------------------------------------------------
 
 
