@@ -726,18 +726,24 @@ def test_whole_suffix_tree_of_odd_texts(odd, empty):
 
 
 def shuffle_bytes(spark):
+    """Bytes of the files of every shuffle that is still there, by its number."""
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-    names = (files.apply(i) for i in range(files.size()))
-    return sum(f.length() for f in names if f.getName().startswith("shuffle_"))
+    found = Counter()
+    for i in range(files.size()):
+        if name := re.fullmatch(r"shuffle_(\d+)_.*", files.apply(i).getName()):
+            found[int(name[1])] += files.apply(i).length()
+    return found
 
 
 def test_whole_suffix_tree_shuffles_little(spark, monkeypatch):
     """Positions travel packed, and symbols without a number meet their counts where they are listed, without a join."""
     monkeypatch.setattr(suffix_tree, "NUMBERED", 2e-5)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    before = shuffle_bytes(spark)
-    rows = suffix_tree.score_report(docs, size=50_000).collect()
-    assert shuffle_bytes(spark) - before < 14 * sum(r.n_tokens for r in rows)
+    df = suffix_tree.score_report(docs, size=50_000)
+    last = max(shuffle_bytes(spark))
+    rows = df.collect()  # while `df` lives, so do the files of its shuffles
+    new = {k: n for k, n in shuffle_bytes(spark).items() if k > last}
+    assert sum(new.values()) < 13 * sum(r.n_tokens for r in rows), new
 
 
 def test_followers_are_listed_once_with_their_counts():
