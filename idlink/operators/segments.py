@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from idlink.functions import dates, scores
 from idlink.operators import dyadic
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import keyed_join, spread_join
+from idlink.operators.skew import crowded_keys, keyed_join, spread_join
 from idlink.schemas import SEGMENT_KEY
 
 Stage = Callable[..., DataFrame]
@@ -46,12 +46,6 @@ def undominated_links(links: DataFrame, keys: Sequence[str]) -> DataFrame:
     return kept.drop("_latest")
 
 
-def _crowded(links: DataFrame, keys: Sequence[str], most: int) -> DataFrame | None:
-    """Keys with more links, or None if there are none."""
-    keys_of = links.groupBy(*keys).count().where(F.col("count") > most).select(*keys)
-    return None if keys_of.isEmpty() else keys_of
-
-
 def candidate_links(
     names: DataFrame,
     links: DataFrame,
@@ -92,8 +86,8 @@ def candidate_links(
     keyed = segments.withColumn("_cusip_key", F.coalesce("ncusip6", F.lit("")))
     cusip_links = only_by_cusip.withColumn("_cusip_key", F.col("cusip6"))
     # Without a stage, counting would reduce the links once more.
-    many = _crowded(any_cusip, ["permno"], paired) if stage else None
-    many_cusip = _crowded(cusip_links, ["permno", "_cusip_key"], paired) if stage else None
+    many = crowded_keys(any_cusip, ["permno"], paired) if stage else None
+    many_cusip = crowded_keys(cusip_links, ["permno", "_cusip_key"], paired) if stage else None
     pairs = []
     for keys, left, right, crowd, how in (
         (["permno"], segments, any_cusip, many, "left"),
@@ -102,7 +96,7 @@ def candidate_links(
         if crowd is not None:
             hot = spread_join(right, crowd, keys, _LINK_ORDER)
             crowded = spread_join(left, crowd, keys, ["namedt", "nameendt"])
-            pairs.append(dyadic.touching_pairs(crowded, hot, keys, ("namedt", "nameendt"), ("linkdt", "linkenddt")))
+            pairs.append(dyadic.touching_pairs(crowded, hot, keys, ("namedt", "nameendt"), ("linkdt", "linkenddt"), paired=0))
             right = right.join(crowd, keys, "left_anti")
         pairs.append(keyed_join(left, right, keys, how, touching))
     joined = reduce(lambda x, y: x.unionByName(y), [p.drop("_cusip_key") for p in pairs])

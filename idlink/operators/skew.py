@@ -23,8 +23,25 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from idlink.session import shuffles_dropped
+
 SLICES = 2
 NULL_SLICES = 1 << 20
+#: Bytes of a row of keys in a broadcast, roughly.
+KEY_BYTES = 64
+
+
+def crowded_keys(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame | None:
+    """Keys with more than `most` rows, or None if there are none.
+
+    They are counted here. Spark cannot know their number before it has shuffled what they are joined to, so they are
+    marked for a broadcast if they are within its own limit for that.
+    """
+    found = df.groupBy(*keys).count().where(F.col("count") > most).select(*keys)
+    with shuffles_dropped(df.sparkSession):
+        n = found.count()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return None if not n else F.broadcast(found) if n * KEY_BYTES <= limit else found
 
 
 def spread_join(

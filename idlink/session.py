@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
 import uuid
+from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +45,32 @@ def get_spark(app: str = "idlink", master: str | None = None, **extra: str) -> S
     return builder.getOrCreate()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock = threading.Lock()
+_within: Counter[str] = Counter()  # session -> blocks of `shuffles_dropped` being run, as stages are also written by several threads
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the actions within go as soon as each of them is over.
+
+    Otherwise they stay until the driver happens to collect its garbage, so a query that writes several stages holds the
+    shuffles of all of them at once. Only for frames that no later action takes up again: it would shuffle anew.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        _within[session] += 1
+        if _within[session] == 1:
+            spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            _within[session] -= 1
+            if not _within[session]:
+                spark.conf.unset(_CLEANUP)
+
+
 _local_dirs: dict[str, str] = {}  # application -> fallback folder of a local session
 
 

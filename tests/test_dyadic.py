@@ -90,6 +90,30 @@ def test_only_touching_pairs_are_made(spark):
     assert dyadic.touching_pairs(a, b, ["k"], ("s", "e"), ("t", "u")).count() == 3 * n - 2
 
 
+def executed_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_ranges_of_a_key_are_not_cut_into_blocks(spark):
+    rng = random.Random(12)
+    left, right = (random_ranges(rng, 400, 200, range(40)) for _ in range(2))
+    a, b = pair_frames(spark, left, right)
+    pairs = dyadic.touching_pairs(a, b, ["k"], ("s", "e"), ("t", "u"))
+    plan = executed_plan(pairs)
+    assert "Generate" not in plan and "Broadcast" not in plan
+    assert sorted((r.i, r.j) for r in pairs.collect()) == plain_pairs(left, right)
+
+
+def test_blocks_are_never_broadcast(spark):
+    """Spark takes ranges for as large as before they were cut into blocks, and used to send them to the driver."""
+    rng = random.Random(13)
+    a, b = pair_frames(spark, *(random_ranges(rng, 300, 200, [1, 1, 1, 2]) for _ in range(2)))
+    for df in (dyadic.touching_pairs(a, b, ["k"], ("s", "e"), ("t", "u")), dyadic.touching_pairs(a, b, ["k"], ("s", "e"), ("t", "u"), 0)):
+        joins = [line for line in executed_plan(df).splitlines() if "Join" in line and "_block" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 @pytest.mark.parametrize("case", list(CASES)[1:], ids=list(CASES)[1:])
 def test_crowded_securities_have_the_same_best_links(spark, case):
     names, links = random_input(*CASES[case])
