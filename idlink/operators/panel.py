@@ -8,14 +8,14 @@ instead of pairs of segments and dates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from idlink.functions import dates, scores
 from idlink.operators import dyadic
 from idlink.operators.cascade import CUSIP6, TICKER
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import keyed_join, spread_join
+from idlink.operators.skew import crowded_keys, keyed_join, spread_join
 
 PANEL_COLUMNS = [
     "date", "ticker_sp500", "cusip_sp500", "gvkey", "permno", "ticker_crsp", "company_name",
@@ -32,9 +32,12 @@ GRID_COLUMNS = [
 _PAYLOAD = ["gvkey", "permno", "ticker", "comnam", "is_primary_permno", "is_common", "exch", "linkprim", "linktype"]
 _NEED = ["key_kind", "key", "snapshot_date"]
 _PLACE = ["permno", "namedt", "nameendt"]
-#: Segments of a key up to which its dates are paired with them. The envelope has some 70 rows for each segment and
-#: 20 for each date, so it pays where a segment is valid on more dates than that, or where keys are far larger.
+#: Segments of a key up to which its dates are paired with them.
 PAIRED = 2048
+#: Segments of a firm under a key up to which they are gathered in one row.
+LISTED = 64
+#: Parts in which the firms of a key are dealt out.
+FIRM_PARTS = 64
 
 
 def panel_keys(master: DataFrame) -> DataFrame:
@@ -105,36 +108,87 @@ def _by_pairs(segments: DataFrame, needs: DataFrame) -> DataFrame:
     )
 
 
-def firm_pieces(segments: DataFrame) -> DataFrame:
+def _firm_keys() -> dict[str, Column]:
+    return {"_firm": F.coalesce("gvkey", F.lit("")), "_none": F.col("gvkey").isNull()}
+
+
+def _offer(score: Column, segment: Column, *place: Column) -> Column:
+    """A segment with what it is ranked by: the score, then its place."""
+    return F.struct((-score).alias("order"), *[p.alias(c) for p, c in zip(place, _PLACE)], segment.alias("segment"))
+
+
+def firm_pieces(segments: DataFrame, low: str | None = None, high: str | None = None, listed: int = LISTED) -> DataFrame:
     """What a firm has to offer under a key, between the days on which that changes.
 
     Rows (key_kind, key, gvkey, day, until): the number of the firm's segments valid then, the first of
     them by either score and the first by security. Scores do not depend on the date, so these change only
-    where a segment begins or ends. Segments are added up per dyadic block, and every such day merges
-    the blocks above it: rows grow with the segments, times the levels of the blocks.
+    where a segment begins or ends. `low` and `high` name integer columns to take instead of the days of
+    `valid_from` and `valid_to`.
+
+    A firm's up to `listed` segments under a key are gathered in one row, so they are shuffled once and no wider than
+    they are. Firms with more are counted first; theirs are added up per dyadic block, and every such day
+    merges the blocks above it: rows grow with the segments, times the levels of the blocks.
     """
-    firm = {"_firm": F.coalesce("gvkey", F.lit("")), "_none": F.col("gvkey").isNull()}
-    keys = ["key_kind", "key", *firm]
-    payload = F.struct(*_PAYLOAD, "permno_score", "gvkey_score")
-    ranges = segments.withColumns({**firm, "_low": dyadic.day_number(F.col("valid_from")), "_high": dyadic.day_number(F.col("valid_to"))})
+    days = {n: F.col(c) if c else dyadic.day_number(F.col(d)) for n, c, d in (("_low", low, "valid_from"), ("_high", high, "valid_to"))}
+    ranges = segments.withColumns({**_firm_keys(), **days})
+    keys = ["key_kind", "key", *_firm_keys()]
+    crowd = crowded_keys(ranges, keys, listed)
+    if crowd is None:
+        pieces = _listed_pieces(ranges, keys)
+    else:
+        few = _listed_pieces(ranges.join(crowd, keys, "left_anti"), keys)
+        pieces = few.unionByName(_block_pieces(spread_join(ranges, crowd, keys, ["permno", "namedt"]), keys))
+    gvkey = F.when(~F.col("_none"), F.col("_firm")).alias("gvkey")
+    return pieces.select("key_kind", "key", "day", "until", "n", "by_firm", "by_security", "first_seen", gvkey)
+
+
+def _listed_pieces(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Firms lie together by key and part, so that a task has few keys, and later steps shrink within it."""
+    part = F.pmod(F.xxhash64("_firm"), F.lit(FIRM_PARTS)).cast("int")
+    segment = F.struct(*_PAYLOAD, "permno_score", "gvkey_score").alias("segment")
+    firms = (
+        ranges.withColumn("_part", part)
+        .repartition("key_kind", "key", "_part")
+        .groupBy("key_kind", "key", "_part", *keys[2:])
+        .agg(F.collect_list(F.struct("_low", "_high", "namedt", "nameendt", segment)).alias("_s"))
+    )
+    bounds = F.flatten(F.transform("_s", lambda x: F.array(x["_low"], x["_high"])))
+    cut = firms.withColumn("_days", F.array_sort(F.array_distinct(bounds)))
+    valid = lambda day: F.filter("_s", lambda x: (x["_low"] <= day) & (x["_high"] > day))
+    piece = lambda day, i: F.struct(day.alias("day"), F.get("_days", i + 1).alias("until"), valid(day).alias("valid"))
+    pieces = cut.select(*keys, F.explode(F.transform(F.slice("_days", F.lit(1), F.size("_days") - 1), piece)).alias("_p"))
+    first = lambda f: F.array_min(F.transform("_p.valid", f))
+    offer = lambda score: lambda x: _offer(x["segment"][score], x["segment"], x["segment"]["permno"], x["namedt"], x["nameendt"])
+    return pieces.where(F.size("_p.valid") > 0).select(
+        *keys,
+        "_p.day",
+        "_p.until",
+        F.size("_p.valid").cast("long").alias("n"),
+        first(offer("gvkey_score")).alias("by_firm"),
+        first(offer("permno_score")).alias("by_security"),
+        first(lambda x: F.struct(x["segment"]["permno"].alias("permno"), x["namedt"].alias("namedt"))).alias("first_seen"),
+    )
+
+
+def _block_pieces(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    payload, place = F.struct(*_PAYLOAD, "permno_score", "gvkey_score"), [F.col(c) for c in _PLACE]
     blocks = (
         dyadic.in_ranges(ranges, "_low", "_high")
         .groupBy(*keys, dyadic.BLOCK)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.min(F.struct((-F.col("gvkey_score")).alias("order"), *_PLACE, payload.alias("segment"))).alias("by_firm"),
-            F.min(F.struct((-F.col("permno_score")).alias("order"), *_PLACE, payload.alias("segment"))).alias("by_security"),
+            F.min(_offer(F.col("gvkey_score"), payload, *place)).alias("by_firm"),
+            F.min(_offer(F.col("permno_score"), payload, *place)).alias("by_security"),
             F.min(F.struct("permno", "namedt")).alias("first_seen"),
         )
     )
     # At most one row per day and firm under a key, however many segments there are.
     days = ranges.select(*keys, F.explode(F.array("_low", "_high")).alias("day")).distinct()
     days = days.withColumn("until", F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))).where("until IS NOT NULL")
-    found = keyed_join(dyadic.on_day(days, "day"), blocks, [*keys, dyadic.BLOCK])
-    merged = found.groupBy(*keys, "day", "until").agg(
+    found = dyadic.block_join(dyadic.on_day(days, "day"), blocks, keys)
+    return found.groupBy(*keys, "day", "until").agg(
         F.sum("n").alias("n"), *[F.min(c).alias(c) for c in ("by_firm", "by_security", "first_seen")]
     )
-    return merged.withColumn("gvkey", F.when(~F.col("_none"), F.col("_firm"))).drop(*firm)
 
 
 def _by_envelope(segments: DataFrame, needs: DataFrame) -> DataFrame:

@@ -32,16 +32,21 @@ KEY_BYTES = 64
 
 
 def crowded_keys(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame | None:
-    """Keys with more than `most` rows, or None if there are none.
+    """Keys with more than `most` rows, or None if there are none. They are counted here."""
+    return counted(df.groupBy(*keys).count().where(F.col("count") > most).select(*keys))
 
-    They are counted here. Spark cannot know their number before it has shuffled what they are joined to, so they are
-    marked for a broadcast if they are within its own limit for that.
+
+def counted(small: DataFrame) -> DataFrame | None:
+    """The small side of a join, marked for a broadcast if its rows are within Spark's own limit, else for a merge; None if empty.
+
+    Spark only estimates sizes before it has run, and takes packed files and rows to be exploded for far
+    smaller than they are. It would shuffle the large side for nothing, or send it to the driver.
     """
-    found = df.groupBy(*keys).count().where(F.col("count") > most).select(*keys)
-    with shuffles_dropped(df.sparkSession):
-        n = found.count()
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return None if not n else F.broadcast(found) if n * KEY_BYTES <= limit else found
+    spark = small.sparkSession
+    with shuffles_dropped(spark):
+        n = small.count()
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return None if not n else F.broadcast(small) if n * KEY_BYTES <= limit else small.hint("merge")
 
 
 def spread_join(

@@ -188,6 +188,20 @@ def test_hot_key_needs_no_pairs(spark):
     assert max(r[4] for r in envelope) > 50
 
 
+def test_gathered_firms_have_the_pieces_of_blocks(spark):
+    rows = hot_segments(spark, 600, 12).unionByName(hot_segments(spark, 90, 80).withColumn("key", F.lit("COLD"))).cache()
+    found = [sorted(str(r) for r in panel.firm_pieces(rows, listed=n).collect()) for n in (0, 30, 10**6)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 500
+
+
+def test_firms_with_few_segments_are_not_cut_into_blocks(spark):
+    """Before, blocks of all firms were made, and sent to the driver."""
+    plan = executed_plan(panel.firm_pieces(hot_segments(spark, 600, 100)))
+    assert "_block" not in plan and "Broadcast" not in plan
+    joins = [line for line in executed_plan(panel.firm_pieces(hot_segments(spark, 600, 2))).splitlines() if "Join" in line and "_block" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_pieces_of_a_firm_do_not_overlap(spark):
     pieces = panel.firm_pieces(hot_segments(spark, 300, 5)).select("key", "gvkey", "day", "until").collect()
     by_firm = {}
