@@ -15,7 +15,7 @@ from idlink.functions import dates, scores
 from idlink.operators import dyadic
 from idlink.operators.cascade import CUSIP6, TICKER
 from idlink.operators.ranking import asc, desc, keep_first
-from idlink.operators.skew import crowded_keys, keyed_join, spread_join
+from idlink.operators.skew import counted, crowded_keys, spread_join
 
 PANEL_COLUMNS = [
     "date", "ticker_sp500", "cusip_sp500", "gvkey", "permno", "ticker_crsp", "company_name",
@@ -191,18 +191,47 @@ def _block_pieces(ranges: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _date_ranks(needs: DataFrame) -> DataFrame:
+    """(day, rank) for every day from the first to after the last date asked for: the number of asked dates before it.
+
+    Dates reach from 1677 to 2262, so there are at most 213,658 such days: a proven bound for the broadcasts, and for the
+    window over the dates alone.
+    """
+    dates_asked = needs.select(dyadic.day_number(F.col("snapshot_date")).alias("day")).distinct()
+    order = Window.orderBy("day")
+    ranked = dates_asked.select(
+        F.coalesce(F.lag("day").over(order) + 1, "day").alias("_since"), "day", F.lead("day").over(order).alias("_next"), F.row_number().over(order).alias("_n")
+    )
+    until = F.when(F.col("_next").isNull(), F.col("day") + 1).otherwise(F.col("day"))
+    days = ranked.select("day", "_n", F.explode(F.sequence("_since", until)).alias("_d"))
+    return days.select(F.col("_d").alias("day"), (F.col("_n") - (F.col("_d") <= F.col("day")).cast("int")).alias("rank"))
+
+
 def _by_envelope(segments: DataFrame, needs: DataFrame) -> DataFrame:
     """As `_by_pairs`, without pairs: the pieces of all firms are added up per block again, and a date
-    merges the blocks above it. A firm has one piece on a day, so pieces count firms."""
+    merges the blocks above it. A firm has one piece on a day, so pieces count firms.
+
+    Days are counted in dates asked for here, so blocks are few, and segments valid on none of them drop out.
+    """
+    kinds = ["key_kind", "key"]
+    days = needs.withColumn("_day", dyadic.day_number(F.col("snapshot_date")))
+    span = days.groupBy(*kinds).agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
+    span = counted(span) or span
+    ranges = segments.withColumns({"_low": dyadic.day_number(F.col("valid_from")), "_high": dyadic.day_number(F.col("valid_to"))})
+    held = spread_join(ranges, span, kinds, ["permno", "namedt"], "inner", (F.col("_low") <= F.col("_last")) & (F.col("_high") > F.col("_first")))
+    held = held.withColumns({"_low": F.greatest("_low", "_first"), "_high": F.least("_high", F.col("_last") + 1)}).drop("_first", "_last")
+    ranks = _date_ranks(needs)
+    for c, n in (("_low", "_from"), ("_high", "_to")):
+        held = held.join(F.broadcast(ranks.withColumnsRenamed({"day": c, "rank": n})), c).drop(c)
     order = F.struct(F.col("gvkey").isNull().alias("none"), F.col("by_firm.order").alias("score"), "first_seen")
     best = F.struct(order.alias("order"), F.col("by_firm.segment").alias("by_firm"), F.col("by_security.segment").alias("by_security"))
     blocks = (
-        dyadic.in_ranges(firm_pieces(segments), "day", "until")
-        .groupBy("key_kind", "key", dyadic.BLOCK)
+        dyadic.in_ranges(firm_pieces(held.where("_from < _to"), "_from", "_to"), "day", "until")
+        .groupBy(*kinds, dyadic.BLOCK)
         .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("firms"), F.min(best).alias("best"))
     )
-    asked = dyadic.on_day(needs.withColumn("_day", dyadic.day_number(F.col("snapshot_date"))), "_day")
-    found = keyed_join(asked, blocks, ["key_kind", "key", dyadic.BLOCK])
+    asked = dyadic.on_day(days.join(F.broadcast(ranks.withColumnRenamed("day", "_day")), "_day"), "rank")
+    found = dyadic.block_join(asked, blocks, kinds)
     return (
         found.groupBy(*_NEED)
         .agg(F.sum("n").alias("n_candidates"), F.sum("firms").alias("n_firms"), F.min("best").alias("best"))
@@ -224,13 +253,15 @@ def best_by_key_date(
     """
     segments, needs = panel_keys(master), key_needs(snapshots)
     kinds = ["key_kind", "key"]
-    popular = segments.groupBy(*kinds).count().where(F.col("count") > paired).select(*kinds)
-    if popular.isEmpty():
+    popular = crowded_keys(segments, kinds, paired) if paired else None
+    if not paired:
+        best = _by_envelope(segments, needs)
+    elif popular is None:
         best = _by_pairs(segments, needs)
     else:
         few, many = (needs.join(popular, kinds, how) for how in ("left_anti", "left_semi"))
-        crowded = spread_join(segments, popular, kinds, ["permno", "namedt"])
-        best = _by_pairs(segments, few).unionByName(_by_envelope(crowded, many))
+        rest = segments.join(popular, kinds, "left_anti")
+        best = _by_pairs(rest, few).unionByName(_by_envelope(segments, many))
     several = F.col("n_firms") > 1
     chosen = F.when(several, F.col("_by_firm")).otherwise(F.col("_by_security"))
     score = F.when(several, chosen["gvkey_score"]).otherwise(chosen["permno_score"])

@@ -202,6 +202,31 @@ def test_firms_with_few_segments_are_not_cut_into_blocks(spark):
     assert joins and all("SortMergeJoin" in line for line in joins)
 
 
+def any_day_needs(spark, keys, days):
+    return spark.createDataFrame([(TICKER, k, DAY0 + dt.timedelta(days=d)) for k in keys for d in days], "key_kind string, key string, snapshot_date date")
+
+
+def by_date(df):
+    picked = ["n_candidates", "n_firms", "_by_firm.permno", "_by_security.permno"]
+    return sorted(tuple(r) for r in df.select("key", "snapshot_date", *[F.col(c).alias(f"c{i}") for i, c in enumerate(picked)]).collect())
+
+
+@pytest.mark.parametrize("days", [[700], [0, 1, 2, 16_000], [-5, 365, 366, 800, 801, 4000, 14_999, 15_500], list(range(3000, 3400, 3))])
+def test_envelope_equals_pairs_on_any_days(spark, days):
+    rows = hot_segments(spark, 1500, 60).unionByName(hot_segments(spark, 40, 3).withColumn("key", F.lit("COLD"))).cache()
+    needs = any_day_needs(spark, ["HOT", "ABSENT"], days).unionByName(any_day_needs(spark, ["COLD"], days[:2]))
+    assert by_date(panel._by_envelope(rows, needs)) == by_date(panel._by_pairs(rows, needs))
+
+
+def test_envelope_takes_segments_valid_on_asked_dates_only(spark, monkeypatch):
+    rows = hot_segments(spark, 2000, 60).unionByName(hot_segments(spark, 500, 3).withColumn("key", F.lit("UNASKED"))).cache()
+    day, seen, pieces = DAY0 + dt.timedelta(days=700), [], panel.firm_pieces
+    monkeypatch.setattr(panel, "firm_pieces", lambda segments, *a: seen.append(segments) or pieces(segments, *a))
+    panel._by_envelope(rows, any_day_needs(spark, ["HOT"], [700])).collect()
+    valid = rows.where((F.col("key") == "HOT") & (F.col("valid_from") <= F.lit(day)) & (F.col("valid_to") > F.lit(day))).count()
+    assert 0 < seen[0].count() == valid < 300
+
+
 def test_pieces_of_a_firm_do_not_overlap(spark):
     pieces = panel.firm_pieces(hot_segments(spark, 300, 5)).select("key", "gvkey", "day", "until").collect()
     by_firm = {}
