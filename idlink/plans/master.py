@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from idlink.operators.primary import primary_map, with_primary
 from idlink.operators.segments import NAME_ORDER, Stage, best_links, with_flags
 from idlink.schemas import SECURITY_MASTER
-from idlink.session import path_exists
+from idlink.session import path_exists, shuffles_dropped
 from idlink.sources.sinks import write_master
 
 
@@ -45,7 +45,9 @@ def get_or_build_table(spark: SparkSession, path: str, build: Callable[[], DataF
     Any other error while reading is an error.
     """
     if not path_exists(spark, path, "_SUCCESS"):
-        (write or (lambda df, p: df.write.mode("overwrite").parquet(p)))(build(), path)
+        table = build()
+        with shuffles_dropped(spark):
+            (write or (lambda df, p: df.write.mode("overwrite").parquet(p)))(table, path)
     return spark.read.parquet(path)
 
 

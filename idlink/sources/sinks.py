@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from idlink.operators.reports import unmatched_constituents
-from idlink.session import scratch_path
+from idlink.session import scratch_path, shuffles_dropped
 
 
 # Without the last two the writer trims texts.
@@ -24,7 +24,8 @@ def stored(spark: SparkSession, name: str) -> Callable[..., DataFrame]:
 
     def write_and_read(df: DataFrame, *partitions: str) -> DataFrame:
         path = scratch_path(spark, name)
-        df.write.partitionBy(*partitions).parquet(path)
+        with shuffles_dropped(spark):
+            df.write.partitionBy(*partitions).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     return write_and_read

@@ -9,7 +9,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from idlink.plans.master import get_or_build_master
+from idlink.plans.master import get_or_build_master, get_or_build_table
 from idlink.session import scratch_path, shared_dir
 from idlink.sources import conform, readers, sinks
 from idlink.streaming.snapshots import accumulate
@@ -250,3 +250,20 @@ def test_sorted_sink(spark, tmp_path):
     for f in files:
         seen += [r.permno for r in spark.read.parquet(str(tmp_path / "m" / f)).collect()]
     assert seen == sorted(seen) and len(seen) == 1000
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    rows = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count()
+    first = sinks.stored(spark, "counts")(rows)
+    second = get_or_build_table(
+        spark, scratch_path(spark, "counted"), lambda: sinks.stored(spark, "inner")(first.select("count").distinct()).distinct()
+    )
+    assert shuffle_files(spark) <= before
+    assert first.count() == 700 and second.count() == 2
+    assert rows.count() == 700 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
